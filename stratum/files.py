@@ -24,6 +24,22 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def delete_uri(spark: SparkSession, uri: str) -> None:
+    """Delete what a percent-encoded URI, as in ``_metadata.file_path``, names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    fs, target = _open(spark, path)
+    return any("=" in status.getPath().getName() for status in fs.listStatus(target))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _open(spark, path)
+    return [f"{path.rstrip('/')}/{status.getPath().getName()}" for status in fs.listStatus(target)]
+
+
 def path_part(spark: SparkSession, path: str) -> str:
     """Absolute path without scheme and host, as it appears inside file URIs."""
     fs, target = _open(spark, path)

@@ -16,7 +16,8 @@ class ColumnCollisionError(ValueError):
     """Two input columns would get the same output name."""
 
 
-def _quoted(*parts: str) -> Column:
+def quoted(*parts: str) -> Column:
+    """Column by exact name, or by a path of field names."""
     return F.col(".".join("`" + part.replace("`", "``") + "`" for part in parts))
 
 
@@ -50,10 +51,15 @@ def flat_columns(schema: T.StructType) -> list[tuple[str, Column]]:
     return [
         leaf
         for field in schema.fields
-        for leaf in _leaves(_quoted(field.name), field.name, field.dataType, field.metadata)
+        for leaf in _leaves(quoted(field.name), field.name, field.dataType, field.metadata)
     ]
 
 
+def check_names(schema: T.StructType) -> None:
+    """Raise if the flat form of ``schema`` would hold two columns of one name."""
+    normalized_names([name for name, _ in flat_columns(schema)])
+
+
 def flatten_structs(df: DataFrame) -> DataFrame:
     """Nested structs to dotted top-level columns at any depth; absent parents give null."""
     return df.select(*[value.alias(name) for name, value in flat_columns(df.schema)])
@@ -90,7 +96,7 @@ def serialize_lists(df: DataFrame) -> DataFrame:
     keep_nulls = {"ignoreNullFields": "false"}
     return df.select(
         *[
-            F.to_json(_quoted(f.name), keep_nulls).alias(f.name) if isinstance(f.dataType, T.ArrayType) else _quoted(f.name)
+            F.to_json(quoted(f.name), keep_nulls).alias(f.name) if isinstance(f.dataType, T.ArrayType) else quoted(f.name)
             for f in df.schema.fields
         ]
     )
@@ -99,16 +105,16 @@ def serialize_lists(df: DataFrame) -> DataFrame:
 def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(
         *[
-            F.when(~F.isnan(_quoted(f.name)), _quoted(f.name)).alias(f.name)
+            F.when(~F.isnan(quoted(f.name)), quoted(f.name)).alias(f.name)
             if isinstance(f.dataType, (T.FloatType, T.DoubleType))
-            else _quoted(f.name)
+            else quoted(f.name)
             for f in df.schema.fields
         ]
     )
 
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[_quoted(name) for name in columns])
+    return df.select(*[quoted(name) for name in columns])
 
 
 def with_file_value(df: DataFrame, name: str, path: Column, pattern: str) -> DataFrame:

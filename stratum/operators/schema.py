@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, types as T
 
-from ..operators.columns import OBJECT_PART, SCALAR_PART
+from .columns import OBJECT_PART, SCALAR_PART, quoted
 
 
 def field_at(name: str, schema: T.StructType) -> Column:
     """Column of a dotted field name, where field names themselves may hold dots."""
     for path in leaf_paths(schema):
         if ".".join(path) == name:
-            return F.col(".".join("`" + part.replace("`", "``") + "`" for part in path))
+            return quoted(*path)
     raise KeyError(name)
 
 
@@ -102,23 +102,6 @@ def merge_schemas(known: T.StructType, seen: T.StructType) -> T.StructType:
     return T.StructType([*merged, *by_name.values()])
 
 
-def string_conflicts(known: T.StructType, seen: T.StructType, above: str = "") -> list[str]:
-    """Dotted fields that ``seen`` calls string, or list of strings, and ``known`` does not.
-
-    Inference says string for values of several kinds, but also for a field that is null
-    everywhere, so such a field needs a second look before it widens anything.
-    """
-    conflicts = []
-    by_name = {field.name: field.dataType for field in seen.fields}
-    for field in known.fields:
-        other, name = by_name.get(field.name), f"{above}{field.name}"
-        if isinstance(field.dataType, T.StructType) and isinstance(other, T.StructType):
-            conflicts += string_conflicts(field.dataType, other, f"{name}.")
-        elif other in (T.StringType(), T.ArrayType(T.StringType())) and other != field.dataType:
-            conflicts.append(name)
-    return conflicts
-
-
 def without_fields(schema: T.StructType, names: set[str], above: str = "") -> T.StructType:
     kept = []
     for field in schema.fields:

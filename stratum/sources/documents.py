@@ -11,9 +11,10 @@ from .. import files
 from ..functions.documents import document_state, is_single_document
 from ..functions.paths import decoded_path
 from ..operators.columns import (
-    OBJECT_PART, SCALAR_PART, ColumnCollisionError, flatten_structs, lists_as_text, nan_to_null, normalize_column_names,
+    OBJECT_PART, SCALAR_PART, ColumnCollisionError, check_names, flatten_structs, lists_as_text, nan_to_null,
+    normalize_column_names,
 )
-from ..plans.schema import field_at, pick_fields
+from ..operators.schema import field_at, pick_fields
 from ..session import session_conf
 
 CORRUPT = "__corrupt"
@@ -82,6 +83,7 @@ def scan_documents(spark: SparkSession, paths: list[str], schema: T.StructType,
 
 def records(scan: DataFrame) -> DataFrame:
     """Well-formed records of a scan, flattened, with normal names and without NaN."""
+    check_names(scan.schema)
     good = scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return nan_to_null(normalize_column_names(flatten_structs(good)))
 

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import files
-from ..functions.paths import relative_path, without_extension
+from ..functions.paths import decoded_path, relative_path, without_extension
 
 LISTING_SCHEMA = "file_key string, path string, src_mtime timestamp, length bigint"
 
@@ -32,28 +32,65 @@ def _glob_regex(pattern: str) -> str:
     return f"^{out}$"
 
 
+def _is_single(pattern: str) -> bool:
+    return not re.search(r"[*?\[]", pattern)
+
+
+def _open(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
+    start = f"{root}/{pattern}" if _is_single(pattern) else root
+    if not files.exists(spark, start):
+        return None
+    reader = spark.read.format("binaryFile")
+    if not _is_single(pattern):
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern.rsplit("/", 1)[-1])
+    return reader.load(files.literal_path(start))
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Files below ``root`` whose relative path matches ``pattern``; a missing root lists nothing.
 
     ``file_key`` is the relative path without extension, so equal names in two directories
-    stay two files.
+    stay two files. Like every Spark scan it passes over files without content; see
+    ``zero_byte_files``.
     """
     root = root.rstrip("/")
-    single = not re.search(r"[*?\[]", pattern)
-    start = f"{root}/{pattern}" if single else root
-    if not files.exists(spark, start):
+    found = _open(spark, root, pattern)
+    if found is None:
         return spark.createDataFrame([], LISTING_SCHEMA)
-    reader = spark.read.format("binaryFile")
-    if not single:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern.rsplit("/", 1)[-1])
     relative = relative_path(F.col("_metadata.file_path"), files.path_part(spark, root))
-    listed = reader.load(files.literal_path(start)).select(
+    listed = found.select(
         without_extension(relative).alias("file_key"),
         "path",
         F.col("_metadata.file_modification_time").alias("src_mtime"),
         F.col("_metadata.file_size").alias("length"),
         relative.alias("relative"),
     )
-    if not single:
+    if not _is_single(pattern):
         listed = listed.where(F.col("relative").rlike(_glob_regex(pattern)))
     return listed.drop("relative")
+
+
+def zero_byte_files(spark: SparkSession, root: str, pattern: str, listed: DataFrame) -> DataFrame | None:
+    """The matching files that ``listed``, a stored listing, leaves out because they are empty.
+
+    None when the file index holds no more names than were listed, which is the usual case.
+    Such a file can never be read, so it counts as changed just now and is reported every time.
+    """
+    root = root.rstrip("/")
+    found = _open(spark, root, pattern)
+    names = found._jdf.inputFiles() if found is not None else []
+    if len(names) <= listed.count():
+        return None
+    jvm = spark._jvm
+    uris = spark._jsparkSession.createDataset(
+        jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(names), jvm.org.apache.spark.sql.Encoders.STRING()
+    )
+    relative = relative_path(F.col("value"), files.path_part(spark, root))
+    matching = F.lit(True) if _is_single(pattern) else relative.rlike(_glob_regex(pattern))
+    rest = DataFrame(uris.toDF(), spark).where(matching).select(
+        without_extension(relative).alias("file_key"),
+        decoded_path(F.col("value")).alias("path"),
+        F.current_timestamp().alias("src_mtime"),
+        F.lit(0).cast("bigint").alias("length"),
+    )
+    return rest.join(listed, "file_key", "left_anti")
