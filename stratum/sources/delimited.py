@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -20,6 +21,7 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 CSV_OPTIONS = {
     "quote": '"',
@@ -88,10 +90,9 @@ def read_cells(spark: SparkSession, paths: list[str], layout: CsvLayout, multili
     width = layout.width
     schema = T.StructType([*_cells(width), T.StructField(CORRUPT, T.StringType())])
     rows = _reader(spark, multiline).schema(schema).option("header", True).csv([files.literal_path(p) for p in paths])
-    # The corrupt marker is set on short and on long rows alike; only those few are cut again.
-    wider = ", ".join(f"c{i} string" for i in range(width + 1)) + f", {CORRUPT} string"
-    again = F.from_csv(F.col(CORRUPT), wider, {k: v for k, v in CSV_OPTIONS.items()})
-    too_long = F.col(CORRUPT).isNotNull() & (again[CORRUPT].isNull() | again[f"c{width}"].isNotNull())
+    # The corrupt marker holds the raw text of short and of long rows; only those are counted.
+    unquoted = F.regexp_replace(F.col(CORRUPT), QUOTED_CELL, "$1q")
+    too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(unquoted, ",")) > width)
     blank = F.trim(F.coalesce(F.col(CORRUPT), F.col("c0") if width == 1 else F.lit("-"), F.lit("-"))) == ""
     values = [
         F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")).alias(f"c{i}") for i in range(layout.unnamed, width)
@@ -111,11 +112,16 @@ def infer_types(cells: DataFrame) -> tuple[list[str], int, int]:
         cell = F.col(name)
         whole = F.trim(cell).try_cast("decimal(20,0)")
         is_int = cell.rlike(INTEGER)
+        fits = F.trim(cell).try_cast("bigint").isNotNull()
+
+        def given(test: Column, cell: Column = cell) -> Column:
+            return F.when(cell.isNotNull(), test)
+
         measures += [
-            F.bool_and(is_int & F.trim(cell).try_cast("bigint").isNotNull()).alias(f"{name}_int"),
-            F.bool_and(is_int & whole.between(F.lit(0), F.lit(2**64 - 1).cast("decimal(20,0)"))).alias(f"{name}_unsigned"),
-            F.bool_and(F.when(is_int, F.trim(cell).try_cast("bigint").isNotNull()).otherwise(cell.rlike(NUMBER))).alias(f"{name}_number"),
-            F.bool_and(_boolean(cell).isNotNull()).alias(f"{name}_flag"),
+            F.bool_and(given(is_int & fits)).alias(f"{name}_int"),
+            F.bool_and(given(is_int & whole.between(F.lit(0), F.lit(Decimal(2**64 - 1))))).alias(f"{name}_unsigned"),
+            F.bool_and(given(F.when(is_int, fits).otherwise(cell.rlike(NUMBER)))).alias(f"{name}_number"),
+            F.bool_and(given(_boolean(cell).isNotNull())).alias(f"{name}_flag"),
         ]
     found = cells.agg(*measures).first()
     kinds = []
