@@ -59,6 +59,7 @@ class Run:
     max_files: int = MAX_FILES
     max_bytes: int = MAX_BYTES
     id: int = field(default_factory=lambda: time.time_ns() // 1_000)
+    good: tuple[int, list[str]] | None = None
 
     def __post_init__(self) -> None:
         self.scratch = shared_dir(self.spark, f"{self.dataset.source}-{self.dataset.name}")
@@ -206,7 +207,11 @@ def _checked(run: Run, number: int) -> DataFrame:
 
 
 def _good_paths(run: Run, number: int) -> list[str]:
-    return [r.path for r in _checked(run, number).where("state = 'ok'").select("path").toLocalIterator()]
+    """Paths of the readable files of one batch; only the last batch asked for is kept."""
+    if run.good is None or run.good[0] != number:
+        good = _checked(run, number).where("state = 'ok'").select("path")
+        run.good = number, [row.path for row in good.toLocalIterator()]
+    return run.good[1]
 
 
 def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.StructType:

@@ -32,7 +32,7 @@ JSON_OPTIONS = {
 
 
 def _reader(spark: SparkSession, lines: bool):
-    return spark.read.options(**JSON_OPTIONS).option("multiLine", not lines)
+    return spark.read.options(**JSON_OPTIONS).option("multiLine", not lines).option("recursiveFileLookup", True)
 
 
 def check_documents(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:
@@ -81,11 +81,15 @@ def scan_documents(spark: SparkSession, paths: list[str], schema: T.StructType,
     return scan.select("*", decoded_path(F.col("_metadata.file_path")).alias(SOURCE_PATH))
 
 
+def flat_table(rows: DataFrame) -> DataFrame:
+    """Flattened columns with normal names and without NaN."""
+    check_names(rows.schema)
+    return nan_to_null(normalize_column_names(flatten_structs(rows)))
+
+
 def records(scan: DataFrame) -> DataFrame:
-    """Well-formed records of a scan, flattened, with normal names and without NaN."""
-    check_names(scan.schema)
-    good = scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return nan_to_null(normalize_column_names(flatten_structs(good)))
+    """The flat table of the well-formed records of a scan."""
+    return flat_table(scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
 
 
 def read_documents(
@@ -94,14 +98,24 @@ def read_documents(
     schema: T.StructType | str | None = None,
     lists_to_text: bool = True,
     lines: bool = False,
+    path_column: str | None = None,
 ) -> DataFrame:
-    """Flat table of a set of JSON files or directories, for direct use without a manifest."""
+    """Flat table of a set of JSON files or directories, for direct use without a manifest.
+
+    A file that cannot be parsed gives no rows (with ``lines``: a line). ``path_column`` names a
+    column for each row's source path.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if schema is None:
         schema = infer_documents(spark, paths, lines)
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    return records(scan_documents(spark, paths, lists_as_text(schema) if lists_to_text else schema, lines))
+    declared = lists_as_text(schema) if lists_to_text else schema
+    scan = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared)
+    rows = scan.json([files.literal_path(p) for p in paths])
+    if path_column:
+        rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias(path_column))
+    return flat_table(rows)
 
 
 def mixed_fields(
