@@ -59,7 +59,7 @@ class Run:
     max_files: int = MAX_FILES
     max_bytes: int = MAX_BYTES
     id: int = field(default_factory=lambda: time.time_ns() // 1_000)
-    good: tuple[int, list[str]] | None = None
+    good: tuple[int, list[tuple[str, bool]]] | None = None
 
     def __post_init__(self) -> None:
         self.scratch = shared_dir(self.spark, f"{self.dataset.source}-{self.dataset.name}")
@@ -206,31 +206,32 @@ def _checked(run: Run, number: int) -> DataFrame:
     return run.spark.read.parquet(f"{run.scratch}/checked-{number}")
 
 
-def _good_paths(run: Run, number: int) -> list[str]:
-    """Paths of the readable files of one batch; only the last batch asked for is kept."""
+def _good_paths(run: Run, number: int, large: bool | None = None) -> list[str]:
+    """Paths of the readable files of one batch, all or by size; only one batch is kept at a time."""
     if run.good is None or run.good[0] != number:
-        good = _checked(run, number).where("state = 'ok'").select("path")
-        run.good = number, [row.path for row in good.toLocalIterator()]
-    return run.good[1]
+        good = _checked(run, number).where("state = 'ok'").select("path", "length")
+        run.good = number, [(row.path, row.length > LARGEST_CHECKED_FILE) for row in good.toLocalIterator()]
+    return [path for path, is_large in run.good[1] if large is None or large == is_large]
 
 
 def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.StructType:
     spark, dataset = run.spark, run.dataset
     declare = lists_as_text if dataset.serialize_lists else lambda schema: schema
     seen = []
-    for number in range(run.n_batches):
-        paths = _good_paths(run, number)
+    parts = [(number, large) for number in range(run.n_batches) for large in (False, True)]
+    for part in parts:
+        paths = _good_paths(run, *part)
         if not paths:
             continue
 
-        def second_look(schema: T.StructType, names: list[str], number: int = number) -> T.StructType:
-            paths = _good_paths(run, number)
-            valued = field_names(infer_documents(spark, paths, dataset.lines, drop_null=True))
+        def second_look(schema: T.StructType, names: list[str], part: tuple[int, bool] = part) -> T.StructType:
+            paths, large = _good_paths(run, *part), part[1]
+            valued = field_names(infer_documents(spark, paths, dataset.lines, drop_null=True, streamed=large))
             schema = without_fields(schema, set(names) - valued)
             texts = [name for name, _, _ in _Columns(schema, set(), None).fields() if name in names and name in valued]
             return with_mixed(schema, mixed_fields(spark, paths, schema, texts, dataset.lines)) if texts else schema
 
-        seen.append((declare(infer_documents(spark, paths, dataset.lines)), second_look))
+        seen.append((declare(infer_documents(spark, paths, dataset.lines, streamed=part[1])), second_look))
     return reconcile(known, unseen, seen)
 
 
