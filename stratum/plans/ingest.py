@@ -43,6 +43,10 @@ MAX_BYTES = 2**40
 
 CSV_JOBS = 8
 
+# Spark never cuts files up to its opening cost (4 MB), nor makes tasks larger than 128 MB by default.
+SMALL_FILE = 4 * 2**20
+PARTITION_BYTES = 128 * 2**20
+
 
 class SchemaDriftError(RuntimeError):
     """New files do not fit the dataset's schema, and the run was asked not to widen it."""
@@ -59,7 +63,7 @@ class Run:
     max_files: int = MAX_FILES
     max_bytes: int = MAX_BYTES
     id: int = field(default_factory=lambda: time.time_ns() // 1_000)
-    good: tuple[int, list[tuple[str, bool]]] | None = None
+    good: tuple[int, list[tuple[str, int]]] | None = None
 
     def __post_init__(self) -> None:
         self.scratch = shared_dir(self.spark, f"{self.dataset.source}-{self.dataset.name}")
@@ -206,12 +210,32 @@ def _checked(run: Run, number: int) -> DataFrame:
     return run.spark.read.parquet(f"{run.scratch}/checked-{number}")
 
 
-def _good_paths(run: Run, number: int, large: bool | None = None) -> list[str]:
-    """Paths of the readable files of one batch, all or by size; only one batch is kept at a time."""
+def _good_files(run: Run, number: int) -> list[tuple[str, int]]:
+    """Path and length of the readable files of one batch; only one batch is kept at a time."""
     if run.good is None or run.good[0] != number:
         good = _checked(run, number).where("state = 'ok'").select("path", "length")
-        run.good = number, [(row.path, row.length > LARGEST_CHECKED_FILE) for row in good.toLocalIterator()]
-    return [path for path, is_large in run.good[1] if large is None or large == is_large]
+        run.good = number, [(row.path, row.length) for row in good.toLocalIterator()]
+    return run.good[1]
+
+
+def _good_paths(run: Run, number: int, large: bool) -> list[str]:
+    return [path for path, length in _good_files(run, number) if large == (length > LARGEST_CHECKED_FILE)]
+
+
+def _unsplit(run: Run, number: int) -> dict[str, str]:
+    """Settings under which no file of the batch is cut into several tasks.
+
+    A document is one record. A second task on it would only read on to the end of the file
+    to find no record start. Tasks then hold about as much as the largest file.
+    """
+    lengths = [length for _, length in _good_files(run, number)]
+    if run.dataset.lines or not lengths or max(lengths) <= SMALL_FILE:
+        return {}
+    largest = max(lengths) + SMALL_FILE
+    return {
+        "spark__sql__files__maxPartitionBytes": str(max(largest, PARTITION_BYTES)),
+        "spark__sql__files__minPartitionNum": str(max(1, sum(lengths) // largest)),
+    }
 
 
 def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.StructType:
@@ -225,16 +249,29 @@ def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.
             continue
 
         def second_look(schema: T.StructType, names: list[str], part: tuple[int, bool] = part) -> T.StructType:
-            paths, large = _good_paths(run, *part), part[1]
-            valued = field_names(infer_documents(spark, paths, dataset.lines, drop_null=True, streamed=large))
+            paths = _good_paths(run, *part)
+            valued = field_names(infer_documents(spark, paths, dataset.lines, drop_null=True, streamed=part[1]))
             schema = without_fields(schema, set(names) - valued)
             texts = [name for name, _, _ in _Columns(schema, set(), None).fields() if name in names and name in valued]
-            return with_mixed(schema, mixed_fields(spark, paths, schema, texts, dataset.lines)) if texts else schema
+            return with_mixed(schema, _probe(run, part, schema, texts)) if texts else schema
 
         seen.append((declare(infer_documents(spark, paths, dataset.lines, streamed=part[1])), second_look))
     return reconcile(known, unseen, seen)
 
 
+def _scan(run: Run, number: int, schema: T.StructType) -> DataFrame:
+    small, large = _good_paths(run, number, False), _good_paths(run, number, True)
+    return scan_documents(run.spark, small, schema, run.dataset.lines, large)
+
+
+def _probe(run: Run, part: tuple[int, bool | None], schema: T.StructType, names: list[str]) -> dict[str, dict]:
+    number, large = part
+    small = [] if large else _good_paths(run, number, False)
+    streamed = [] if large is False else _good_paths(run, number, True)
+    with session_conf(run.spark, **_unsplit(run, number)):
+        return mixed_fields(run.spark, small, schema, names, run.dataset.lines, streamed)
+
+
 def _adopt_schema(run: Run, known: T.StructType | None, schema: T.StructType) -> None:
     """Make ``schema`` the dataset's schema, converting stored columns whose type changes.
 
@@ -285,12 +322,11 @@ def _recover(run: Run, version: int | None) -> None:
 def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> None:
     spark, dataset = run.spark, run.dataset
     checked = _checked(run, number)
-    paths = _good_paths(run, number)
     batch_id = run.id * 1_000 + number
     n_corrupt = 0
-    if paths and state.schema.fields:
-        levels, n_corrupt = _write_records(run, paths, state, batch_id)
-        mixed = _find_mixed(run, paths, state, levels)
+    if _good_files(run, number) and state.schema.fields:
+        levels, n_corrupt = _write_records(run, number, state, batch_id)
+        mixed = _find_mixed(run, number, state, levels)
         if mixed:
             if lone_batch:
                 files.delete(spark, dataset.bronze)  # holds this batch only, about to be written again
@@ -300,44 +336,43 @@ def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> N
             widened = with_mixed(state.schema, mixed)
             _adopt_schema(run, state.schema, widened)
             state.schema = widened
-            levels, n_corrupt = _write_records(run, paths, state, batch_id)
+            levels, n_corrupt = _write_records(run, number, state, batch_id)
         state.unseen = {n for n in state.unseen & state.names() if not levels.get(n)}
     bad = None
     if n_corrupt:
-        scan = scan_documents(spark, paths, state.schema, dataset.lines).where(F.col(CORRUPT).isNotNull())
+        scan = _scan(run, number, state.schema).where(F.col(CORRUPT).isNotNull())
         first = quoted(state.schema.fields[0].name)
         # Counting a data column keeps it in the scan: Spark refuses to read the marker alone.
         bad = scan.groupBy(run.key_of(F.col(SOURCE_PATH)).alias("file_key")).agg(F.count(first).alias("bad"))
     _record(run, checked, bad, batch_id)
 
 
-def _write_records(run: Run, paths: list[str], state: _Columns, batch_id: int) -> tuple[dict[str, int], int]:
+def _write_records(run: Run, number: int, state: _Columns, batch_id: int) -> tuple[dict[str, int], int]:
     """Scan, flatten and write one batch in a single pass; returns what was seen on the way.
 
     Every file is read whole by one task, so its rows are together and no shuffle is needed.
     """
     dataset = run.dataset
     broken, content = Observation(), Observation()
-    scan = scan_documents(run.spark, paths, state.schema, dataset.lines)
+    scan = _scan(run, number, state.schema)
     scan = scan.observe(broken, F.count(F.col(CORRUPT)).alias("n"))
     key = run.key_of(F.col(SOURCE_PATH)).alias(FILE_KEY)
     table = records(scan)
     watched = state.levels()
     table = table.observe(content, *watched) if watched else table
     columns = [quoted(name) for name in table.columns if name != SOURCE_PATH]
-    if dataset.layout == BY_FILE:
-        write_partitions(table.select(*columns, key), dataset.bronze, FILE_KEY)
-    else:
-        write_partitions(table.select(*columns, key, F.lit(batch_id).alias(INGEST_BATCH)), dataset.bronze, INGEST_BATCH)
+    batch = [] if dataset.layout == BY_FILE else [F.lit(batch_id).alias(INGEST_BATCH)]
+    with session_conf(run.spark, **_unsplit(run, number)):
+        write_partitions(table.select(*columns, key, *batch), dataset.bronze, dataset.partition)
     found = content.get if watched else {}
     return {dotted: found.get(name) or 0 for dotted, name, _ in state.fields()}, broken.get["n"] or 0
 
 
-def _find_mixed(run: Run, paths: list[str], state: _Columns, levels: dict[str, int]) -> dict[str, dict]:
+def _find_mixed(run: Run, number: int, state: _Columns, levels: dict[str, int]) -> dict[str, dict]:
     """Text columns of this batch that turn out to hold objects as well."""
     plain = text_like_names(state.schema)
     suspects = [name for name, level in levels.items() if level == 2 and name in plain]
-    return mixed_fields(run.spark, paths, state.schema, suspects, run.dataset.lines) if suspects else {}
+    return _probe(run, (number, None), state.schema, suspects) if suspects else {}
 
 
 def _record(run: Run, checked: DataFrame, bad: DataFrame | None, batch_id: int) -> None:

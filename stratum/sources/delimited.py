@@ -93,7 +93,12 @@ def read_cells(spark: SparkSession, paths: list[str], layout: CsvLayout, multili
     # The corrupt marker holds the raw text of short and of long rows; only those are counted.
     unquoted = F.regexp_replace(F.col(CORRUPT), QUOTED_CELL, "$1q")
     too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(unquoted, ",")) > width)
-    blank = F.trim(F.coalesce(F.col(CORRUPT), F.col("c0") if width == 1 else F.lit("-"), F.lit("-"))) == ""
+    space = F.lit(" \t\r\n")
+    # White space alone on a line is no row. The first cell keeps a data column in every scan:
+    # Spark refuses to read the marker alone.
+    blank = F.trim(F.coalesce("c0", F.lit("" if width > 1 else "-")), space) == ""
+    if width > 1:
+        blank = blank & (F.trim(F.coalesce(CORRUPT, F.lit("-")), space) == "")
     values = [
         F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")).alias(f"c{i}") for i in range(layout.unnamed, width)
     ]
@@ -104,35 +109,47 @@ def _boolean(cell: Column) -> Column:
     return F.when(cell.isin(*TRUE_TOKENS), F.lit(True)).when(cell.isin(*FALSE_TOKENS), F.lit(False))
 
 
+# One bit per kind of cell.
+NEGATIVE, NATURAL, UNSIGNED, FLOATING, FLAG, TEXT = (1 << i for i in range(6))
+
+
+def _cell_kind(cell: Column) -> Column:
+    """Kind of one cell. Patterns decide; casts, slow where they fail, only see long integers."""
+    number = F.trim(cell)
+    beyond = number.try_cast("decimal(20,0)").between(F.lit(0), F.lit(Decimal(2**64 - 1)))
+    whole = (
+        F.when((F.length(number) > 18) & number.try_cast("bigint").isNull(), F.when(beyond, UNSIGNED).otherwise(TEXT))
+        .when(number.startswith("-"), NEGATIVE)
+        .otherwise(NATURAL)
+    )
+    return (
+        F.when(cell.isNull(), 0)
+        .when(cell.rlike(INTEGER), whole)
+        .when(cell.rlike(NUMBER), FLOATING)
+        .when(_boolean(cell).isNotNull(), FLAG)
+        .otherwise(TEXT)
+    )
+
+
+def _column_type(kinds: int | None) -> str:
+    for kind, allowed in (
+        ("bigint", NEGATIVE | NATURAL), ("decimal(20,0)", NATURAL | UNSIGNED),
+        ("double", NEGATIVE | NATURAL | FLOATING), ("boolean", FLAG),
+    ):
+        if kinds and not kinds & ~allowed:
+            return kind
+    return "string"
+
+
 def infer_types(cells: DataFrame) -> tuple[list[str], int, int]:
     """Type per column, number of rows and of rows with surplus cells, in one aggregate."""
     columns = [name for name in cells.columns if name != "__too_long"]
-    measures = [F.count(F.lit(1)).alias("rows"), F.sum(F.col("__too_long").cast("bigint")).alias("long")]
-    for name in columns:
-        cell = F.col(name)
-        whole = F.trim(cell).try_cast("decimal(20,0)")
-        is_int = cell.rlike(INTEGER)
-        fits = F.trim(cell).try_cast("bigint").isNotNull()
-
-        def given(test: Column, cell: Column = cell) -> Column:
-            return F.when(cell.isNotNull(), test)
-
-        measures += [
-            F.bool_and(given(is_int & fits)).alias(f"{name}_int"),
-            F.bool_and(given(is_int & whole.between(F.lit(0), F.lit(Decimal(2**64 - 1))))).alias(f"{name}_unsigned"),
-            F.bool_and(given(F.when(is_int, fits).otherwise(cell.rlike(NUMBER)))).alias(f"{name}_number"),
-            F.bool_and(given(_boolean(cell).isNotNull())).alias(f"{name}_flag"),
-        ]
-    found = cells.agg(*measures).first()
-    kinds = []
-    for name in columns:
-        for kind, mark in (("bigint", "int"), ("decimal(20,0)", "unsigned"), ("double", "number"), ("boolean", "flag")):
-            if found[f"{name}_{mark}"]:
-                kinds.append(kind)
-                break
-        else:
-            kinds.append("string")
-    return kinds, found["rows"], found["long"] or 0
+    found = cells.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("__too_long").alias("long"),
+        *[F.bit_or(_cell_kind(F.col(name))).alias(name) for name in columns],
+    ).first()
+    return [_column_type(found[name]) for name in columns], found["rows"], found["long"]
 
 
 def _typed(cell: Column, kind: str) -> Column:

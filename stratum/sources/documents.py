@@ -14,6 +14,7 @@ from ..operators.columns import (
     OBJECT_PART, SCALAR_PART, ColumnCollisionError, check_names, flatten_structs, lists_as_text, nan_to_null,
     normalize_column_names,
 )
+from ..operators.rows import concat_vertical
 from ..operators.schema import field_at, pick_fields
 from ..session import session_conf
 
@@ -30,9 +31,20 @@ JSON_OPTIONS = {
     "maxStringLen": str(2**31 - 1),
 }
 
+# A control character that no valid JSON text holds: with it as the line separator, the line
+# reader takes each file as one record.
+WHOLE_FILE = "\x1e"
 
-def _reader(spark: SparkSession, lines: bool):
-    return spark.read.options(**JSON_OPTIONS).option("multiLine", not lines).option("recursiveFileLookup", True)
+
+def _reader(spark: SparkSession, lines: bool, streamed: bool = False):
+    """Reader for one record per line, or for whole files.
+
+    Whole files are read as one long line each. The multi-line reader would do, but it fetches
+    the text of every list that is kept as text by a positioned read of the file, one request
+    per value on a remote file system; it is left for files too large for one text value.
+    """
+    reader = spark.read.options(**JSON_OPTIONS).option("recursiveFileLookup", True)
+    return reader.option("multiLine", streamed) if lines or streamed else reader.option("lineSep", WHOLE_FILE)
 
 
 def check_documents(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:
@@ -56,7 +68,7 @@ def _texts(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _infer(reader, spark: SparkSession, paths: list[str], lines: bool, streamed: bool) -> T.StructType:
     if lines or streamed:
-        return reader.json(paths).schema
+        return reader.json([files.literal_path(p) for p in paths]).schema
     # Over paths, multi-line inference sets up a file system client per file, which for small
     # files costs far more than the parsing; over the files' texts it does not.
     texts = getattr(_texts(spark, paths)._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
@@ -71,7 +83,7 @@ def infer_documents(
     ``drop_null`` leaves out fields without any value. ``streamed`` is for files too large to
     be held as one text.
     """
-    reader = _reader(spark, lines).option("dropFieldIfAllNull", drop_null)
+    reader = _reader(spark, lines, streamed).option("dropFieldIfAllNull", drop_null)
     with session_conf(spark, spark__sql__caseSensitive="true"):
         try:
             schema = _infer(reader, spark, paths, lines, streamed)
@@ -82,15 +94,23 @@ def infer_documents(
     return T.StructType([field for field in schema.fields if field.name != CORRUPT])
 
 
-def scan_documents(spark: SparkSession, paths: list[str], schema: T.StructType, lines: bool = False) -> DataFrame:
-    """One scan over all files: the records, the corrupt marker and the source path.
+def scan_documents(
+    spark: SparkSession, paths: list[str], schema: T.StructType, lines: bool = False, streamed: Iterable[str] = ()
+) -> DataFrame:
+    """The records of all files, the corrupt marker and the source path.
 
     A list root gives its elements, an object root one row. A root that is no list of records
-    gives one row with only the marker set.
+    gives one row with only the marker set. Paths in ``streamed`` name files too large to be
+    held as one text; they go through the multi-line reader.
     """
     declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    scan = _reader(spark, lines).schema(declared).json([files.literal_path(p) for p in paths])
-    return scan.select("*", decoded_path(F.col("_metadata.file_path")).alias(SOURCE_PATH))
+    scans = [
+        _reader(spark, lines, large).schema(declared).json([files.literal_path(p) for p in some])
+        for some, large in ((paths, False), (list(streamed), True))
+        if some
+    ]
+    path = decoded_path(F.col("_metadata.file_path")).alias(SOURCE_PATH)
+    return concat_vertical(*[scan.select("*", path) for scan in scans])
 
 
 def flat_table(rows: DataFrame) -> DataFrame:
@@ -123,15 +143,15 @@ def read_documents(
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     declared = lists_as_text(schema) if lists_to_text else schema
-    scan = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared)
-    rows = scan.json([files.literal_path(p) for p in paths])
+    rows = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared).json([files.literal_path(p) for p in paths])
     if path_column:
         rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias(path_column))
     return flat_table(rows)
 
 
 def mixed_fields(
-    spark: SparkSession, paths: list[str], schema: T.StructType, names: list[str], lines: bool = False
+    spark: SparkSession, paths: list[str], schema: T.StructType, names: list[str], lines: bool = False,
+    streamed: Iterable[str] = (),
 ) -> dict[str, dict]:
     """Which of the dotted ``names`` hold objects in some records, and the types of both sides.
 
@@ -139,7 +159,7 @@ def mixed_fields(
     object. Reading the field as variant tells them apart.
     """
     probe = pick_fields(schema, {name: T.VariantType() for name in names})
-    scan = scan_documents(spark, paths, probe, lines)
+    scan = scan_documents(spark, paths, probe, lines, streamed)
     measures = []
     for i, name in enumerate(names):
         value = field_at(name, probe)

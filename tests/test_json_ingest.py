@@ -229,3 +229,28 @@ def test_serialized_text_parses_back(landing):
     landing.put("a.json", [{"l": value}])
     landing.run()
     assert json.loads(landing.rows("l")[0][0]) == value
+
+
+def test_large_files_are_streamed(landing, monkeypatch):
+    """Files beyond the size of one text value go through the multi-line reader, same result."""
+    from stratum.plans import ingest
+
+    monkeypatch.setattr(ingest, "LARGEST_CHECKED_FILE", 60)
+    landing.put("small.json", [{"id": 1, "v": {"x": 1}, "l": [1.0, 2]}])
+    landing.put("large.json", [{"id": 2, "v": {"x": 2}, "l": [1.0, 2]}, {"id": 3, "v": None, "l": [], "pad": "p" * 60}])
+    landing.put("wrong.json", [{"id": 4, "pad": "p" * 60}, 5])
+    assert landing.run() == {"processed": 2, "error": 1}
+    assert landing.rows("id", "v_x", "l") == [(1, 1, "[1.0, 2]"), (2, 2, "[1.0, 2]"), (3, None, "[]")]
+
+
+def test_counting_reads(spark, tmp_path):
+    """Frames from files can be counted although no column of theirs is asked for."""
+    from stratum.sources import read_csv, read_documents
+
+    (tmp_path / "a.json").write_text('[{"a":1},{"a":2}]')
+    (tmp_path / "bad.json").write_text('[{"a":1}')
+    (tmp_path / "l.jsonl").write_text('{"a":1}\n{"a":\n')
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n")
+    assert read_documents(spark, [str(tmp_path / "a.json"), str(tmp_path / "bad.json")]).count() == 2
+    assert read_documents(spark, str(tmp_path / "l.jsonl"), lines=True).select("a").collect() == [(1,)]
+    assert read_csv(spark, str(tmp_path / "c.csv")).count() == 1
