@@ -23,9 +23,10 @@ from ..session import session_conf, shared_dir
 from ..sinks.parquet import drop_partitions, finish_replacement, replace_partitions, write_partitions, write_pending, write_table
 from ..sources.delimited import scan_csv
 from ..sources.documents import (
-    CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields, records, scan_documents,
+    CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields,
+    open_texts, records, scan_documents,
 )
-from ..sources.listing import LISTING_CONF, list_files, zero_byte_files
+from ..sources.listing import LISTING_CONF, list_files, open_folder, zero_byte_files
 from .manifest import (
     EMPTY, ERROR, PROCESSED, append_manifest, current_outputs, load_schema, read_manifest, save_schema, stage,
 )
@@ -43,9 +44,9 @@ MAX_BYTES = 2**40
 
 CSV_JOBS = 8
 
-# Spark never cuts files up to its opening cost (4 MB), nor makes tasks larger than 128 MB by default.
+# Spark never cuts files up to its opening cost, 4 MB.
 SMALL_FILE = 4 * 2**20
-PARTITION_BYTES = 128 * 2**20
+TASK_BYTES = 2**30
 
 
 class SchemaDriftError(RuntimeError):
@@ -64,6 +65,7 @@ class Run:
     max_bytes: int = MAX_BYTES
     id: int = field(default_factory=lambda: time.time_ns() // 1_000)
     good: tuple[int, list[tuple[str, int]]] | None = None
+    texts: tuple[list[str], DataFrame] | None = None
 
     def __post_init__(self) -> None:
         self.scratch = shared_dir(self.spark, f"{self.dataset.source}-{self.dataset.name}")
@@ -77,9 +79,10 @@ class Run:
     def make_plan(self) -> None:
         """Compare landing files with the manifest once; later steps read the stored result."""
         spark, dataset = self.spark, self.dataset
+        folder = open_folder(spark, dataset.landing, dataset.pattern)
         with session_conf(spark, **LISTING_CONF):
-            listed = stage(list_files(spark, dataset.landing, dataset.pattern), f"{self.scratch}/listing")
-        blank = zero_byte_files(spark, dataset.landing, dataset.pattern, listed)
+            listed = stage(list_files(spark, dataset.landing, dataset.pattern, folder), f"{self.scratch}/listing")
+        blank = zero_byte_files(spark, dataset.landing, dataset.pattern, folder, listed)
         listed = listed if blank is None else listed.unionByName(blank)
         sources = listed.withColumn("file_key", output_name(F.col("file_key"), dataset.prefix))
         outputs = current_outputs(spark, dataset).withColumnRenamed("run", "out_run")
@@ -197,7 +200,8 @@ def _check_batch(run: Run, number: int) -> None:
     size = F.col("length")
     paths = [r.path for r in batch.where((size > 0) & (size <= LARGEST_CHECKED_FILE)).select("path").toLocalIterator()]
     if paths:
-        states = check_documents(run.spark, paths, run.dataset.lines)
+        run.texts = sorted(paths), open_texts(run.spark, paths, run.dataset.lines)
+        states = check_documents(run.texts[1], run.dataset.lines)
         states = states.select(run.key_of(F.col("path_part")).alias("file_key"), "state")
         batch = batch.join(states, "file_key", "left")
     else:
@@ -222,24 +226,30 @@ def _good_paths(run: Run, number: int, large: bool) -> list[str]:
     return [path for path, length in _good_files(run, number) if large == (length > LARGEST_CHECKED_FILE)]
 
 
-def _unsplit(run: Run, number: int) -> dict[str, str]:
-    """Settings under which no file of the batch is cut into several tasks.
+def _task_sizes(run: Run, number: int) -> dict[str, str]:
+    """Scan settings for one batch: large tasks, and no file cut into several.
 
-    A document is one record. A second task on it would only read on to the end of the file
-    to find no record start. Tasks then hold about as much as the largest file.
+    Tasks may take up to 1 GB of landing text, so that the Parquet files they write are not
+    tiny; Spark still makes smaller ones as long as cores are free. A whole document is one
+    record: a second task on it would only read on to the end of the file to find no record
+    start, so tasks are at least as large as the largest file.
     """
     lengths = [length for _, length in _good_files(run, number)]
     if run.dataset.lines or not lengths or max(lengths) <= SMALL_FILE:
-        return {}
+        return {"spark__sql__files__maxPartitionBytes": str(TASK_BYTES)}
     largest = max(lengths) + SMALL_FILE
     return {
-        "spark__sql__files__maxPartitionBytes": str(max(largest, PARTITION_BYTES)),
-        "spark__sql__files__minPartitionNum": str(max(1, sum(lengths) // largest)),
+        "spark__sql__files__maxPartitionBytes": str(max(largest, TASK_BYTES)),
+        "spark__sql__files__minPartitionNum": str(max(1, min(sum(lengths) // largest, _cores(run.spark)))),
     }
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.StructType:
-    spark, dataset = run.spark, run.dataset
+    dataset = run.dataset
     declare = lists_as_text if dataset.serialize_lists else lambda schema: schema
     seen = []
     parts = [(number, large) for number in range(run.n_batches) for large in (False, True)]
@@ -250,15 +260,21 @@ def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.
 
         def second_look(schema: T.StructType, names: list[str], part: tuple[int, bool] = part) -> T.StructType:
             paths = _good_paths(run, *part)
-            valued = field_names(infer_documents(spark, paths, dataset.lines, drop_null=True, streamed=part[1]))
+            valued = field_names(_infer(run, paths, part[1], drop_null=True))
             schema = without_fields(schema, set(names) - valued)
             texts = [name for name, _, _ in _Columns(schema, set(), None).fields() if name in names and name in valued]
             return with_mixed(schema, _probe(run, part, schema, texts)) if texts else schema
 
-        seen.append((declare(infer_documents(spark, paths, dataset.lines, streamed=part[1])), second_look))
+        seen.append((declare(_infer(run, paths, part[1])), second_look))
     return reconcile(known, unseen, seen)
 
 
+def _infer(run: Run, paths: list[str], large: bool, drop_null: bool = False) -> T.StructType:
+    """Schema of some files; where the check has just opened exactly these, they are not looked up again."""
+    opened = run.texts[1] if run.texts and run.texts[0] == sorted(paths) and not run.dataset.lines else None
+    return infer_documents(run.spark, paths, run.dataset.lines, drop_null, streamed=large, texts=opened)
+
+
 def _scan(run: Run, number: int, schema: T.StructType) -> DataFrame:
     small, large = _good_paths(run, number, False), _good_paths(run, number, True)
     return scan_documents(run.spark, small, schema, run.dataset.lines, large)
@@ -268,7 +284,7 @@ def _probe(run: Run, part: tuple[int, bool | None], schema: T.StructType, names:
     number, large = part
     small = [] if large else _good_paths(run, number, False)
     streamed = [] if large is False else _good_paths(run, number, True)
-    with session_conf(run.spark, **_unsplit(run, number)):
+    with session_conf(run.spark, **_task_sizes(run, number)):
         return mixed_fields(run.spark, small, schema, names, run.dataset.lines, streamed)
 
 
@@ -361,9 +377,12 @@ def _write_records(run: Run, number: int, state: _Columns, batch_id: int) -> tup
     watched = state.levels()
     table = table.observe(content, *watched) if watched else table
     columns = [quoted(name) for name in table.columns if name != SOURCE_PATH]
-    batch = [] if dataset.layout == BY_FILE else [F.lit(batch_id).alias(INGEST_BATCH)]
-    with session_conf(run.spark, **_unsplit(run, number)):
-        write_partitions(table.select(*columns, key, *batch), dataset.bronze, dataset.partition)
+    table = table.select(*columns, key)
+    with session_conf(run.spark, **_task_sizes(run, number)):
+        if dataset.layout == BY_FILE:
+            write_partitions(table, dataset.bronze, FILE_KEY)
+        else:
+            write_table(table, f"{dataset.bronze}/{INGEST_BATCH}={batch_id}")
     found = content.get if watched else {}
     return {dotted: found.get(name) or 0 for dotted, name, _ in state.fields()}, broken.get["n"] or 0
 

@@ -56,10 +56,13 @@ LAYERS = ("landing", "bronze", "silver", "gold")
 _OPEN = "open_data/data"
 DATASETS = (
     Dataset("open_data", "competitions", _OPEN, f"{_OPEN}/competitions", "competitions.json"),
-    Dataset("open_data", "matches", f"{_OPEN}/matches", f"{_OPEN}/matches", "*/*.json", prefix="matches"),
-    Dataset("open_data", "lineups", f"{_OPEN}/lineups", f"{_OPEN}/lineups", prefix="lineups"),
-    Dataset("open_data", "events", f"{_OPEN}/events", f"{_OPEN}/events", prefix="events"),
-    Dataset("open_data", "three-sixty", f"{_OPEN}/three-sixty", f"{_OPEN}/three-sixty", prefix="events_three_sixty"),
+    Dataset("open_data", "matches", f"{_OPEN}/matches", f"{_OPEN}/matches", "*/*.json", prefix="matches", layout=BY_BATCH),
+    Dataset("open_data", "lineups", f"{_OPEN}/lineups", f"{_OPEN}/lineups", prefix="lineups", layout=BY_BATCH),
+    Dataset("open_data", "events", f"{_OPEN}/events", f"{_OPEN}/events", prefix="events", layout=BY_BATCH),
+    Dataset(
+        "open_data", "three-sixty", f"{_OPEN}/three-sixty", f"{_OPEN}/three-sixty", prefix="events_three_sixty",
+        layout=BY_BATCH,
+    ),
     Dataset("j1_league", "matches", "j1_league/sb-matches", "j1_league/matches", "sb_matches.json"),
     Dataset("j1_league", "events", "j1_league/sb-events", "j1_league/events", "sb_events.json"),
     Dataset("j1_league", "physical", "j1_league/hudl-physical", "j1_league/physical", "hudl_physical.json"),

@@ -47,10 +47,14 @@ def _reader(spark: SparkSession, lines: bool, streamed: bool = False):
     return reader.option("multiLine", streamed) if lines or streamed else reader.option("lineSep", WHOLE_FILE)
 
 
-def check_documents(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:
-    """State (``ok``, ``empty``, ``error``) of every non-blank file, as ``path_part, state``."""
+def open_texts(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:
+    """Text of each file, or of each line."""
     literal = [files.literal_path(p) for p in paths]
-    texts = spark.read.text(literal) if lines else _texts(spark, paths)
+    return spark.read.option("recursiveFileLookup", True).text(literal, wholetext=not lines)
+
+
+def check_documents(texts: DataFrame, lines: bool = False) -> DataFrame:
+    """State (``ok``, ``empty``, ``error``) of every non-blank file, as ``path_part, state``."""
     path = decoded_path(F.col("_metadata.file_path")).alias("path_part")
     if not lines:
         return texts.select(path, document_state(F.col("value")).alias("state"))
@@ -61,32 +65,30 @@ def check_documents(spark: SparkSession, paths: list[str], lines: bool = False)
     )
 
 
-def _texts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    literal = [files.literal_path(p) for p in paths]
-    return spark.read.option("recursiveFileLookup", True).text(literal, wholetext=True)
-
-
-def _infer(reader, spark: SparkSession, paths: list[str], lines: bool, streamed: bool) -> T.StructType:
-    if lines or streamed:
+def _infer(reader, paths: list[str], texts: DataFrame | None) -> T.StructType:
+    if texts is None:
         return reader.json([files.literal_path(p) for p in paths]).schema
     # Over paths, multi-line inference sets up a file system client per file, which for small
     # files costs far more than the parsing; over the files' texts it does not.
-    texts = getattr(_texts(spark, paths)._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
-    return reader._df(reader._jreader.json(texts)).schema
+    strings = getattr(texts._jdf, "as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
+    return reader._df(reader._jreader.json(strings)).schema
 
 
 def infer_documents(
-    spark: SparkSession, paths: list[str], lines: bool = False, drop_null: bool = False, streamed: bool = False
+    spark: SparkSession, paths: list[str], lines: bool = False, drop_null: bool = False, streamed: bool = False,
+    texts: DataFrame | None = None,
 ) -> T.StructType:
     """One schema over all records of all files.
 
     ``drop_null`` leaves out fields without any value. ``streamed`` is for files too large to
-    be held as one text.
+    be held as one text. ``texts`` are the files as opened before.
     """
+    if texts is None and not (lines or streamed):
+        texts = open_texts(spark, paths)
     reader = _reader(spark, lines, streamed).option("dropFieldIfAllNull", drop_null)
     with session_conf(spark, spark__sql__caseSensitive="true"):
         try:
-            schema = _infer(reader, spark, paths, lines, streamed)
+            schema = _infer(reader, paths, texts)
         except AnalysisException as failure:
             if failure.getCondition() == "COLUMN_ALREADY_EXISTS":
                 raise ColumnCollisionError(f"a record repeats a field name: {failure}") from failure

@@ -36,7 +36,8 @@ def _is_single(pattern: str) -> bool:
     return not re.search(r"[*?\[]", pattern)
 
 
-def _open(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
+def open_folder(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
+    """File scan over the matching names; its file index is the one listing of the folder."""
     start = f"{root}/{pattern}" if _is_single(pattern) else root
     if not files.exists(spark, start):
         return None
@@ -46,15 +47,15 @@ def _open(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
     return reader.load(files.literal_path(start))
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, root: str, pattern: str = "*", found: DataFrame | None = None) -> DataFrame:
     """Files below ``root`` whose relative path matches ``pattern``; a missing root lists nothing.
 
     ``file_key`` is the relative path without extension, so equal names in two directories
     stay two files. Like every Spark scan it passes over files without content; see
-    ``zero_byte_files``.
+    ``zero_byte_files``. ``found`` is the opened folder, if there is one already.
     """
     root = root.rstrip("/")
-    found = _open(spark, root, pattern)
+    found = found if found is not None else open_folder(spark, root, pattern)
     if found is None:
         return spark.createDataFrame([], LISTING_SCHEMA)
     relative = relative_path(F.col("_metadata.file_path"), files.path_part(spark, root))
@@ -70,14 +71,15 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return listed.drop("relative")
 
 
-def zero_byte_files(spark: SparkSession, root: str, pattern: str, listed: DataFrame) -> DataFrame | None:
+def zero_byte_files(
+    spark: SparkSession, root: str, pattern: str, found: DataFrame | None, listed: DataFrame
+) -> DataFrame | None:
     """The matching files that ``listed``, a stored listing, leaves out because they are empty.
 
     None when the file index holds no more names than were listed, which is the usual case.
     Such a file can never be read, so it counts as changed just now and is reported every time.
     """
     root = root.rstrip("/")
-    found = _open(spark, root, pattern)
     names = found._jdf.inputFiles() if found is not None else []
     if len(names) <= listed.count():
         return None
