@@ -122,11 +122,13 @@ def _cell_kind(cell: Column) -> Column:
         .when(number.startswith("-"), NEGATIVE)
         .otherwise(NATURAL)
     )
+    # Everything from the colon on in the code table, but for inf and Inf, starts no number.
+    wordy = (cell >= ":") & ~cell.startswith("i") & ~cell.startswith("I")
     return (
         F.when(cell.isNull(), 0)
+        .when(wordy, F.when(_boolean(cell).isNotNull(), FLAG).otherwise(TEXT))
         .when(cell.rlike(INTEGER), whole)
         .when(cell.rlike(NUMBER), FLOATING)
-        .when(_boolean(cell).isNotNull(), FLAG)
         .otherwise(TEXT)
     )
 
