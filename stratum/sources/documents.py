@@ -16,7 +16,7 @@ from ..operators.columns import (
 )
 from ..operators.rows import concat_vertical
 from ..operators.schema import field_at, pick_fields
-from ..session import session_conf
+from ..session import opening_paths, session_conf
 
 CORRUPT = "__corrupt"
 SOURCE_PATH = "__path"
@@ -50,7 +50,8 @@ def _reader(spark: SparkSession, lines: bool, streamed: bool = False):
 def open_texts(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:
     """Text of each file, or of each line."""
     literal = [files.literal_path(p) for p in paths]
-    return spark.read.option("recursiveFileLookup", True).text(literal, wholetext=not lines)
+    with opening_paths(spark):
+        return spark.read.option("recursiveFileLookup", True).text(literal, wholetext=not lines)
 
 
 def check_documents(texts: DataFrame, lines: bool = False) -> DataFrame:
@@ -86,7 +87,7 @@ def infer_documents(
     if texts is None and not (lines or streamed):
         texts = open_texts(spark, paths)
     reader = _reader(spark, lines, streamed).option("dropFieldIfAllNull", drop_null)
-    with session_conf(spark, spark__sql__caseSensitive="true"):
+    with session_conf(spark, spark__sql__caseSensitive="true"), opening_paths(spark):
         try:
             schema = _infer(reader, paths, texts)
         except AnalysisException as failure:
@@ -106,11 +107,12 @@ def scan_documents(
     held as one text; they go through the multi-line reader.
     """
     declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    scans = [
-        _reader(spark, lines, large).schema(declared).json([files.literal_path(p) for p in some])
-        for some, large in ((paths, False), (list(streamed), True))
-        if some
-    ]
+    with opening_paths(spark):
+        scans = [
+            _reader(spark, lines, large).schema(declared).json([files.literal_path(p) for p in some])
+            for some, large in ((paths, False), (list(streamed), True))
+            if some
+        ]
     path = decoded_path(F.col("_metadata.file_path")).alias(SOURCE_PATH)
     return concat_vertical(*[scan.select("*", path) for scan in scans])
 
@@ -145,7 +147,9 @@ def read_documents(
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     declared = lists_as_text(schema) if lists_to_text else schema
-    rows = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared).json([files.literal_path(p) for p in paths])
+    with opening_paths(spark):
+        reader = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared)
+        rows = reader.json([files.literal_path(p) for p in paths])
     if path_column:
         rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias(path_column))
     return flat_table(rows)
