@@ -49,7 +49,3 @@ def path_part(spark: SparkSession, path: str) -> str:
 def literal_path(path: str) -> str:
     """Escape glob characters so that the readers take a path as it is."""
     return _GLOB_CHARS.sub(r"\\\1", path)
-
-
-def has_glob(path: str) -> bool:
-    return bool(_GLOB_CHARS.search(path))

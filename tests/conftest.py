@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from stratum import ingest_json_batch, read_bronze  # noqa: E402
+from stratum import read_bronze  # noqa: E402
 from stratum.plans.spec import BY_FILE, Dataset  # noqa: E402
 
 
@@ -19,7 +19,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("stratum-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
