@@ -20,7 +20,8 @@ TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
 QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 CSV_OPTIONS = {
@@ -118,17 +119,18 @@ def _cell_kind(cell: Column) -> Column:
     number = F.trim(cell)
     beyond = number.try_cast("decimal(20,0)").between(F.lit(0), F.lit(Decimal(2**64 - 1)))
     whole = (
-        F.when((F.length(number) > 18) & number.try_cast("bigint").isNull(), F.when(beyond, UNSIGNED).otherwise(TEXT))
-        .when(number.startswith("-"), NEGATIVE)
+        F.when((F.length(cell) > 18) & number.try_cast("bigint").isNull(), F.when(beyond, UNSIGNED).otherwise(TEXT))
+        .when(cell.contains("-"), NEGATIVE)
         .otherwise(NATURAL)
     )
-    # Everything from the colon on in the code table, but for inf and Inf, starts no number.
-    wordy = (cell >= ":") & ~cell.startswith("i") & ~cell.startswith("I")
+    # From the colon on in the code table there are letters: true, false, inf or no number at all.
+    wordy = F.when(cell.isin(*TRUE_TOKENS, *FALSE_TOKENS), FLAG).when(cell.rlike(INFINITE), FLOATING).otherwise(TEXT)
     return (
         F.when(cell.isNull(), 0)
-        .when(wordy, F.when(_boolean(cell).isNotNull(), FLAG).otherwise(TEXT))
+        .when(cell >= ":", wordy)
         .when(cell.rlike(INTEGER), whole)
         .when(cell.rlike(NUMBER), FLOATING)
+        .when(cell.rlike(INFINITE), FLOATING)
         .otherwise(TEXT)
     )
 
