@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import id_text
+from .scratch import id_text, stored
 
 UNDETERMINED = "und"
 KINDS = 64
@@ -118,11 +118,16 @@ def _tree(grams: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray
 
 def train(labelled: DataFrame, docs_per_language: int = 600, least_context: int = 3) -> PpmModel:
     """Context trees from (id, text, lang); rows with a null text or language teach nothing."""
-    ranked = labelled.filter("text is not null and lang is not null").withColumn("mix", F.xxhash64(F.lit("train"), "id"))
+    usable = labelled.filter("text is not null and lang is not null").withColumn("mix", F.xxhash64(F.lit("train"), "id"))
+    # A share of each language by hash, four times what is taken, goes to the ranking.
+    least = usable.select("lang", "id", "mix").join(usable.groupBy("lang").agg(F.count("*").alias("n")), "lang").filter(
+        F.pmod("mix", F.lit(1 << 20)) * F.col("n") < F.lit(4 * docs_per_language << 20)
+    )
     order = W.partitionBy("lang").orderBy("mix", "id")
-    picked = ranked.select("lang", "id", "mix").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language)
-    ids = picked.select("lang", "id").distinct()
-    chosen = ranked.select("lang", "id", "text").join(ids, ["lang", "id"], "left_semi").select("lang", "text")
+    picked = least.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language)
+    # Written, so that its known size, a few rows per language, lets the texts stay where they are.
+    ids = stored(picked.select("lang", "id").distinct(), "train-ids")
+    chosen = stored(usable.select("lang", "id", "text").join(ids, ["lang", "id"], "left_semi").select("lang", "text"), "train-texts")
     # One row per byte value and per distinct gram of a bounded number of documents.
     bytes_seen = chosen.mapInPandas(_byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).toPandas()
     order_by_count = bytes_seen.sort_values(["n", "byte"], ascending=[False, True])
