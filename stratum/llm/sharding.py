@@ -40,9 +40,9 @@ def _offers(waiting: DataFrame, open_points: DataFrame) -> DataFrame:
         F.col("shard").alias("point"),
     ))
     # Bounded by bins and virtual nodes, so one task may hold it. Past the last node the first one follows.
-    ahead = W.orderBy("pos", F.col("point").isNotNull(), "point").rowsBetween(W.currentRow, W.unboundedFollowing)
+    ahead = W.orderBy(F.desc("pos"), F.desc(F.col("point").isNotNull()), F.desc("point")).rowsBetween(W.unboundedPreceding, W.currentRow)
     wrap = open_points.agg(F.min(F.struct("pos", "shard")).alias("first")).first()["first"]["shard"]
-    offer = F.coalesce(F.first("point", ignorenulls=True).over(ahead), F.lit(wrap))
+    offer = F.coalesce(F.last("point", ignorenulls=True).over(ahead), F.lit(wrap))
     return both.withColumn("offer", offer).filter("bin is not null").drop("point")
 
 
