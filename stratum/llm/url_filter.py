@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .scratch import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
@@ -113,6 +114,8 @@ def apply_rules(urls: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
         F.length(text).alias("size"), F.length("rule_host").alias("host_size"), (F.col("rule_verdict") == ALLOW).alias("allows"),
         F.col("rule_path").alias("path"), text.alias("rule"), F.col("rule_verdict").alias("verdict"),
     )).alias("fitting"))
+    # Written, so that the join deals the pages out itself and can split a host with very many of them.
+    fitting = stored(fitting, "url-host-rules")
     best = F.array_max(F.filter("fitting", lambda rule: F.col("path").startswith(rule["path"])))
     joined = urls.join(fitting, "host", "left").withColumn("best", best)
     return joined.select(*urls.columns, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("rule_verdict"))
