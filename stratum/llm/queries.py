@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, sharding, url_filter
+from . import exact_dedup, language_id, sharding, simhash, url_filter
 from .scratch import id_text
 from .url_filter import Rule
 
@@ -58,6 +58,12 @@ FROM judged LEFT JOIN reach r USING (node)
 """
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicate_components(table(spark, sf_dir, "documents"), width=4, radius=4)
+    return found.select("doc_id", simhash.hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
 @query
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16)
@@ -66,6 +72,19 @@ def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+ORACLE["op6_cuckoo_dedup"] = r"""
+WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-]+', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS points FROM documents),
+g AS (SELECT text_sha256, arg_min(doc_id, (-points, doc_id)) AS keep_id, count(*) AS group_size FROM n GROUP BY 1)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)
+"""
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
