@@ -142,13 +142,15 @@ class Plan:
         gap_bits = self.bits - (min(count, BLOCK_ROWS) * len(self.ball)).bit_length() + 3
         self.width = min(4, max(1, -(-gap_bits // 8)))
 
+    def start(self, bucket: int) -> np.uint64:
+        return np.uint64(int(bucket) << (self.bits - self.bucket_bits))
+
     def split(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Sorted keys by bucket."""
-        shift = np.uint64(self.bits - self.bucket_bits)
-        edges = np.searchsorted(keys, np.arange(self.buckets + 1, dtype=np.uint64) << shift)
+        """Sorted keys by bucket, counted from the bucket's start."""
+        edges = np.searchsorted(keys, np.array([self.start(bucket) for bucket in range(self.buckets + 1)], dtype=np.uint64))
         for bucket in range(self.buckets):
             if edges[bucket] < edges[bucket + 1]:
-                yield bucket, keys[edges[bucket] : edges[bucket + 1]]
+                yield bucket, keys[edges[bucket] : edges[bucket + 1]] - self.start(bucket)
 
 
 def _emit(plan: Plan):
@@ -164,7 +166,8 @@ def _emit(plan: Plan):
 
 def _report(plan: Plan):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        lists = [decode(data, plan.width) for data in group["keys"]]
+        start = plan.start(group["bucket"].iloc[0])
+        lists = [decode(data, plan.width) + start for data in group["keys"]]
         together = np.sort(np.concatenate(lists))
         twice = np.unique(together[1:][together[1:] == together[:-1]])
         found = []
