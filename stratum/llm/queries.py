@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, sharding, simhash, url_filter
+from . import edit_counts, exact_dedup, language_id, packing, sharding, simhash, toxicity, url_filter, warc
 from .scratch import id_text
 from .url_filter import Rule
 
@@ -72,6 +72,21 @@ def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = warc.capture_history(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op4_warc_index"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < kept THEN kept END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
+
+
 @query
 def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
@@ -79,12 +94,53 @@ def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_cuckoo_dedup"] = r"""
-WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-]+', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS points FROM documents),
+WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-
+]+', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS points FROM documents),
 g AS (SELECT text_sha256, arg_min(doc_id, (-points, doc_id)) AS keep_id, count(*) AS group_size FROM n GROUP BY 1)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)
 """
 
 
+def toxicity_field(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Field:
+    """Learned from the labels outside the held-out fold, crc32(doc_id as text) mod 4 = 2."""
+    labels = table(spark, sf_dir, "labels").filter(F.crc32(id_text()) % 4 != 2)
+    return toxicity.train(docs, labels.select("doc_id", "toxic"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity_field(spark, sf_dir, docs), spans=False)
+    return scored.select(
+        "doc_id", (F.crc32(id_text()) % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(table(spark, sf_dir, "documents"), capacity=1024, end_id=0)
+    return packing.pack(parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"), capacity=1024)
+
+
+def sample_edits(docs: DataFrame) -> DataFrame:
+    """Three edits per document from its id and length: an insertion, a deletion across words and a replacement."""
+    size = F.coalesce(F.max(F.length("text")), F.lit(0))
+    sizes = docs.groupBy(F.col("doc_id").cast("long").alias("id")).agg(size.alias("size"))
+    place = [F.pmod(F.xxhash64(F.lit(step), "id"), F.col("size") + 1).cast("int") for step in range(3)]
+    edits = F.array(*[
+        F.struct(F.lit(step).alias("step"), place[step].alias("position"), F.lit(removed).alias("removed"), F.lit(inserted).alias("inserted"))
+        for step, (removed, inserted) in enumerate([(0, " an added phrase, with  spaces"), (23, ""), (5, "Überarbeitet 2024\n")])
+    ])
+    return sizes.select("id", F.inline(edits))
+
+
+@query
+def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = edit_counts.count_after_edits(docs, edit_counts.build_trees(docs), sample_edits(docs))
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
