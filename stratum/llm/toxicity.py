@@ -33,7 +33,7 @@ from .scratch import stored
 WORD = re.compile(r"\w+")
 DIMS = 1 << 20
 LONGEST = 200_000
-LEAST_Z = 4.0
+LEAST_Z = 4.5
 STRIDE = 128
 WORDS_AT_ONCE = 1 << 18
 KNOWN_WORDS = 400_000
@@ -135,14 +135,16 @@ def _firsts(sizes: np.ndarray) -> np.ndarray:
 
 
 def _document_features(marginals: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Per document: one, the logarithm of one plus the expected toxic words, the largest marginal."""
-    features = np.zeros((len(sizes), 3))
+    """Per document: one, the logarithm of one plus the expected number of toxic words, the same of words that
+    are toxic rather than not, and the largest marginal."""
+    features = np.zeros((len(sizes), 4))
     features[:, 0] = 1
     has = sizes > 0
     if has.any():
         starts = (np.cumsum(sizes) - sizes)[has]
         features[has, 1] = np.log1p(np.add.reduceat(marginals, starts))
-        features[has, 2] = np.maximum.reduceat(marginals, starts)
+        features[has, 2] = np.log1p(np.add.reduceat(np.where(marginals >= 0.5, marginals, 0), starts))
+        features[has, 3] = np.maximum.reduceat(marginals, starts)
     return features
 
 
@@ -161,7 +163,7 @@ def _toxic_words(texts: list[str], toxic: np.ndarray) -> set[str]:
 
 def _fit_field(ids: np.ndarray, first: np.ndarray, tags: np.ndarray, rounds: int, rate: float, decay: float) -> Field:
     """Gradient ascent on the likelihood of the tags, step sizes by past gradients (Adagrad)."""
-    field = Field(*(np.zeros(DIMS, dtype=np.float32) for _ in range(3)), np.zeros((2, 2)), 0.0, np.zeros(3))
+    field = Field(*(np.zeros(DIMS, dtype=np.float32) for _ in range(3)), np.zeros((2, 2)), 0.0, np.zeros(4))
     left = np.where(first, 0, np.concatenate([[0], ids[:-1]]))
     last = np.concatenate([first[1:], [True]])
     right = np.where(last, 0, np.concatenate([ids[1:], [0]]))
@@ -182,9 +184,10 @@ def _fit_field(ids: np.ndarray, first: np.ndarray, tags: np.ndarray, rounds: int
         a, b = ahead[inner - 1], back[inner]
         joint = np.stack([np.full(len(inner), w[0, 0]), w[0, 1] * e * b, a * w[1, 0], a * w[1, 1] * e * b])
         expected = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        for name, index in (("own", ids), ("before", left), ("after", right)):
+        # Neighbours are held back: chance neighbours of a few toxic words say little.
+        for name, index, pull in (("own", ids, decay), ("before", left, 100 * decay), ("after", right, 100 * decay)):
             weights = getattr(field, name)
-            setattr(field, name, move(name, weights, np.bincount(index, weights=miss, minlength=DIMS) - decay * weights))
+            setattr(field, name, move(name, weights, np.bincount(index, weights=miss, minlength=DIMS) - pull * weights))
         field.steps = move("steps", field.steps, seen - expected - decay * field.steps)
         field.start = float(move("start", np.array(field.start), np.array(miss[first].sum())))
     return field
@@ -228,7 +231,7 @@ def train(
     counts = np.array([classes.get(0, 0), classes.get(1, 0)], dtype=np.float64)
     if len(set(labels_of.tolist())) < 2:
         share_of = (counts[1] + 1) / (counts.sum() + 2)
-        flat = Field(*(np.zeros(DIMS, dtype=np.float32) for _ in range(3)), np.zeros((2, 2)), -30.0, np.zeros(3))
+        flat = Field(*(np.zeros(DIMS, dtype=np.float32) for _ in range(3)), np.zeros((2, 2)), -30.0, np.zeros(4))
         flat.document[0] = np.log(share_of / (1 - share_of))
         return flat
     lexicon = {zlib.crc32(word.encode()) % (DIMS - 1) + 1 for word in _toxic_words(words, labels_of)}
