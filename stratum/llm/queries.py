@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, exact_dedup, language_id, packing, sharding, simhash, toxicity, url_filter, warc
+from . import decontaminate, edit_counts, exact_dedup, language_id, packing, sharding, simhash, toxicity, url_filter, warc
 from .scratch import id_text
 from .url_filter import Rule
 
@@ -87,6 +87,11 @@ FROM p LEFT JOIN g USING (payload_digest)
 """
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))

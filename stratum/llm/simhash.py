@@ -91,9 +91,9 @@ def hex_of(column: str = "fingerprint") -> Column:
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
 
 
-def masks(radius: int) -> np.ndarray:
-    """All 64-bit words with at most ``radius`` bits set."""
-    bits = [1 << k for k in range(64)]
+def masks(radius: int, width: int = 64) -> np.ndarray:
+    """All words of ``width`` bits with at most ``radius`` bits set."""
+    bits = [1 << k for k in range(width)]
     return np.array([sum(some) for n in range(radius + 1) for some in combinations(bits, n)], dtype=np.uint64)
 
 
@@ -129,9 +129,9 @@ def decode(data: bytes, width: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of distinct fingerprints and the radius."""
 
-    def __init__(self, count: int, radius: int):
+    def __init__(self, count: int, radius: int, width: int = 64):
         self.radius = radius
-        self.ball = masks(radius // 2)
+        self.ball = masks(radius // 2, width)
         variants = max(1, count) * len(self.ball)
         self.blocks = max(1, -(-count // BLOCK_ROWS))
         self.buckets = max(1, -(-variants // BUCKET_VARIANTS))
@@ -182,20 +182,23 @@ def _report(plan: Plan):
     return run
 
 
-def _forest(variants: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Roots for the fingerprints that share variants: arrays (fingerprint, smallest one it is joined to).
-
-    Each one is linked to the first of its variant, distinct pairs once, if their distance holds.
-    """
+def _links(variants: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint with the first one of each of its variants, distinct pairs whose distance holds."""
     names, index = np.unique(prints, return_inverse=True)
-    order = np.argsort(variants, kind="stable")
+    order = np.lexsort((index, variants))
     variant, member = variants[order], index[order]
     head = np.concatenate([[True], variant[1:] != variant[:-1]])
     first = member[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-    links = np.unique(np.minimum(first, member).astype(np.int64) * len(names) + np.maximum(first, member))
-    low, high = links // len(names), links % len(names)
-    near = np.bitwise_count(names[low] ^ names[high]) <= radius
-    low, high = low[near], high[near]
+    pairs = np.unique(first[first != member].astype(np.int64) * len(names) + member[first != member])
+    low, high = names[pairs // len(names)], names[pairs % len(names)]
+    near = np.bitwise_count(low ^ high) <= radius
+    return low[near], high[near]
+
+
+def _forest(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every linked fingerprint but the roots, and the smallest one that links join it to."""
+    names, index = np.unique(np.concatenate([low, high]), return_inverse=True)
+    low, high = index[: len(low)], index[len(low) :]
     root = np.arange(len(names))
     while True:
         least = np.minimum(root[low], root[high])
@@ -204,11 +207,13 @@ def _forest(variants: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.n
         np.minimum.at(after, root[high], least)
         after = np.minimum(after, after[after])
         if np.array_equal(after, root):
-            return names, names[root]
+            break
         root = after
+    joined = root != np.arange(len(names))
+    return names[joined], names[root][joined]
 
 
-def _again(plan: Plan):
+def _again(plan: Plan, pairs: bool):
     """Blocks with the keys reported to them: whole variants of those keys by bucket, one fingerprint per variant, and local links."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,11 +229,12 @@ def _again(plan: Plan):
                 near = np.minimum(np.searchsorted(wanted, keys[at]), len(wanted) - 1)
                 at = at[wanted[near] == keys[at]]
                 variant, source, key = variants[at], own[at // len(plan.ball)], keys[at]
-                names, roots = _forest(variant, source, plan.radius)
-                linked = names != roots
-                rows = [(-1, names[linked].tobytes(), roots[linked].tobytes())]
-                # One member stands for all of the block: they are joined already.
-                _, one = np.unique(variant, return_index=True)
+                low, high = _links(variant, source, plan.radius)
+                low, high = (low, high) if pairs else _forest(low, high)
+                rows = [(-1, low.tobytes(), high.tobytes())]
+                # The first member stands for all of the block: they are joined to it already.
+                one = np.lexsort((source, variant))
+                one = one[np.concatenate([[True], variant[one][1:] != variant[one][:-1]])]
                 variant, source, bucket = variant[one], source[one], key[one] >> np.uint64(plan.bits - plan.bucket_bits)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(plan.buckets + 1))
@@ -241,13 +247,13 @@ def _again(plan: Plan):
     return run
 
 
-def _meet(plan: Plan):
+def _meet(plan: Plan, pairs: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         variants = np.frombuffer(b"".join(group["variants"]), dtype=np.uint64)
         prints = np.frombuffer(b"".join(group["prints"]), dtype=np.uint64)
-        names, roots = _forest(variants, prints, plan.radius)
-        linked = names != roots
-        return pd.DataFrame({"a": names[linked].view(np.int64), "b": roots[linked].view(np.int64)})
+        low, high = _links(variants, prints, plan.radius)
+        low, high = (low, high) if pairs else _forest(low, high)
+        return pd.DataFrame({"a": low.view(np.int64), "b": high.view(np.int64)})
 
     return run
 
@@ -258,11 +264,15 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.frombuffer(names, dtype=np.int64), "b": np.frombuffer(roots, dtype=np.int64)})
 
 
-def linked_fingerprints(prints: DataFrame, radius: int = 4) -> DataFrame:
+def linked_fingerprints(prints: DataFrame, radius: int = 4, bits: int = 64, pairs: bool = False) -> DataFrame:
     """(a, b): edges between the distinct values of ``fingerprint`` that have the same components as all pairs
-    within ``radius`` bits; radius is even and at most 6."""
+    within ``radius`` bits; radius is even and at most 6, and only the lowest ``bits`` bits are ever set.
+
+    With ``pairs`` every edge joins two fingerprints within the radius: each one and the first of each of
+    its variants. Else buckets send a spanning forest, which is less.
+    """
     distinct = Stored(prints.select("fingerprint").distinct(), "simhash-distinct")
-    plan = Plan(distinct.df.count(), radius)
+    plan = Plan(distinct.df.count(), radius, bits)
     blocks = Stored(
         distinct.df.groupBy(spread(F.lit("block"), F.col("fingerprint"), parts=plan.blocks).alias("block"))
         .agg(F.sort_array(F.collect_list("fingerprint")).alias("prints")), "simhash-blocks",
@@ -272,8 +282,8 @@ def linked_fingerprints(prints: DataFrame, radius: int = 4) -> DataFrame:
     emitted = spaced.mapInPandas(_emit(plan), "bucket int, block int, keys binary")
     reported = Stored(emitted.groupBy("bucket").applyInPandas(_report(plan), "block int, reported binary"), "simhash-reported")
     asked = blocks.df.join(reported.df.groupBy("block").agg(F.collect_list("reported").alias("reports")), "block")
-    again = Stored(asked.mapInPandas(_again(plan), "bucket int, variants binary, prints binary"), "simhash-variants")
-    met = again.df.filter("bucket >= 0").groupBy("bucket").applyInPandas(_meet(plan), "a long, b long")
+    again = Stored(asked.mapInPandas(_again(plan, pairs), "bucket int, variants binary, prints binary"), "simhash-variants")
+    met = again.df.filter("bucket >= 0").groupBy("bucket").applyInPandas(_meet(plan, pairs), "a long, b long")
     local = again.df.filter("bucket < 0").mapInPandas(_unpack, "a long, b long")
     return met.unionByName(local).distinct()
 
@@ -297,3 +307,105 @@ def near_duplicate_components(
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(rooted.join(names, "root").select("fingerprint", "component_id"), "simhash-named")
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+
+
+# Near duplicates by similarity: fingerprints find the pairs, a long signature checks them.
+
+FINDERS = 2
+FINDER_BITS = 56
+SIGNATURE_WORDS = 4
+CONSTANTS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
+
+
+def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of several independent-looking hashes made from one."""
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(CONSTANTS[k])
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _majorities(blocks: Iterator[np.ndarray], count: int) -> list[int]:
+    ones, n = np.zeros((count, 64), dtype=np.int64), 0
+    for hashes in blocks:
+        n += len(hashes)
+        for k in range(count):
+            bits = np.unpackbits(_remixed(hashes, k).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            ones[k] += bits.sum(axis=0, dtype=np.int64)
+    return [int.from_bytes(np.packbits(row * 2 > n).tobytes(), "big") for row in ones]
+
+
+def signature(text: str | None, width: int) -> list[int]:
+    """Finder fingerprints over the distinct words, then the words of a long fingerprint over the shingles."""
+    words = words_of(text)
+    if not words:
+        return [0] * (FINDERS + SIGNATURE_WORDS)
+    distinct = np.array([xxhash.xxh64_intdigest(word, SEED) for word in set(words)], dtype=np.uint64)
+    low = (1 << FINDER_BITS) - 1
+    finders = [value & low for value in _majorities(iter([distinct]), FINDERS)]
+    return finders + _majorities(shingle_hashes(words, width), SIGNATURE_WORDS)
+
+
+def _signer(width: int):
+    names = [f"f{k}" for k in range(FINDERS)] + [f"s{k}" for k in range(SIGNATURE_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.array([signature(text.as_py(), width) for text in batch.column(1)], dtype=np.uint64).reshape(-1, len(names))
+            columns = [pa.array(np.ascontiguousarray(made[:, k]).view(np.int64)) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *names])
+
+    return run
+
+
+def distance_for(similarity: float) -> int:
+    """Differing bits of the long signature expected at a Jaccard similarity, plus one standard error.
+
+    Sets of equal size with Jaccard similarity j have cosine 2 j / (1 + j); a bit differs with probability angle / pi.
+    """
+    bits = 64 * SIGNATURE_WORDS
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * p + np.sqrt(bits * p * (1 - p)))
+
+
+def similar_components(
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 4, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(id, component) of the ids that have a near duplicate, and the smallest id of their group.
+
+    Candidates come from ball hashing of two fingerprints over the distinct words, which stay
+    near when a few words change; a pair counts if the long signature over the ``width``-word shingles puts its
+    similarity at ``similarity`` or more. Rows with a null id are left out.
+    """
+    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
+    finders, words = [f"f{k}" for k in range(FINDERS)], [f"s{k}" for k in range(SIGNATURE_WORDS)]
+    signed = stored(source.mapInArrow(_signer(width), ", ".join(f"{name} long" for name in ["id", *finders, *words])), "similar-signatures")
+    own = signed.groupBy(*finders, *words).agg(F.min("id").alias("least"))
+    nodes = stored(own, "similar-nodes")
+    edges = signed.join(nodes, [*finders, *words]).filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    print_of = F.struct(*words).alias("s")
+    found = edges
+    for finder in finders:
+        held = nodes.select(F.col(finder).alias("fingerprint"), F.col("least").alias("id"), print_of)
+        first = stored(held.groupBy("fingerprint").agg(F.min(F.struct("id", "s")).alias("first")), "similar-first")
+        linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True)
+        same = held.join(first, "fingerprint").filter(F.col("id") != F.col("first.id")).select(
+            F.col("first").alias("a"), F.struct("id", "s").alias("b")
+        )
+        across = linked.join(first.select(F.col("fingerprint").alias("a"), F.col("first").alias("left")), "a").join(
+            first.select(F.col("fingerprint").alias("b"), F.col("first").alias("right")), "b"
+        ).select(F.col("left").alias("a"), F.col("right").alias("b"))
+        far = sum((F.bit_count(F.col(f"a.s.{word}").bitwiseXOR(F.col(f"b.s.{word}"))) for word in words), F.lit(0))
+        kept = same.unionByName(across).filter(far <= distance_for(similarity))
+        found = found.unionByName(kept.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+    return connected_components(found, "similar-classes").select(F.col("node").alias("id"), "component")
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the smallest id of each group of near duplicates only.
+
+    Rows with a null id are kept, as are all rows without a near duplicate. Rows that repeat an id share its fate.
+    """
+    names = [F.col(f"`{name}`") for name in docs.columns]
+    groups = stored(similar_components(docs, width, similarity, key=key, text=text), "similar-groups")
+    gone = groups.filter("id <> component").select("id")
+    return docs.join(gone, docs[f"`{key}`"].cast("long") == gone["id"], "left_anti").select(*names)
