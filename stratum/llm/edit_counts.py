@@ -27,11 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored, text_or_empty
-from .words import WordCodes, default_tokenizer
+from .words import Codes, default_tokenizer
 
 LEAF = 400
 CUT = regex.compile(r" (?=\S)")
-LEARN_CHARS = 1_000_000
 
 
 def cuts(text: str) -> list[int]:
@@ -97,13 +96,13 @@ class Tree:
         return Tree(np.frombuffer(data, dtype="<u4").reshape(-1, 2).astype(np.int64))
 
 
-def build(text: str, codes: WordCodes) -> Tree:
+def build(text: str, codes: Codes) -> Tree:
     places = [*cuts(text), len(text)]
-    leaves = [(b - a, len(codes.encode(text[a:b])) // 4) for a, b in zip(places, places[1:])]
+    leaves = [(b - a, codes.count(text[a:b])) for a, b in zip(places, places[1:])]
     return Tree(np.array(leaves, dtype=np.int64).reshape(-1, 2))
 
 
-def apply_edit(text: str, tree: Tree, position: int, removed: int, inserted: str, codes: WordCodes) -> tuple[str, int]:
+def apply_edit(text: str, tree: Tree, position: int, removed: int, inserted: str, codes: Codes) -> tuple[str, int]:
     """The new text, and how many of its code points were encoded again; ``tree`` is updated."""
     low = min(max(0, position), len(text))
     high = min(low + max(0, removed), len(text))
@@ -116,14 +115,14 @@ def apply_edit(text: str, tree: Tree, position: int, removed: int, inserted: str
     region = text[start:low] + inserted + text[high:end]
     for k in range(leaf + 1, end_leaf + 1):
         tree.set(k, 0, 0)
-    tree.set(leaf, len(region), len(codes.encode(region)) // 4)
+    tree.set(leaf, len(region), codes.count(region))
     text = text[:low] + inserted + text[high:]
     if len(region) > 8 * LEAF:
         places = cuts(region)
         if len(places) > 1:
             # A region grown large is cut into leaves of its own.
             bounds = [*places, len(region)]
-            parts = [(b - a, len(codes.encode(region[a:b])) // 4) for a, b in zip(bounds, bounds[1:])]
+            parts = [(b - a, codes.count(region[a:b])) for a, b in zip(bounds, bounds[1:])]
             old = tree.sums[tree.size :]
             merged = np.concatenate([old[:leaf], np.array(parts, dtype=np.int64), old[leaf + 1 :]])
             tree.rebuild(merged[merged[:, 0] > 0])
@@ -132,22 +131,9 @@ def apply_edit(text: str, tree: Tree, position: int, removed: int, inserted: str
 
 def _builder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes(path)
+        codes = Codes(path)
         for batch in batches:
-            made, held, waiting = [], 0, []
-
-            def flush() -> None:
-                codes.learn(waiting)
-                made.extend(build(text, codes).dump() for text in waiting)
-                waiting.clear()
-
-            for value in batch.column(2):
-                waiting.append(value.as_py())
-                held += len(waiting[-1])
-                if held >= LEARN_CHARS:
-                    flush()
-                    held = 0
-            flush()
+            made = [build(text.as_py(), codes).dump() for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["id", "mark", "leaves"])
 
     return run
@@ -155,7 +141,7 @@ def _builder(path: str):
 
 def _editor(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes(path)
+        codes = Codes(path)
         for batch in batches:
             out: dict[str, list] = {name: [] for name in ("tokens_before", "tokens_after", "chars_after", "chars_encoded")}
             for text, leaves, edits in zip(*(batch.column(name) for name in ("text", "leaves", "edits"))):

@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import ROW_ID, numbered, spread
-from .words import WordCodes, default_tokenizer
+from .words import Codes, default_tokenizer
 
 GROUP = 512
-LEARN_CHARS = 2_000_000
+CHARS_AT_ONCE = 2_000_000
 
 
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -81,17 +81,16 @@ def _cutter(path: str, capacity: int, end_id: int):
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes(path)
+        codes = Codes(path)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             at = 0
             while at < len(column):
                 texts, held, begin = [], 0, at
-                while at < len(column) and held < LEARN_CHARS:
+                while at < len(column) and held < CHARS_AT_ONCE:
                     texts.append(column[at].as_py() or "")
                     held += len(texts[-1])
                     at += 1
-                codes.learn(texts)
                 owner, start, ids, total = [], [], [], []
                 for k, text in enumerate(texts):
                     data = codes.encode(text) + end
