@@ -30,6 +30,7 @@ from .scratch import stored
 
 LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 8 << 20
+LARGEST_ARCHIVE = 1 << 30
 RANGE_ROWS = 100_000
 VERSION = b"WARC/1.1\r\n"
 BLANK = b"\r\n\r\n"
@@ -89,9 +90,11 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
 
 def write_archives(pages: DataFrame, path: str, **columns) -> None:
-    total = pages.agg(F.coalesce(F.sum(F.octet_length(columns.get("html", "html")) + 700), F.lit(0))).first()[0]
-    made = records(pages, **columns).repartition(max(1, -(-int(total) // ARCHIVE_BYTES)))
-    made.write.option("lineSep", CRLF * 2).text(path)
+    """Archives of about ``ARCHIVE_BYTES``, and of at most ``LARGEST_ARCHIVE`` whatever the pages' sizes are, without a shuffle."""
+    size = F.octet_length(F.coalesce(F.col(columns.get("html", "html")), F.lit(""))) + F.octet_length(F.coalesce(F.col(columns.get("url", "url")), F.lit(""))) + 700
+    mean, most = pages.agg(F.avg(size), F.max(size)).first()
+    per_file = max(1, min(int(ARCHIVE_BYTES / (mean or 1)), LARGEST_ARCHIVE // (most or 1)))
+    records(pages, **columns).write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse(name: str, data: bytes) -> Iterator[tuple]:
