@@ -2,7 +2,7 @@
 
 Labels exist for documents only, so the words get theirs first: a word of a toxic training document
 counts as toxic if it is found in toxic documents far more often than chance allows (z of at least
-``LEAST_Z``). From these tagged sequences the field learns weights of the word, of the words
+``LEAST_Z``, and eight times as often as in others). From these tagged sequences the field learns weights of the word, of the words
 beside it and of the tag before. Forward-backward gives each word's marginal; a logistic of the
 expected number of toxic words and of the largest marginal, fitted to the document labels, is the
 score, and runs of words with a marginal of one half or more are the offending spans.
@@ -32,10 +32,10 @@ from .scratch import stored
 
 WORD = re.compile(r"\w+")
 DIMS = 1 << 20
-LONGEST = 200_000
-LEAST_Z = 4.5
+LONGEST = 50_000
+LEAST_Z = 4.0
 STRIDE = 128
-WORDS_AT_ONCE = 1 << 18
+WORDS_AT_ONCE = 1 << 17
 KNOWN_WORDS = 400_000
 
 
@@ -124,7 +124,7 @@ def _words(texts: list[str | None], ids: WordIds) -> tuple[np.ndarray, np.ndarra
         found = WORD.findall(text.lower()) if text else []
         numbers.extend(map(look, found))
         sizes.append(len(found))
-    return np.array(numbers, dtype=np.int64), np.array(sizes, dtype=np.int64)
+    return np.array(numbers, dtype=np.int32), np.array(sizes, dtype=np.int64)
 
 
 def _firsts(sizes: np.ndarray) -> np.ndarray:
@@ -153,23 +153,32 @@ def _toxic_words(texts: list[str], toxic: np.ndarray) -> set[str]:
     for text, label in zip(texts, toxic):
         (inside if label else outside).update(set(WORD.findall(text.lower())))
     share = toxic.mean()
+    odds = share / (1 - share)
     found = set()
     for word, n in inside.items():
         expected = (n + outside[word]) * share
-        if (n - expected) / np.sqrt(expected + 1) >= LEAST_Z and n >= 4 * expected:
+        if (n - expected) / np.sqrt(expected + 1) >= LEAST_Z and n >= 8 * odds * (outside[word] + 0.5):
             found.add(word)
     return found
 
 
-def _fit_field(ids: np.ndarray, first: np.ndarray, tags: np.ndarray, rounds: int, rate: float, decay: float) -> Field:
-    """Gradient ascent on the likelihood of the tags, step sizes by past gradients (Adagrad)."""
+def _chunks(ids: np.ndarray, sizes: np.ndarray) -> list[slice]:
+    """Runs of whole documents of about ``WORDS_AT_ONCE`` words."""
+    ends = np.cumsum(sizes)
+    cuts, start = [], 0
+    for end in ends.tolist():
+        if end - start >= WORDS_AT_ONCE:
+            cuts.append(slice(start, end))
+            start = end
+    return [*cuts, slice(start, len(ids))] if start < len(ids) else cuts
+
+
+def _fit_field(ids: np.ndarray, first: np.ndarray, tags: np.ndarray, chunks: list[slice], rounds: int, rate: float, decay: float) -> Field:
+    """Gradient ascent on the likelihood of the tags, step sizes by past gradients (Adagrad).
+
+    Gradients are summed over chunks of documents, so memory is that of one chunk and of the weights.
+    """
     field = Field(*(np.zeros(DIMS, dtype=np.float32) for _ in range(3)), np.zeros((2, 2)), 0.0, np.zeros(4))
-    left = np.where(first, 0, np.concatenate([[0], ids[:-1]]))
-    last = np.concatenate([first[1:], [True]])
-    right = np.where(last, 0, np.concatenate([ids[1:], [0]]))
-    inner = np.flatnonzero(~first)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (tags[inner - 1], tags[inner]), 1)
     past: dict[str, np.ndarray] = {}
 
     def move(name: str, weights: np.ndarray, gradient: np.ndarray) -> np.ndarray:
@@ -177,19 +186,29 @@ def _fit_field(ids: np.ndarray, first: np.ndarray, tags: np.ndarray, rounds: int
         return weights + (rate * gradient / np.sqrt(past[name])).astype(weights.dtype)
 
     for _ in range(rounds):
-        emissions = field.emissions(ids, first)
-        marginal, ahead, back = forward_backward(field, emissions, first)
-        miss = tags - marginal
-        w, e = np.exp(field.steps), np.exp(emissions[inner])
-        a, b = ahead[inner - 1], back[inner]
-        joint = np.stack([np.full(len(inner), w[0, 0]), w[0, 1] * e * b, a * w[1, 0], a * w[1, 1] * e * b])
-        expected = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        sums = {name: np.zeros(DIMS, dtype=np.float32) for name in ("own", "before", "after")}
+        steps, start = np.zeros((2, 2)), 0.0
+        for part in chunks:
+            own, heads, tag = ids[part], first[part], tags[part]
+            left = np.where(heads, 0, np.concatenate([[0], own[:-1]]))
+            right = np.where(np.concatenate([heads[1:], [True]]), 0, np.concatenate([own[1:], [0]]))
+            emissions = field.emissions(own, heads)
+            marginal, ahead, back = forward_backward(field, emissions, heads)
+            miss = (tag - marginal).astype(np.float32)
+            for name, index in (("own", own), ("before", left), ("after", right)):
+                np.add.at(sums[name], index, miss)
+            inner = np.flatnonzero(~heads)
+            w, e, a, b = np.exp(field.steps), np.exp(emissions[inner]), ahead[inner - 1], back[inner]
+            joint = np.stack([np.full(len(inner), w[0, 0]), w[0, 1] * e * b, a * w[1, 0], a * w[1, 1] * e * b])
+            steps -= (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+            np.add.at(steps, (tag[inner - 1], tag[inner]), 1)
+            start += float(miss[heads].sum())
         # Neighbours are held back: chance neighbours of a few toxic words say little.
-        for name, index, pull in (("own", ids, decay), ("before", left, 100 * decay), ("after", right, 100 * decay)):
+        for name, pull in (("own", decay), ("before", 100 * decay), ("after", 100 * decay)):
             weights = getattr(field, name)
-            setattr(field, name, move(name, weights, np.bincount(index, weights=miss, minlength=DIMS) - pull * weights))
-        field.steps = move("steps", field.steps, seen - expected - decay * field.steps)
-        field.start = float(move("start", np.array(field.start), np.array(miss[first].sum())))
+            setattr(field, name, move(name, weights, sums[name] - np.float32(pull) * weights))
+        field.steps = move("steps", field.steps, steps - decay * field.steps)
+        field.start = float(move("start", np.array(field.start), np.array(start)))
     return field
 
 
@@ -205,7 +224,7 @@ def _fit_logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray)
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, docs_per_class: int = 1500, rounds: int = 25, rate: float = 0.7, decay: float = 0.01,
+    docs: DataFrame, labels: DataFrame, docs_per_class: int = 800, rounds: int = 20, rate: float = 0.7, decay: float = 0.01,
     key: str = "doc_id", text: str = "text",
 ) -> Field:
     """The field and its document logistic from ``labels`` (key, toxic) and the texts of ``docs``.
@@ -239,8 +258,9 @@ def train(
     first = _firsts(sizes)
     owner = np.repeat(labels_of, sizes)
     tags = (np.isin(ids, np.fromiter(lexicon, dtype=np.int64, count=len(lexicon))) & (owner == 1)).astype(np.int64)
-    field = _fit_field(ids, first, tags, rounds, rate, decay)
-    marginals, _, _ = forward_backward(field, field.emissions(ids, first), first)
+    chunks = _chunks(ids, sizes)
+    field = _fit_field(ids, first, tags, chunks, rounds, rate, decay)
+    marginals = np.concatenate([forward_backward(field, field.emissions(ids[c], first[c]), first[c])[0] for c in chunks] or [np.zeros(0)])
     taken = np.bincount(labels_of, minlength=2)
     weights = (counts / np.maximum(taken, 1))[labels_of]
     field.document = _fit_logistic(_document_features(marginals, sizes), labels_of, weights / weights.mean())
