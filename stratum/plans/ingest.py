@@ -198,7 +198,8 @@ def _check_batch(run: Run, number: int) -> None:
     """Store the state of every file of one batch: ok, empty or error."""
     batch = run.batch(number)
     size = F.col("length")
-    paths = [r.path for r in batch.where((size > 0) & (size <= LARGEST_CHECKED_FILE)).select("path").toLocalIterator()]
+    checked = (size > 0) if run.dataset.lines else (size > 0) & (size <= LARGEST_CHECKED_FILE)
+    paths = [r.path for r in batch.where(checked).select("path").toLocalIterator()]
     if paths:
         run.texts = sorted(paths), open_texts(run.spark, paths, run.dataset.lines)
         states = check_documents(run.texts[1], run.dataset.lines)
@@ -206,7 +207,7 @@ def _check_batch(run: Run, number: int) -> None:
         batch = batch.join(states, "file_key", "left")
     else:
         batch = batch.withColumn("state", F.lit(None).cast("string"))
-    state = F.when(size > LARGEST_CHECKED_FILE, "ok").otherwise(F.coalesce("state", F.lit("error")))
+    state = F.when((size > 0) & ~checked, "ok").otherwise(F.coalesce("state", F.lit("error")))
     write_table(batch.withColumn("state", state), f"{run.scratch}/checked-{number}")
 
 
@@ -223,7 +224,8 @@ def _good_files(run: Run, number: int) -> list[tuple[str, int]]:
 
 
 def _good_paths(run: Run, number: int, large: bool) -> list[str]:
-    return [path for path, length in _good_files(run, number) if large == (length > LARGEST_CHECKED_FILE)]
+    unchecked = LARGEST_CHECKED_FILE if not run.dataset.lines else float("inf")
+    return [path for path, length in _good_files(run, number) if large == (length > unchecked)]
 
 
 def _task_sizes(run: Run, number: int) -> dict[str, str]:

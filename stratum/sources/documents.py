@@ -21,7 +21,8 @@ from ..session import opening_paths, session_conf
 CORRUPT = "__corrupt"
 SOURCE_PATH = "__path"
 
-# A text value holds at most 2 GB; larger files are read as a stream without the check.
+# A text value holds at most 2 GB; larger documents are read as a stream without the check. Files of
+# lines have no such limit: their lines are the texts.
 LARGEST_CHECKED_FILE = 2_000_000_000
 
 JSON_OPTIONS = {
@@ -44,7 +45,9 @@ def _reader(spark: SparkSession, lines: bool, streamed: bool = False):
     per value on a remote file system; it is left for files too large for one text value.
     """
     reader = spark.read.options(**JSON_OPTIONS).option("recursiveFileLookup", True)
-    return reader.option("multiLine", streamed) if lines or streamed else reader.option("lineSep", WHOLE_FILE)
+    if lines:
+        return reader
+    return reader.option("multiLine", True) if streamed else reader.option("lineSep", WHOLE_FILE)
 
 
 def open_texts(spark: SparkSession, paths: list[str], lines: bool = False) -> DataFrame:

@@ -254,3 +254,15 @@ def test_counting_reads(spark, tmp_path):
     assert read_documents(spark, [str(tmp_path / "a.json"), str(tmp_path / "bad.json")]).count() == 2
     assert read_documents(spark, str(tmp_path / "l.jsonl"), lines=True).select("a").collect() == [(1,)]
     assert read_csv(spark, str(tmp_path / "c.csv")).count() == 1
+
+
+def test_size_changes_no_answer_for_lines(make_landing, monkeypatch):
+    """Files of lines give all rows, and are checked, at any size."""
+    from stratum.plans import ingest
+
+    monkeypatch.setattr(ingest, "LARGEST_CHECKED_FILE", 100)
+    lines = make_landing(format="jsonl", pattern="*.jsonl")
+    lines.put("a.jsonl", "\n".join(json.dumps({"i": i}) for i in range(1000)))
+    lines.put("b.jsonl", "\n".join(json.dumps({"i": i}) for i in range(50)) + "\n{broken")
+    summary = lines.run()
+    assert summary["processed"] == 1 and summary["error"] == 1 and lines.table().count() == 1000
