@@ -8,7 +8,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from .. import files
 from ..functions.paths import output_name, without_extension
@@ -20,7 +20,7 @@ from ..operators.freshness import FRESH, NEW, SOURCE_MISSING, STALE, freshness_p
 from ..operators.schema import with_mixed, without_fields
 from ..operators.summary import batch_summary
 from ..session import session_conf, shared_dir
-from ..sinks.parquet import drop_partitions, finish_replacement, replace_partitions, write_partitions, write_pending, write_table
+from ..sinks.parquet import drop_partitions, finish_replacement, write_partitions, write_pending, write_table
 from ..sources.delimited import scan_csv
 from ..sources.documents import (
     CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields,
@@ -28,7 +28,8 @@ from ..sources.documents import (
 )
 from ..sources.listing import LISTING_CONF, list_files, open_folder, zero_byte_files
 from .manifest import (
-    EMPTY, ERROR, PROCESSED, append_manifest, current_outputs, load_schema, read_manifest, save_schema, stage,
+    EMPTY, ERROR, MOVED, PROCESSED, append_manifest, batch_counts, current_entries, current_outputs, load_schema, read_manifest,
+    replaced_outputs, save_schema, stage,
 )
 from .reconcile import TEXT_LIKE, field_names, reconcile, text_like_names
 from .spec import BY_BATCH, BY_FILE, FILE_KEY, INGEST_BATCH, Dataset
@@ -42,6 +43,9 @@ SKIPPED = "skipped"
 MAX_FILES = 50_000
 MAX_BYTES = 2**40
 
+# A batch is compacted when this share of the files ever read into it has been read again since.
+DEAD_SHARE = 0.25
+
 CSV_JOBS = 8
 
 # Spark never cuts files up to its opening cost, 4 MB.
@@ -101,7 +105,8 @@ class Run:
             F.when(F.col("action") == FRESH, SKIPPED).otherwise(SOURCE_MISSING).alias("status"),
             F.lit(None).cast("bigint").alias("n_rows"),
         )
-        done = read_manifest(self.spark, self.dataset).where(F.col("run") == self.id).select("status", "n_rows")
+        entries = read_manifest(self.spark, self.dataset).where((F.col("run") == self.id) & (F.col("status") != MOVED))
+        done = entries.select("status", "n_rows")
         return batch_summary(untouched.unionByName(done).withColumn("dataset", F.lit(self.dataset.name)))
 
 
@@ -150,6 +155,8 @@ def _ingest_json(run: Run) -> None:
         _ingest_batch(run, number, state, lone_batch=fresh_table and run.n_batches == 1)
     if state.unseen:
         save_schema(spark, dataset, time.time_ns() // 1_000, state.schema, state.unseen)
+    if dataset.layout == BY_BATCH:
+        _compact(run)
 
 
 @dataclass
@@ -325,16 +332,12 @@ def _recover(run: Run, version: int | None) -> None:
         return
     for path in files.children(spark, dataset.state):
         name = path.rsplit("/", 1)[-1]
-        if name == "pending-rows" or name == f"pending-types-{version}":
+        if name == f"pending-types-{version}":
             finish_replacement(spark, dataset.bronze, dataset.partition, path)
         elif name.startswith("pending-"):
             files.delete(spark, path)
-    if dataset.layout == BY_BATCH and files.exists(spark, dataset.bronze):
-        committed = {f"{INGEST_BATCH}={number}" for number in _committed_batches(spark, dataset)}
-        for path in files.children(spark, dataset.bronze):
-            name = path.rsplit("/", 1)[-1]
-            if name.startswith(f"{INGEST_BATCH}=") and name not in committed:
-                files.delete(spark, path)
+    if dataset.layout == BY_BATCH:
+        _drop_dead_batches(spark, dataset, batch_counts(spark, dataset))
 
 
 def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> None:
@@ -397,8 +400,11 @@ def _find_mixed(run: Run, number: int, state: _Columns, levels: dict[str, int])
 
 
 def _record(run: Run, checked: DataFrame, bad: DataFrame | None, batch_id: int) -> None:
-    """Clear replaced rows, then note the outcome of every file of the batch."""
-    spark, dataset = run.spark, run.dataset
+    """Note the outcome of every file of the batch.
+
+    In batch layout this entry is what makes the new rows visible and the former ones invisible.
+    """
+    dataset = run.dataset
     outcome = checked
     outcome = outcome.join(bad, "file_key", "left") if bad is not None else outcome.withColumn("bad", F.lit(None))
     status = (
@@ -411,15 +417,12 @@ def _record(run: Run, checked: DataFrame, bad: DataFrame | None, batch_id: int)
         outcome.withColumn("status", status)
         .join(counts, "file_key", "left")
         .withColumn("n_rows", F.when(F.col("status") == PROCESSED, F.coalesce("n_rows", F.lit(0))).otherwise(F.lit(0)))
-        .withColumn("old_batch", F.col("ingest_batch"))
         .withColumn("ingest_batch", F.when(F.col("status") == PROCESSED, F.lit(batch_id)))
         .withColumn("run", F.lit(run.id))
     )
     entries = stage(entries, f"{run.scratch}/entries-{batch_id}")
     if dataset.layout == BY_FILE:
         _drop_emptied_files(run, entries)
-    else:
-        _drop_replaced_rows(run, entries)
     append_manifest(entries, dataset)
 
 
@@ -440,21 +443,35 @@ def _drop_emptied_files(run: Run, entries: DataFrame) -> None:
         drop_partitions(table.where(F.col("file_key").isin(keys)))
 
 
-def _drop_replaced_rows(run: Run, entries: DataFrame) -> None:
-    """Remove the former rows of re-read files from the batch partitions that hold them."""
+def _compact(run: Run) -> None:
+    """Move the current rows of batches that are largely dead into a batch of their own, and remove what is dead.
+
+    The move is an entry in the manifest as well: before it the copy is invisible, after it the
+    originals are, so a crash at any point loses and doubles nothing, and readers see every row once.
+    """
     spark, dataset = run.spark, run.dataset
-    replaced = entries.where((F.col("status") != ERROR) & F.col("old_batch").isNotNull())
-    replaced = replaced.select("file_key", F.col("old_batch").alias(INGEST_BATCH))
-    touched = [row[0] for row in replaced.select(INGEST_BATCH).distinct().toLocalIterator()]
-    if not touched:
+    batches = batch_counts(spark, dataset)
+    worn = [b.ingest_batch for b in batches if b.n_current and b.n_files - b.n_current >= DEAD_SHARE * b.n_files]
+    if worn and files.exists(spark, dataset.bronze):
+        moved_to = time.time_ns() // 1_000 * 1_000
+        table = read_bronze(spark, dataset, keys=True).where(F.col(INGEST_BATCH).isin(worn)).drop(INGEST_BATCH)
+        write_table(table, f"{dataset.bronze}/{INGEST_BATCH}={moved_to}")
+        held = current_entries(spark, dataset).where(F.col(INGEST_BATCH).isin(worn))
+        held = held.withColumn("status", F.lit(MOVED)).withColumn("run", F.lit(run.id)).withColumn(INGEST_BATCH, F.lit(moved_to))
+        append_manifest(stage(held, f"{run.scratch}/moved"), dataset)
+        batches = batch_counts(spark, dataset)
+    _drop_dead_batches(spark, dataset, batches)
+
+
+def _drop_dead_batches(spark: SparkSession, dataset: Dataset, batches: list[Row]) -> None:
+    """Delete the batches that hold the current rows of no file."""
+    if not files.exists(spark, dataset.bronze):
         return
-    table = _stored(spark, dataset).where(F.col(INGEST_BATCH).isin(touched))
-    survivors = table.join(replaced, [FILE_KEY, INGEST_BATCH], "left_anti")
-    left = {row[0] for row in survivors.select(INGEST_BATCH).distinct().toLocalIterator()}
-    if left:
-        replace_partitions(survivors, dataset.bronze, INGEST_BATCH, f"{dataset.state}/pending-rows")
-    for gone in set(touched) - left:
-        files.delete(spark, f"{dataset.bronze}/{INGEST_BATCH}={gone}")
+    live = {f"{INGEST_BATCH}={b.ingest_batch}" for b in batches if b.n_current}
+    for path in files.children(spark, dataset.bronze):
+        name = path.rsplit("/", 1)[-1]
+        if name.startswith(f"{INGEST_BATCH}=") and name not in live:
+            files.delete(spark, path)
 
 
 def _stored(spark: SparkSession, dataset: Dataset) -> DataFrame:
@@ -470,19 +487,22 @@ def _stored(spark: SparkSession, dataset: Dataset) -> DataFrame:
     return spark.read.schema(table).parquet(dataset.bronze)
 
 
-def _committed_batches(spark: SparkSession, dataset: Dataset) -> list[int]:
-    """Batches that hold the current rows of some file: one number per batch, not per file."""
-    held = current_outputs(spark, dataset).where(F.col(INGEST_BATCH).isNotNull()).select(INGEST_BATCH).distinct()
-    return [row[0] for row in held.toLocalIterator()]
-
-
 def read_bronze(spark: SparkSession, dataset: Dataset, keys: bool = False) -> DataFrame:
-    """The bronze table of a dataset. ``file_key`` is kept; ``keys`` also keeps the batch column."""
+    """The bronze table of a dataset. ``file_key`` is kept; ``keys`` also keeps the batch column.
+
+    In batch layout the manifest says which rows count: those of the batch that a file was last
+    read into. Rows are only compared with it where a batch holds rows that a later read replaced.
+    """
     if dataset.format == "csv":
         raise ValueError("every CSV file is a table of its own; read it with parquet_table")
     df = _stored(spark, dataset)
     if dataset.layout == BY_BATCH:
-        df = df.where(F.col(INGEST_BATCH).isin(_committed_batches(spark, dataset)))
+        batches = batch_counts(spark, dataset)
+        df = df.where(F.col(INGEST_BATCH).isin([b.ingest_batch for b in batches if b.n_current]))
+        mixed = [b.ingest_batch for b in batches if 0 < b.n_current < b.n_files]
+        if mixed:
+            dead = replaced_outputs(spark, dataset).where(F.col(INGEST_BATCH).isin(mixed))
+            df = df.join(dead, [FILE_KEY, INGEST_BATCH], "left_anti").select(*[quoted(name) for name in df.columns])
         df = df if keys else df.drop(INGEST_BATCH)
     return df
 
@@ -510,8 +530,10 @@ def _ingest_csv(run: Run) -> None:
         return (*entry, status, rows, None, run.id)
 
     columns = ["file_key", "path", "src_mtime", "length"]
-    with ThreadPoolExecutor(CSV_JOBS) as pool:
-        done = list(pool.map(ingest, run.todo.select(*columns).toLocalIterator()))
-    if done:
-        schema = "file_key string, path string, src_mtime timestamp, length bigint, status string, n_rows bigint, ingest_batch bigint, run bigint"
-        append_manifest(run.spark.createDataFrame(done, schema), run.dataset)
+    schema = "file_key string, path string, src_mtime timestamp, length bigint, status string, n_rows bigint, ingest_batch bigint, run bigint"
+    for number in range(run.n_batches):
+        # The outcomes of one batch are noted before the next begins: a crash repeats one batch.
+        with ThreadPoolExecutor(CSV_JOBS) as pool:
+            done = list(pool.map(ingest, run.batch(number).select(*columns).toLocalIterator()))
+        if done:
+            append_manifest(run.spark.createDataFrame(done, schema), run.dataset)

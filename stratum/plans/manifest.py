@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from .. import files
 from ..sinks.parquet import write_table
@@ -16,7 +16,8 @@ MANIFEST_SCHEMA = (
 )
 CURRENT_SCHEMA = "file_key string, out_mtime timestamp, ingest_batch bigint, run bigint"
 
-PROCESSED, EMPTY, ERROR = "processed", "empty", "error"
+# ``moved``: the file was not read, its rows were copied to another batch.
+PROCESSED, EMPTY, ERROR, MOVED = "processed", "empty", "error", "moved"
 
 
 def read_manifest(spark: SparkSession, dataset: Dataset) -> DataFrame:
@@ -32,15 +33,44 @@ def append_manifest(entries: DataFrame, dataset: Dataset) -> None:
     stamped.write.mode("append").parquet(f"{dataset.state}/manifest")
 
 
+def _outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    return read_manifest(spark, dataset).where(F.col("status").isin(PROCESSED, EMPTY, MOVED))
+
+
+def current_entries(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    """Per file the manifest's last entry that tells where its rows are, in the manifest's columns."""
+    entries = _outputs(spark, dataset)
+    others = [name for name in entries.columns if name != "file_key"]
+    last = F.max_by(F.struct(*others), F.col("run")).alias("last")
+    return entries.groupBy("file_key").agg(last).select("file_key", "last.*")
+
+
 def current_outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
     """Last successful read per file: ``file_key, out_mtime, ingest_batch, run``.
 
     ``out_mtime`` is the age of the source version that the output holds, so an edit during a
     run is still seen by the next one. A failed read leaves the last good one in force.
     """
-    last = F.max_by(F.struct("src_mtime", "ingest_batch", "run"), F.col("run")).alias("last")
-    done = read_manifest(spark, dataset).where(F.col("status").isin(PROCESSED, EMPTY)).groupBy("file_key").agg(last)
-    return done.select("file_key", F.col("last.src_mtime").alias("out_mtime"), "last.ingest_batch", "last.run")
+    current = current_entries(spark, dataset)
+    return current.select("file_key", F.col("src_mtime").alias("out_mtime"), "ingest_batch", "run")
+
+
+def replaced_outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    """Where rows were that a later read replaced or a compaction moved: ``file_key, ingest_batch``."""
+    entries = _outputs(spark, dataset).where(F.col("ingest_batch").isNotNull()).select("file_key", "ingest_batch")
+    current = current_entries(spark, dataset).select("file_key", "ingest_batch")
+    return entries.join(current, ["file_key", "ingest_batch"], "left_anti")
+
+
+def batch_counts(spark: SparkSession, dataset: Dataset) -> list[Row]:
+    """Per batch how many files ever had rows there and how many still have.
+
+    One row per batch reaches the driver, as its folder does in Spark's file index.
+    """
+    held = _outputs(spark, dataset).where(F.col("ingest_batch").isNotNull() & (F.col("n_rows") > 0)).groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_files"))
+    current = current_entries(spark, dataset).where("n_rows > 0").groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_current"))
+    counts = held.join(current, "ingest_batch", "left").select("ingest_batch", "n_files", F.coalesce("n_current", F.lit(0)).alias("n_current"))
+    return list(counts.toLocalIterator())
 
 
 def load_schema(spark: SparkSession, dataset: Dataset) -> tuple[T.StructType | None, set[str], int | None]:

@@ -39,16 +39,6 @@ def write_pending(df: DataFrame, pending: str, column: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(pending)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, pending: str) -> None:
-    """Replace partitions by rows computed from the same table, surviving a crash in between.
-
-    The rows are written to ``pending`` first. Until they have reached the table,
-    ``finish_replacement`` can repeat the second step any number of times.
-    """
-    write_pending(df, pending, column)
-    finish_replacement(df.sparkSession, path, column, pending)
-
-
 def finish_replacement(spark: SparkSession, path: str, column: str, pending: str) -> None:
     """Carry a completely written replacement over to the table; drop an incomplete one."""
     if files.exists(spark, f"{pending}/_SUCCESS") and files.has_partitions(spark, pending):

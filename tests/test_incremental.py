@@ -93,28 +93,96 @@ def test_a_crash_before_the_manifest_is_repeated(make_landing, monkeypatch, layo
     assert stored.count() == 2
 
 
-def test_survivors_outlive_a_crash_between_staging_and_replacing(make_landing, monkeypatch):
+def test_last_good_rows_outlive_a_crash_and_a_source_broken_after_it(make_landing, monkeypatch):
     landing = make_landing(layout=BY_BATCH)
     landing.put("a.json", [{"id": 1}])
     landing.put("b.json", [{"id": 2}])
     landing.run()
     landing.put("a.json", [{"id": 10}])
 
-    def lose_partition(spark, path, column, pending):
-        for child in files.children(spark, path):
-            if "=" in child and f"{landing_batches[0]}" in child:
-                files.delete(spark, child)
-        raise RuntimeError("lost in the middle")
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    for step in ("append_manifest", "_compact"):
+        with monkeypatch.context() as patch:
+            patch.setattr(ingest_module, step, crash)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                landing.run()
+        assert landing.rows("id") == ([(1,), (2,)] if step == "append_manifest" else [(10,), (2,)])
+    landing.put("a.json", "[{")
+    assert landing.run() == {"error": 1, "skipped": 1}
+    assert landing.rows("id") == [(10,), (2,)]
+
+
+def test_a_source_broken_after_a_crash_keeps_the_version_before(make_landing, monkeypatch):
+    landing = make_landing(layout=BY_BATCH)
+    landing.put("a.json", [{"id": 1}])
+    landing.put("b.json", [{"id": 2}])
+    landing.run()
+    landing.put("a.json", [{"id": 10}])
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "append_manifest", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            landing.run()
+    landing.put("a.json", "[{")
+    assert landing.run() == {"error": 1, "skipped": 1}
+    assert landing.rows("id") == [(1,), (2,)]
+
 
-    import stratum.sinks.parquet as parquet
+@pytest.mark.parametrize("step", ["append", "delete"])
+def test_compaction_outlives_a_crash(make_landing, monkeypatch, step):
+    landing = make_landing(layout=BY_BATCH)
+    for i in range(3):
+        landing.put(f"{i}.json", [{"id": i}])
+    landing.run()
+    landing.put("0.json", [{"id": 10}])
+    append, calls = ingest_module.append_manifest, []
+
+    def second_append_fails(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost in the middle")
+        append(*args)
+
+    def crash(*_):
+        raise RuntimeError("lost in the middle")
 
-    landing_batches = [r[0] for r in read_manifest(landing.spark, landing.dataset).select("ingest_batch").distinct().collect()]
     with monkeypatch.context() as patch:
-        patch.setattr(parquet, "finish_replacement", lose_partition)
+        if step == "append":
+            patch.setattr(ingest_module, "append_manifest", second_append_fails)
+        else:
+            compact = ingest_module._compact
+
+            def compact_until_delete(run):
+                patch.setattr(ingest_module, "_drop_dead_batches", crash)
+                compact(run)
+
+            patch.setattr(ingest_module, "_compact", compact_until_delete)
         with pytest.raises(RuntimeError, match="lost in the middle"):
             landing.run()
+    assert landing.rows("id") == [(1,), (10,), (2,)]
+    landing.put("3.json", [{"id": 3}])
+    assert landing.run() == {"processed": 1, "skipped": 3}
+    assert landing.rows("id") == [(1,), (10,), (2,), (3,)]
+    assert landing.spark.read.parquet(str(landing.root / "table")).count() == 4
+
+
+def test_few_replaced_rows_leave_their_batch_untouched(make_landing):
+    landing = make_landing(layout=BY_BATCH)
+    for i in range(10):
+        landing.put(f"{i}.json", [{"id": i}])
     landing.run()
-    assert landing.rows("id") == [(10,), (2,)]
+    before = stamps(landing)
+    landing.put("4.json", [{"id": 40}])
+    assert landing.run() == {"processed": 1, "skipped": 9}
+    after = stamps(landing)
+    assert before.items() <= after.items()
+    assert landing.rows("id") == sorted(((i if i != 4 else 40,) for i in range(10)), key=repr)
+    assert landing.run() == {"skipped": 10}
 
 
 def test_type_change_outlives_a_crash(landing, monkeypatch):
