@@ -24,6 +24,23 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move_uri(spark: SparkSession, uri: str, to: str) -> None:
+    """Rename what a percent-encoded URI names, over a file that has the new name; folders on the way are made."""
+    fs, target = _open(spark, to)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)), target):
+        raise OSError(f"could not rename {uri} to {to}")
+
+
+def copy(spark: SparkSession, path: str, to: str) -> None:
+    """Copy a folder of a bounded number of files."""
+    fs, source = _open(spark, path)
+    target = _open(spark, to)[1]
+    fs.mkdirs(target.getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, spark._jsc.hadoopConfiguration())
+
+
 def delete_uri(spark: SparkSession, uri: str) -> None:
     """Delete what a percent-encoded URI, as in ``_metadata.file_path``, names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 
@@ -16,8 +18,13 @@ def relative_path(uri: Column, root: str) -> Column:
     return F.substring(decoded_path(uri), len(root.rstrip("/")) + 2, 2**31 - 1)
 
 
-def without_extension(path: Column) -> Column:
-    return F.regexp_replace(path, r"\.[^./]+$", "")
+def without_extension(path: Column, pattern: str) -> Column:
+    """Path without the extension in which ``pattern`` ends.
+
+    A pattern that leaves the extension open keeps it, so two files never share one name.
+    """
+    extension = re.search(r"\.[A-Za-z0-9]+$", pattern)
+    return F.regexp_replace(path, f"\\{extension[0]}$", "") if extension else path
 
 
 def file_stem(path: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import files
 from .session import shared_dir
 
 # Seconds spent on preparing landing files, per query: kept apart from the operator's own time.
@@ -41,6 +42,25 @@ def write_documents(records: DataFrame, folder: str, by: str | None = None, per_
     (writer.partitionBy(by) if by else writer).text(folder)
 
 
+def write_named(texts: DataFrame, folder: str) -> None:
+    """Files with given names: ``file`` is the path below ``folder``, ``value`` the whole content.
+
+    Spark picks its files' names itself, so each one is renamed; the loop has one step per file.
+    """
+    made = shared_dir(texts.sparkSession, "named")
+    texts.write.option("maxRecordsPerFile", 1).partitionBy("file").text(made)
+    spark = texts.sparkSession
+    for row in spark.read.text(made, wholetext=True).select("file", "_metadata.file_path").toLocalIterator():
+        files.move_uri(spark, row.file_path, f"{folder}/{row.file}")
+    files.delete(spark, made)
+
+
+def as_list(records: DataFrame) -> DataFrame:
+    """``file, value``: the records of each ``file`` as one JSON list."""
+    text = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("record")), F.lit("]"))
+    return records.groupBy("file").agg(text.alias("value"))
+
+
 def write_single_records(records: DataFrame, folder: str) -> None:
     """One JSON file per record, with an object as its root."""
     records.select("record").write.option("maxRecordsPerFile", 1).text(folder)

@@ -78,7 +78,7 @@ class Run:
     def key_of(self, path: Column) -> Column:
         """File key of a decoded path below the landing folder."""
         relative = F.substring(path, len(self.root) + 2, 2**31 - 1)
-        return output_name(without_extension(relative), self.dataset.prefix)
+        return output_name(without_extension(relative, self.dataset.pattern), self.dataset.prefix)
 
     def make_plan(self) -> None:
         """Compare landing files with the manifest once; later steps read the stored result."""

@@ -10,14 +10,15 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import operators as ops
-from .functions.paths import capture_int
-from .landing import as_record, prepared, write_documents, write_single_records
+from . import files, operators as ops
+from .functions.paths import capture_int, file_stem
+from .landing import as_list, as_record, prepared, write_documents, write_named, write_single_records
 from .operators import head_by, project, tail_by, unique_by
 from .plans import lineups
-from .plans.ingest import ingest_dataset, read_bronze
+from .plans.ingest import csv_table_path, ingest_dataset, read_bronze
+from .plans.layers import ingest_named, ingest_source, run_pipeline
 from .plans.manifest import read_manifest
-from .plans.spec import BY_BATCH, BY_FILE, FILE_KEY, Dataset
+from .plans.spec import BY_BATCH, BY_FILE, FILE_KEY, Dataset, dataset
 from .session import shared_dir
 from .sinks.parquet import write_partitions, write_table
 from .sources.delimited import read_csv
@@ -359,3 +360,180 @@ def newline_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = prepared(spark, "orders-lines", sf_dir, lambda to: orders.write.json(to))
     return project(read_documents(spark, folder, lines=True), ["o_orderkey", "o_custkey", "o_date"])
+
+
+# --- Jobs over landing trees ---------------------------------------------------------------
+
+PER_FILE = 5000
+
+
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as matches: files of equal names in four folders."""
+    orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    name = F.format_string("matches/%d/%d.json", F.col("o_custkey") % 4, F.floor(F.col("o_orderkey") / PER_FILE))
+    return orders.select(
+        as_record(F.col("o_orderkey").alias("match_id"), F.struct(F.col("o_custkey").alias("team_id")).alias("home")), name.alias("file")
+    )
+
+
+def _team_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as teams with a lineup, the match in the file's name; every team twice."""
+    customers = _table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    player = F.array(F.struct(F.col("c_custkey").alias("player")))
+    teams = customers.select(
+        as_record(F.col("c_custkey").alias("team_id"), F.col("c_name").alias("team_name"), player.alias("lineup")),
+        F.format_string("lineups/%d.json", F.floor(F.col("c_custkey") / PER_FILE)).alias("file"),
+    )
+    return teams.unionByName(teams)
+
+
+def _views(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events", ["event_id", "user_id"])
+    return events.select(
+        as_record(F.col("event_id").alias("event_uuid"), F.array("user_id", "event_id").alias("visible_area")),
+        F.format_string(f"{folder}/%d.json", F.floor(F.col("event_id") / PER_FILE)).alias("file"),
+    )
+
+
+def _open_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A base folder with the landing files of the first source."""
+
+    def write(base: str) -> None:
+        competitions = _table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"]).select(
+            as_record(F.col("s_suppkey").alias("competition_id"), F.struct(F.col("s_nationkey").alias("id")).alias("season")),
+            F.lit("competitions.json").alias("file"),
+        )
+        parts = [competitions, _matches(spark, sf_dir), _team_lists(spark, sf_dir), _views(spark, sf_dir, "events"), _views(spark, sf_dir, "three-sixty")]
+        write_named(as_list(ops.concat_vertical(*parts)), f"{base}/landing/open_data/data")
+
+    return prepared(spark, "open-tree", sf_dir, write)
+
+
+def _league_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A base folder with the landing files of the second source: single documents, and CSV files with columns of their own."""
+
+    def write(base: str) -> None:
+        suppliers = _table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+        parts = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+        single = [
+            suppliers.select(as_record(F.col("s_suppkey").alias("match_id")), F.lit("sb-matches/sb_matches.json").alias("file")),
+            parts.select(as_record("id"), F.lit("sb-events/sb_events.json").alias("file")),
+            parts.select(as_record(F.struct("id").alias("player")), F.lit("hudl-physical/hudl_physical.json").alias("file")),
+        ]
+        lines = suppliers.select(F.concat_ws(",", "s_suppkey", "s_name").alias("line"), F.lit("teams").alias("name"), F.lit("team.id,team.name").alias("header"))
+        lines = lines.unionByName(parts.select(F.col("id").cast("string").alias("line"), F.lit("players").alias("name"), F.lit("player.id").alias("header")))
+        text = F.concat_ws("\n", F.first("header"), F.collect_list("line"), F.lit(""))
+        tables = lines.groupBy(F.format_string("mappings/%s.csv", "name").alias("file")).agg(text.alias("value"))
+        write_named(as_list(ops.concat_vertical(*single)).unionByName(tables), f"{base}/landing/j1_league")
+
+    return prepared(spark, "league-tree", sf_dir, write)
+
+
+def _job(spark: SparkSession, tree: str, label: str, source: str, name: str) -> tuple[DataFrame, Dataset]:
+    """One dataset of a landing tree, ingested into a new table; the run's summary and the dataset."""
+    base = shared_dir(spark, label)
+    own = replace(dataset(source, name).below(base), landing=dataset(source, name).below(tree).landing)
+    return ingest_dataset(spark, own), own
+
+
+@query("SELECT s_suppkey AS competition_id, CAST(s_nationkey AS BIGINT) AS season_id, 'competitions' AS file_key FROM supplier")
+def job_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, made = _job(spark, _open_tree(spark, sf_dir), "job-competitions", "open_data", "competitions")
+    return project(read_bronze(spark, made), ["competition_id", "season_id", FILE_KEY])
+
+
+@query(
+    """SELECT o_orderkey AS match_id, o_custkey AS home_team_id, 'matches_' || (o_custkey % 4) || '/' || (o_orderkey // 5000) AS file_key,
+        CAST(o_orderkey // 5000 AS VARCHAR) AS stem
+    FROM orders"""
+)
+def job_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one name in several folders; key, prefix and stem of each row's file."""
+    _, made = _job(spark, _open_tree(spark, sf_dir), "job-matches", "open_data", "matches")
+    return project(read_bronze(spark, made).withColumn("stem", file_stem(F.col(FILE_KEY))), ["match_id", "home_team_id", FILE_KEY, "stem"])
+
+
+@query(
+    """SELECT event_id AS event_uuid, '[' || user_id || ',' || event_id || ']' AS visible_area,
+        'events_three_sixty_' || (event_id // 5000) AS file_key
+    FROM events"""
+)
+def job_three_sixty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, made = _job(spark, _open_tree(spark, sf_dir), "job-three-sixty", "open_data", "three-sixty")
+    return project(read_bronze(spark, made), ["event_uuid", "visible_area", FILE_KEY])
+
+
+@query("SELECT p_partkey AS id, 'events' AS dataset FROM part UNION ALL SELECT p_partkey, 'physical' FROM part UNION ALL SELECT s_suppkey, 'matches' FROM supplier")
+def job_single_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three single documents of the second source."""
+    tables = []
+    for name, column in (("events", "id"), ("physical", "player_id"), ("matches", "match_id")):
+        _, made = _job(spark, _league_tree(spark, sf_dir), f"job-{name}", "j1_league", name)
+        tables.append(read_bronze(spark, made).select(F.col(column).alias("id"), F.lit(name).alias("dataset")))
+    return ops.concat_vertical(*tables)
+
+
+@query("SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT p_partkey, NULL FROM part")
+def csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every CSV file of a folder to a table of its own."""
+    _, made = _job(spark, _league_tree(spark, sf_dir), "job-mappings", "j1_league", "mappings")
+    teams = parquet_table(spark, csv_table_path(made, "teams")).select(F.col("team_id").alias("id"), F.col("team_name").alias("name"))
+    players = parquet_table(spark, csv_table_path(made, "players")).select(F.col("player_id").alias("id"), F.lit(None).cast("string").alias("name"))
+    return ops.concat_vertical(teams, players)
+
+
+@query(
+    """SELECT 1 AS run, dataset, 'processed' AS status, CAST(n_files AS BIGINT) AS n_files, CAST(n_rows AS BIGINT) AS n_rows FROM (
+        SELECT 'matches' AS dataset, 1 AS n_files, COUNT(*) AS n_rows FROM supplier
+        UNION ALL SELECT 'events', 1, COUNT(*) FROM part UNION ALL SELECT 'physical', 1, COUNT(*) FROM part
+        UNION ALL SELECT 'mappings', 2, (SELECT COUNT(*) FROM part) + COUNT(*) FROM supplier)
+    UNION ALL SELECT 2, dataset, 'skipped', n_files, 0 FROM (VALUES ('matches', 1), ('events', 1), ('physical', 1), ('mappings', 2)) v(dataset, n_files)
+    UNION ALL SELECT 3, dataset, 'processed', n_files, CAST(n_rows AS BIGINT) FROM (
+        SELECT 'matches' AS dataset, 1 AS n_files, COUNT(*) AS n_rows FROM supplier
+        UNION ALL SELECT 'events', 1, COUNT(*) FROM part UNION ALL SELECT 'physical', 1, COUNT(*) FROM part
+        UNION ALL SELECT 'mappings', 2, (SELECT COUNT(*) FROM part) + COUNT(*) FROM supplier)"""
+)
+def job_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All datasets of a source: a first run, a second that finds nothing to do, a third that reads all again."""
+    base = _with_landing(spark, _league_tree(spark, sf_dir))
+    runs = []
+    for number, overwrite in ((1, False), (2, False), (3, True)):
+        summary = ingest_source(spark, base, "j1_league", overwrite)
+        runs.append(summary.select(
+            F.lit(number).alias("run"), "dataset", "status", F.col("n_files").cast("bigint").alias("n_files"),
+            F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+        ))
+    return ops.concat_vertical(*runs)
+
+
+def _with_landing(spark: SparkSession, tree: str) -> str:
+    """A new base folder with the landing files of ``tree``."""
+    base = shared_dir(spark, "base")
+    files.copy(spark, f"{tree}/landing", f"{base}/landing")
+    return base
+
+
+@query(
+    """SELECT c_custkey // 5000 AS match_id, c_custkey AS team_id, c_name AS team_name, '[{"player":' || c_custkey || '}]' AS lineup
+    FROM customer"""
+)
+def pipeline_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver of the first source; the silver table, one row per match and team."""
+    base = _with_landing(spark, _open_tree(spark, sf_dir))
+    run_pipeline(spark, base, bronze=True, silver=True, source="open_data")
+    return parquet_table(spark, f"{base}/silver/open_data/lineups/lineups_by_match")
+
+
+@query("SELECT o_orderkey AS match_id, CASE WHEN o_orderkey // 5000 % 10 = 0 THEN -o_custkey ELSE o_custkey END AS home_team_id FROM orders")
+def bronze_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the files changes between two runs in batch layout; the table holds the new rows of those and the old ones of the rest."""
+    base = _with_landing(spark, _open_tree(spark, sf_dir))
+    ingest_named(spark, base, "open_data", "matches")
+    orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"]).withColumn("n", F.floor(F.col("o_orderkey") / PER_FILE))
+    changed = orders.where("n % 10 = 0").select(
+        as_record(F.col("o_orderkey").alias("match_id"), F.struct((-F.col("o_custkey")).alias("team_id")).alias("home")),
+        F.format_string("matches/%d/%d.json", F.col("o_custkey") % 4, "n").alias("file"),
+    )
+    write_named(as_list(changed), f"{base}/landing/open_data/data")
+    ingest_named(spark, base, "open_data", "matches")
+    return project(read_bronze(spark, dataset("open_data", "matches").below(base)), ["match_id", "home_team_id"])

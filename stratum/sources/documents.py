@@ -13,6 +13,7 @@ from ..functions.paths import decoded_path
 from ..operators.columns import (
     OBJECT_PART, SCALAR_PART, ColumnCollisionError, check_names, flatten_structs, lists_as_text, nan_to_null,
     normalize_column_names,
+    quoted,
 )
 from ..operators.rows import concat_vertical
 from ..operators.schema import field_at, pick_fields
@@ -138,24 +139,41 @@ def read_documents(
     lists_to_text: bool = True,
     lines: bool = False,
     path_column: str | None = None,
+    malformed: str = "drop",
 ) -> DataFrame:
     """Flat table of a set of JSON files or directories, for direct use without a manifest.
 
-    A file that cannot be parsed gives no rows (with ``lines``: a line). ``path_column`` names a
+    A file that cannot be parsed, or does not fit a given schema, gives no rows (with ``lines``: a
+    line); ``malformed="raise"`` fails with its path instead. The rows do not depend on the columns
+    that are used later: under a given schema every column of a record is parsed. ``path_column`` names a
     column for each row's source path.
     """
+    if malformed not in ("drop", "raise"):
+        raise ValueError(f"malformed must be drop or raise, not {malformed!r}")
     paths = [paths] if isinstance(paths, str) else list(paths)
+    # An inferred schema fits every record, so what is malformed does not depend on the columns read.
+    fits = schema is None and malformed == "drop"
     if schema is None:
         schema = infer_documents(spark, paths, lines)
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     declared = lists_as_text(schema) if lists_to_text else schema
+    marker = [] if fits else [T.StructField(CORRUPT, T.StringType())]
     with opening_paths(spark):
-        reader = _reader(spark, lines).option("mode", "DROPMALFORMED").schema(declared)
+        reader = _reader(spark, lines).schema(T.StructType([*declared.fields, *marker]))
+        reader = reader.option("mode", "DROPMALFORMED") if fits else reader
         rows = reader.json([files.literal_path(p) for p in paths])
-    if path_column:
-        rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias(path_column))
-    return flat_table(rows)
+    path = decoded_path(F.col("_metadata.file_path"))
+    names = [quoted(field.name) for field in declared.fields]
+    if not fits:
+        # Naming all columns where a record is malformed keeps them in the scan, at no cost for the others.
+        content = F.to_json(F.struct(*names)) if names else F.lit("")
+        if malformed == "raise":
+            reject = F.raise_error(F.concat(F.lit("malformed record in "), path, F.lit(": "), F.left(content, F.lit(200)))).cast("boolean")
+        else:
+            reject = F.length(content) < 0
+        rows = rows.where(F.when(F.col(CORRUPT).isNotNull(), reject).otherwise(True))
+    return flat_table(rows.select(*names, *([path.alias(path_column)] if path_column else [])))
 
 
 def mixed_fields(

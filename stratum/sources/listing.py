@@ -50,8 +50,8 @@ def open_folder(spark: SparkSession, root: str, pattern: str) -> DataFrame | Non
 def list_files(spark: SparkSession, root: str, pattern: str = "*", found: DataFrame | None = None) -> DataFrame:
     """Files below ``root`` whose relative path matches ``pattern``; a missing root lists nothing.
 
-    ``file_key`` is the relative path without extension, so equal names in two directories
-    stay two files. Like every Spark scan it passes over files without content; see
+    ``file_key`` is the relative path without the extension that ``pattern`` ends in, so equal names
+    in two directories, or with two extensions, stay two files. Like every Spark scan it passes over files without content; see
     ``zero_byte_files``. ``found`` is the opened folder, if there is one already.
     """
     root = root.rstrip("/")
@@ -60,7 +60,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", found: DataFr
         return spark.createDataFrame([], LISTING_SCHEMA)
     relative = relative_path(F.col("_metadata.file_path"), files.path_part(spark, root))
     listed = found.select(
-        without_extension(relative).alias("file_key"),
+        without_extension(relative, pattern).alias("file_key"),
         "path",
         F.col("_metadata.file_modification_time").alias("src_mtime"),
         F.col("_metadata.file_size").alias("length"),
@@ -90,7 +90,7 @@ def zero_byte_files(
     relative = relative_path(F.col("value"), files.path_part(spark, root))
     matching = F.lit(True) if _is_single(pattern) else relative.rlike(_glob_regex(pattern))
     rest = DataFrame(uris.toDF(), spark).where(matching).select(
-        without_extension(relative).alias("file_key"),
+        without_extension(relative, pattern).alias("file_key"),
         decoded_path(F.col("value")).alias("path"),
         F.current_timestamp().alias("src_mtime"),
         F.lit(0).cast("bigint").alias("length"),

@@ -266,3 +266,30 @@ def test_size_changes_no_answer_for_lines(make_landing, monkeypatch):
     lines.put("b.jsonl", "\n".join(json.dumps({"i": i}) for i in range(50)) + "\n{broken")
     summary = lines.run()
     assert summary["processed"] == 1 and summary["error"] == 1 and lines.table().count() == 1000
+
+
+def test_malformed_records_count_alike_for_every_projection(spark, tmp_path):
+    """A value that does not fit the given schema, and a broken file, whatever columns are asked for."""
+    from stratum.sources import read_documents
+
+    (tmp_path / "l.jsonl").write_text('{"i":1,"v":1}\n{"i":2,"v":"x"}\n{"i":3,"v":3}\n')
+    (tmp_path / "bad.json").write_text('[{"a":1}')
+    rows = read_documents(spark, str(tmp_path / "l.jsonl"), schema="i bigint, v bigint", lines=True)
+    assert rows.count() == rows.select("i").count() == rows.select("i", "v").count() == len(rows.select("i").collect()) == 2
+    for columns in (["i"], ["i", "v"]):
+        strict = read_documents(spark, str(tmp_path / "l.jsonl"), schema="i bigint, v bigint", lines=True, malformed="raise")
+        with pytest.raises(Exception, match="malformed record in .*l.jsonl"):
+            strict.select(*columns).collect()
+    with pytest.raises(Exception, match="bad.json"):
+        read_documents(spark, str(tmp_path / "bad.json"), schema="a bigint", malformed="raise").count()
+    with pytest.raises(ValueError, match="malformed"):
+        read_documents(spark, str(tmp_path / "l.jsonl"), malformed="ignore")
+
+
+def test_files_of_one_stem_are_two_files(make_landing):
+    """A pattern that leaves the extension open keeps it in the key."""
+    landing = make_landing(pattern="*")
+    landing.put("x.json", [{"i": 1}, {"i": 2}])
+    landing.put("x.txt", [{"i": 3}])
+    assert landing.run() == {"processed": 2}
+    assert landing.rows("i") == [(1,), (2,), (3,)]
