@@ -309,11 +309,14 @@ def near_duplicate_components(
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
 
 
-# Near duplicates by similarity: fingerprints find the pairs, a long signature checks them.
+# Near duplicates by similarity: fingerprints find candidates, the shingle sets of each pair decide.
 
 FINDERS = 2
 FINDER_BITS = 56
 SIGNATURE_WORDS = 4
+STANDARD_ERRORS = 4
+CHUNK_SETS = 1024
+CHUNK_SHINGLES = 2_000_000
 CONSTANTS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
@@ -324,25 +327,34 @@ def _remixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def _majorities(blocks: Iterator[np.ndarray], count: int) -> list[int]:
-    ones, n = np.zeros((count, 64), dtype=np.int64), 0
-    for hashes in blocks:
-        n += len(hashes)
-        for k in range(count):
-            bits = np.unpackbits(_remixed(hashes, k).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            ones[k] += bits.sum(axis=0, dtype=np.int64)
-    return [int.from_bytes(np.packbits(row * 2 > n).tobytes(), "big") for row in ones]
+def _majorities(hashes: np.ndarray, count: int) -> list[int]:
+    found = []
+    for k in range(count):
+        ones = np.zeros(64, dtype=np.int64)
+        for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+            part = _remixed(hashes[start : start + SHINGLES_AT_ONCE], k).astype(">u8")
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        found.append(int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big"))
+    return found
+
+
+def shingle_set(words: list[bytes], width: int) -> np.ndarray:
+    """The distinct shingle hashes in rising order; none without words."""
+    return np.unique(np.concatenate(list(shingle_hashes(words, width)))) if words else np.zeros(0, dtype=np.uint64)
 
 
-def signature(text: str | None, width: int) -> list[int]:
-    """Finder fingerprints over the distinct words, then the words of a long fingerprint over the shingles."""
-    words = words_of(text)
+def mark_of(shingles: np.ndarray) -> str:
+    """128 bits that name a shingle set."""
+    return xxhash.xxh3_128_hexdigest(shingles.tobytes())
+
+
+def signature(words: list[bytes], shingles: np.ndarray) -> list[int]:
+    """Finder fingerprints over the distinct words, then the words of a long fingerprint over the distinct shingles."""
     if not words:
         return [0] * (FINDERS + SIGNATURE_WORDS)
     distinct = np.array([xxhash.xxh64_intdigest(word, SEED) for word in set(words)], dtype=np.uint64)
     low = (1 << FINDER_BITS) - 1
-    finders = [value & low for value in _majorities(iter([distinct]), FINDERS)]
-    return finders + _majorities(shingle_hashes(words, width), SIGNATURE_WORDS)
+    return [value & low for value in _majorities(distinct, FINDERS)] + _majorities(shingles, SIGNATURE_WORDS)
 
 
 def _signer(width: int):
@@ -350,21 +362,119 @@ def _signer(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([signature(text.as_py(), width) for text in batch.column(1)], dtype=np.uint64).reshape(-1, len(names))
-            columns = [pa.array(np.ascontiguousarray(made[:, k]).view(np.int64)) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *names])
+            marks, sizes, made = [], [], []
+            for text in batch.column(1):
+                words = words_of(text.as_py())
+                shingles = shingle_set(words, width)
+                marks.append(mark_of(shingles))
+                sizes.append(len(shingles))
+                made.append(signature(words, shingles))
+            table = np.array(made, dtype=np.uint64).reshape(-1, len(names))
+            columns = [pa.array(np.ascontiguousarray(table[:, k]).view(np.int64)) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(marks, pa.string()), pa.array(sizes, pa.int64()), *columns], names=["id", "mark", "size", *names]
+            )
+
+    return run
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(words_of(text.as_py()), width) for text in batch.column(0)]
+            columns = [pa.array([mark_of(one) for one in made], pa.string()), pa.array([one.tobytes() for one in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["mark", "shingles"])
 
     return run
 
 
 def distance_for(similarity: float) -> int:
-    """Differing bits of the long signature expected at a Jaccard similarity, plus one standard error.
+    """Differing bits of the long signature expected at a Jaccard similarity, plus four standard errors.
 
     Sets of equal size with Jaccard similarity j have cosine 2 j / (1 + j); a bit differs with probability angle / pi.
     """
     bits = 64 * SIGNATURE_WORDS
     p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * p + np.sqrt(bits * p * (1 - p)))
+    return int(bits * p + STANDARD_ERRORS * np.sqrt(bits * p * (1 - p)))
+
+
+def similar_links(sets: list[np.ndarray], similarity: float, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of sets of exactly this Jaccard similarity or more that join what all such pairs would.
+
+    With ``side`` only pairs of one set of side 0 and one of side 1 are looked at. A pair that links
+    have joined already is not compared again.
+    """
+    sizes = np.array([len(one) for one in sets], dtype=np.int64)
+    least, whole = round(similarity * 1_000_000), 1_000_000
+    names, index = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(index, np.cumsum(sizes)[:-1])
+    held, root, links = np.zeros(len(names), dtype=np.int64), np.arange(len(sets)), []
+    for i in range(len(sets)) if side is None else np.flatnonzero(side == 0).tolist():
+        open_ = root != root[i]
+        open_ &= (np.minimum(sizes, sizes[i]) * whole >= least * np.maximum(sizes, sizes[i])) & (sizes > 0)
+        if side is None:
+            open_[:i] = False
+        else:
+            open_ &= side == 1
+        others = np.flatnonzero(open_)
+        if not len(others):
+            continue
+        held[codes[i]] = 1
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        both = np.add.reduceat(held[np.concatenate([codes[j] for j in others.tolist()])], starts)
+        held[codes[i]] = 0
+        for j in others[both * whole >= least * (sizes[others] + sizes[i] - both)].tolist():
+            if root[j] != root[i]:
+                links.append((i, j))
+                root[root == root[j]] = root[i]
+    return links
+
+
+def _verify(similarity: float):
+    """Links inside the tiles of a bucket; a tile holds the members of one chunk of a group or of two."""
+
+    def run(bucket: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        bucket = bucket.sort_values(["key", "low", "high", "least"], kind="stable")
+        columns = [bucket[name].to_numpy() for name in ("key", "low", "high")]
+        cuts = np.flatnonzero(np.any([np.diff(column) != 0 for column in columns], axis=0)) + 1
+        least, chunk, shingles = bucket["least"].to_numpy(), bucket["chunk"].to_numpy(), bucket["shingles"].tolist()
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]):
+            low, high = columns[1][start], columns[2][start]
+            side = None if low == high else (chunk[start:end] == high).astype(np.int64)
+            sets = [np.frombuffer(data, dtype=np.uint64) for data in shingles[start:end]]
+            found += [(least[start + i], least[start + j]) for i, j in similar_links(sets, similarity, side)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def verified_links(source: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(a, b): ids whose shingle sets have the similarity, enough of them to join what all such pairs within a group would.
+
+    ``groups`` has (key, mark): the nodes that share a key. Groups of equal members count once. A large one is dealt
+    into chunks, and every pair of chunks is a tile of its own, so no pair of a group goes unchecked and no task gets
+    more than some tiles. Only the links that join something leave a tile. The sets of the members are written once.
+    """
+    held = stored(groups.join(nodes.select("mark", "least", "size"), "mark"), "similar-groups")
+    print_of = F.sum(F.xxhash64("mark").cast("decimal(38,0)")).alias("members")
+    sizes = held.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("volume"), print_of).filter("n > 1")
+    once = sizes.groupBy("n", "volume", "members").agg(F.min("key").alias("key"))
+    parts = F.greatest(F.ceil(F.col("n") / CHUNK_SETS), F.ceil(F.col("volume") / CHUNK_SHINGLES)).cast("int")
+    once = once.select("key", parts.alias("parts"))
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "mark"), F.col("parts")).cast("int")
+    member = stored(held.join(once, "key").withColumn("chunk", chunk), "similar-members")
+    total = member.agg(F.sum(F.col("size") * F.col("parts"))).first()[0] or 0
+    buckets = max(12, -(-int(total) // CHUNK_SHINGLES))
+    wanted = member.select("mark", "least").distinct()
+    texts = source.join(wanted.select(F.col("least").alias("id")).distinct(), "id", "left_semi").select("text")
+    made = texts.mapInArrow(_sets(width), "mark string, shingles binary")
+    sets = stored(made.join(wanted, "mark", "left_semi").dropDuplicates(["mark"]), "similar-sets")
+    other = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiles = other.select(
+        "key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "mark", "least"
+    ).withColumn("bucket", spread("key", "low", "high", parts=buckets))
+    return tiles.join(sets, "mark").groupBy("bucket").applyInPandas(_verify(similarity), "a long, b long")
 
 
 def similar_components(
@@ -373,30 +483,34 @@ def similar_components(
     """(id, component) of the ids that have a near duplicate, and the smallest id of their group.
 
     Candidates come from ball hashing of two fingerprints over the distinct words, which stay
-    near when a few words change; a pair counts if the long signature over the ``width``-word shingles puts its
-    similarity at ``similarity`` or more. Rows with a null id are left out.
+    near when a few words change, if a long signature over the ``width``-word shingles does not exclude them; a pair counts
+    if the Jaccard similarity of its sets of shingles is exactly ``similarity`` or more. Rows with a null id are left out.
     """
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
     finders, words = [f"f{k}" for k in range(FINDERS)], [f"s{k}" for k in range(SIGNATURE_WORDS)]
-    signed = stored(source.mapInArrow(_signer(width), ", ".join(f"{name} long" for name in ["id", *finders, *words])), "similar-signatures")
-    own = signed.groupBy(*finders, *words).agg(F.min("id").alias("least"))
-    nodes = stored(own, "similar-nodes")
-    edges = signed.join(nodes, [*finders, *words]).filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    kinds = ["id long", "mark string", "size long", *[f"{name} long" for name in [*finders, *words]]]
+    signed = stored(source.mapInArrow(_signer(width), ", ".join(kinds)), "similar-signatures")
+    # Texts with one set of shingles are one node.
+    least = signed.groupBy("mark").agg(F.min(F.struct("id", "size", *finders, *words)).alias("n"))
+    nodes = stored(least.select("mark", F.col("n.id").alias("least"), "n.size", *[f"n.{name}" for name in [*finders, *words]]), "similar-nodes")
+    copies = signed.join(nodes.select("mark", "least"), "mark").filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
     print_of = F.struct(*words).alias("s")
-    found = edges
+    pairs = None
     for finder in finders:
-        held = nodes.select(F.col(finder).alias("fingerprint"), F.col("least").alias("id"), print_of)
-        first = stored(held.groupBy("fingerprint").agg(F.min(F.struct("id", "s")).alias("first")), "similar-first")
+        held = nodes.select(F.col(finder).alias("fingerprint"), F.col("least").alias("id"), "mark", print_of)
+        first = stored(held.groupBy("fingerprint").agg(F.min(F.struct("id", "mark", "s")).alias("first")), "similar-first")
         linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True)
-        same = held.join(first, "fingerprint").filter(F.col("id") != F.col("first.id")).select(
-            F.col("first").alias("a"), F.struct("id", "s").alias("b")
+        same = held.join(first, "fingerprint").filter(F.col("mark") != F.col("first.mark")).select(
+            F.col("first").alias("a"), F.struct("id", "mark", "s").alias("b")
         )
         across = linked.join(first.select(F.col("fingerprint").alias("a"), F.col("first").alias("left")), "a").join(
             first.select(F.col("fingerprint").alias("b"), F.col("first").alias("right")), "b"
         ).select(F.col("left").alias("a"), F.col("right").alias("b"))
         far = sum((F.bit_count(F.col(f"a.s.{word}").bitwiseXOR(F.col(f"b.s.{word}"))) for word in words), F.lit(0))
-        kept = same.unionByName(across).filter(far <= distance_for(similarity))
-        found = found.unionByName(kept.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+        kept = same.unionByName(across).filter(far <= distance_for(similarity)).select(F.col("a.mark").alias("a"), F.col("b.mark").alias("b"))
+        pairs = kept if pairs is None else pairs.unionByName(kept)
+    groups = pairs.distinct().select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("mark"))
+    found = copies.unionByName(verified_links(source, nodes, groups, width, similarity))
     return connected_components(found, "similar-classes").select(F.col("node").alias("id"), "component")
 
 

@@ -94,3 +94,53 @@ def test_fixed_values_of_the_hash(spark):
     """Spark's xxhash64 is the same function, which ties the fingerprints to a second implementation."""
     row = spark.range(1).select(F.xxhash64(F.lit("the cat sat on")).alias("h")).first()
     assert row["h"] % (1 << 64) == xxhash.xxh64_intdigest(b"the cat sat on", 42)
+
+
+def jaccard(a, b):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited(rng, count, start=0):
+    """Long texts, each with a copy in which some words are replaced: similarities from about 0.6 to 0.95."""
+    rows = []
+    for k in range(count):
+        words = [f"w{i}" for i in rng.integers(0, 5000, 300)]
+        copy = list(words)
+        for place in range(5, 290, 290 // (1 + k % 16)):
+            copy[place] = f"new{k}x{place}"
+        rows += [(start + 2 * k, " ".join(words)), (start + 2 * k + 1, " ".join(copy))]
+    return rows
+
+
+def test_similar_pairs_are_verified_exactly(spark):
+    """No pair below the similarity is linked, however near its fingerprints; 0.8 itself counts."""
+    rows = edited(np.random.default_rng(5), 64)
+    rows += [(900, " ".join(f"u{i}" for i in range(9))), (901, " ".join(f"u{i}" for i in range(8)))]
+    text = dict(rows)
+    assert jaccard(text[900], text[901]) == 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["component"], r["id"]) for r in simhash.similar_components(docs).collect() if r["id"] != r["component"]}
+    want = {(k, k + 1) for k in [*range(0, 128, 2), 900] if jaccard(text[k], text[k + 1]) >= 0.8}
+    assert found and found <= want
+    below = [k for k in range(0, 128, 2) if 0.6 < jaccard(text[k], text[k + 1]) < 0.8]
+    assert len(below) > 10 and not any((k, k + 1) in found for k in below)
+
+
+def test_similar_links_equal_all_pairs():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, int(rng.integers(1, 40)), replace=False)) for _ in range(150)]
+    sets += [np.arange(4, dtype=np.uint64), np.arange(5, dtype=np.uint64)]
+    side = np.arange(len(sets)) % 2
+    for given in (None, side):
+        near = [
+            (i, j) for i in range(len(sets)) for j in range(i) if given is None or given[i] != given[j]
+            if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+        ]
+        links = [(max(pair), min(pair)) for pair in simhash.similar_links(sets, 0.8, given)]
+        assert len(near) > 5 and set(links) <= set(near) and (151, 150) in near
+        root = list(range(len(sets)))
+        for a, b in links:
+            root = [root[a] if r == root[b] else r for r in root]
+        assert all(root[a] == root[b] for a, b in near)
