@@ -144,3 +144,31 @@ def test_similar_links_equal_all_pairs():
         for a, b in links:
             root = [root[a] if r == root[b] else r for r in root]
         assert all(root[a] == root[b] for a, b in near)
+
+
+def test_no_pair_of_a_group_goes_unchecked(spark):
+    """Texts of one bag of words have equal finders; the smallest id of them is like none of the others."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(200)]
+    orders = [[str(w) for w in rng.permutation(words)] for _ in range(6)]
+    rows = [(1, " ".join(orders[0]))]
+    for k, order in enumerate(orders[1:]):
+        swapped = [*order[:100], order[101], order[100], *order[102:]]
+        rows += [(10 * k + 10, " ".join(order)), (10 * k + 11, " ".join(swapped))]
+    assert len({tuple(simhash.signature(t.encode().split(), np.zeros(0, dtype=np.uint64))[: simhash.FINDERS]) for _, t in rows}) == 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["component"], r["id"]) for r in simhash.similar_components(docs).collect() if r["id"] != r["component"]}
+    assert found == {(k, k + 1) for k in range(10, 60, 10)}
+
+
+def test_large_groups_are_dealt_into_tiles(spark, monkeypatch):
+    """Chunks of two members find what one chunk finds."""
+    rows = edited(np.random.default_rng(9), 12)
+    sets = {k: simhash.shingle_set(simhash.words_of(t), 5) for k, t in rows}
+    source = spark.createDataFrame(rows, "id long, text string")
+    nodes = spark.createDataFrame([(simhash.mark_of(s), k, len(s)) for k, s in sets.items()], "mark string, least long, size long")
+    groups = nodes.selectExpr("1L as key", "mark")
+    monkeypatch.setattr(simhash, "CHUNK_SETS", 2)
+    links = {tuple(sorted(r)) for r in simhash.verified_links(source, nodes, groups, 5, 0.8).collect()}
+    text = dict(rows)
+    assert links == {(k, k + 1) for k in range(0, 24, 2) if jaccard(text[k], text[k + 1]) >= 0.8} and links
