@@ -200,6 +200,16 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_with_more_items_than_rank(spark):
+    rng = random.Random(11)
+    words = [f"t{i}" for i in range(3000)]
+    items = [" ".join(rng.choices(words, k=10)) for _ in range(400)]
+    texts = [(k, " ".join(rng.choices(words, k=150)) + " " + items[k] + " " + " ".join(rng.choices(words, k=150))) for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(k, k) for k in range(60)}
+
+
 def test_near_copies(spark):
     rng = random.Random(6)
     words = [f"t{i}" for i in range(3000)]
