@@ -210,6 +210,17 @@ def test_decontamination_with_more_items_than_rank(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(k, k) for k in range(60)}
 
 
+def test_decontamination_of_long_items(spark):
+    rng = random.Random(12)
+    words = [f"t{i}" for i in range(3000)]
+    items = [" ".join(rng.choices(words, k=size)) for size in (150, 200, 300, 500, 800)]
+    texts = [(k, " ".join(rng.choices(words, k=170)) + " " + items[k] + " " + " ".join(rng.choices(words, k=90))) for k in range(5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["share"] for r in decontaminate.leaks(docs, bench).collect()}
+    assert found == {(k, k): 1.0 for k in range(5)}
+
+
 def test_near_copies(spark):
     rng = random.Random(6)
     words = [f"t{i}" for i in range(3000)]
