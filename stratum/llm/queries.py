@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, edit_counts, exact_dedup, language_id, packing, sharding, simhash, toxicity, url_filter, warc
+from . import decontaminate, edit_counts, exact_dedup, language_id, packing, prefix_trie, sharding, simhash, toxicity, url_filter, warc
 from .scratch import id_text
 from .url_filter import Rule
 
@@ -152,3 +152,43 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(language_id.learning_rows(docs, folds=5, held_out=0))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (F.crc32(id_text()) % 5 == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.positions(prefix_trie.turn_rows(table(spark, sf_dir, "conversations")))
+    conv = F.col("conv")
+    convs, rebuilt = prefix_trie.spliced(turns, conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, most=3)
+    return prefix_trie.trie(convs, rebuilt).drop("a", "b")
+
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+-- crc32 of the decimal id modulo 4: the check sum is linear over bits, so it is folded byte by byte.
+crc AS (
+  SELECT conv, list_reduce(list_prepend(4294967295, list_transform(range(1, length(conv::VARCHAR) + 1), lambda k: ascii(substr(conv::VARCHAR, k, 1))::BIGINT)),
+    lambda c, byte: xor(c >> 8, list_reduce(list_prepend(xor(c, byte) & 255, range(8)), lambda v, j: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) AS c
+  FROM (SELECT DISTINCT conv FROM t)),
+c AS (SELECT conv, conv - conv % 20 AS base, xor(c, 4294967295) % 4 AS h FROM crc),
+heads AS (SELECT c.conv, t.pos, t.said FROM c JOIN t ON t.conv = c.base AND t.pos <= c.h),
+own AS (SELECT c.conv, 1000 + t.pos AS pos, t.said FROM c JOIN t ON t.conv = c.conv AND t.pos > c.h),
+r AS (
+  SELECT c.conv, coalesce(s.turns, []) AS turns
+  FROM c LEFT JOIN (SELECT conv, list(said ORDER BY pos) AS turns FROM (FROM heads UNION ALL FROM own) GROUP BY conv) s USING (conv)),
+p AS (SELECT conv, turns, unnest(range(0, len(turns) + 1)) AS depth FROM r),
+n AS (
+  SELECT turns[1:depth] AS node, depth, min(conv) AS conv_id, count(*) AS n_convs,
+    string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (len(turns) = depth) AS ends,
+    max(CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(turns[depth].said, '[^\x20\x09-\x0D]+')) END) AS words
+  FROM p GROUP BY 1, 2),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+w AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+s AS (
+  SELECT node[1:up] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM w) GROUP BY 1)
+SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN s USING (node) LEFT JOIN w AS u ON w.depth > 0 AND u.node = w.node[1:w.depth - 1]
+"""
