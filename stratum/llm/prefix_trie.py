@@ -91,23 +91,27 @@ def _names(turns: DataFrame) -> DataFrame:
     return full.select("conv", "pos", "words", "a", "b", F.col("a").bitwiseXOR(F.col("x")).alias("pa"), F.col("b").bitwiseXOR(F.col("y")).alias("pb"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (a, b, conv) to blocks (a, b, first, ids) of at most ``BLOCK_IDS`` ids of one node."""
-    out, node, ids = [], None, []
-    for batch in batches:
-        for a, b, conv in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-            if (a, b) != node or len(ids) == BLOCK_IDS:
-                if ids:
-                    out.append((*node, ids[0], ",".join(map(str, ids))))
-                node, ids = (a, b), []
-            ids.append(conv)
-        if len(out) >= 1024:
+def _blocks(most: int):
+    """Sorted (a, b, conv) to blocks (a, b, first, ids) of at most ``most`` ids of one node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, node, ids = [], None, []
+        for batch in batches:
+            for a, b, conv in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                if (a, b) != node or len(ids) == most:
+                    if ids:
+                        out.append((*node, ids[0], ",".join(map(str, ids))))
+                    node, ids = (a, b), []
+                ids.append(conv)
+            if len(out) >= 1024:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)], names=["a", "b", "first", "ids"])
+                out = []
+        if ids:
+            out.append((*node, ids[0], ",".join(map(str, ids))))
+        if out:
             yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)], names=["a", "b", "first", "ids"])
-            out = []
-    if ids:
-        out.append((*node, ids[0], ",".join(map(str, ids))))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)], names=["a", "b", "first", "ids"])
+
+    return run
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +137,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def end_digests(ends: DataFrame) -> DataFrame:
     """(a, b, ends_sha256) of (a, b, conv): the SHA-256 of each node's ids, rising and comma-joined."""
     keys = [F.col(name) for name in ("a", "b", "conv")]
-    blocks = ends.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_blocks, "a long, b long, first long, ids string")
+    blocks = ends.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_blocks(BLOCK_IDS), "a long, b long, first long, ids string")
     return blocks.repartition("a", "b").sortWithinPartitions("a", "b", "first").mapInArrow(_digests, "a long, b long, ends_sha256 string")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, edit_counts, exact_dedup, language_id, packing, prefix_trie, sharding, simhash, toxicity, url_filter, warc
+from . import circulant_minhash, collocations, decontaminate, edit_counts, exact_dedup, language_id, packing, prefix_trie, sharding, simhash, toxicity, url_filter, warc
 from .scratch import id_text
 from .url_filter import Rule
 
@@ -192,3 +192,54 @@ s AS (
 SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
 FROM w JOIN s USING (node) LEFT JOIN w AS u ON w.depth > 0 AND u.node = w.node[1:w.depth - 1]
 """
+
+
+@query
+def op12_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+ORACLE["op12_circulant_minhash"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) END) AS shingles FROM words),
+sizes AS (SELECT doc_id, len(shingles) AS n_shingles FROM sets),
+flat AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n_shingles + y.n_shingles - common)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT doc_id, n_shingles, min(other) AS component_id, doc_id = min(other) AS kept FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id, n_shingles
+"""
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, best=2000, covered=80)
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, w, i, unnest(range(1, 5)) AS size FROM starts),
+f AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size, count(*) AS f FROM grams WHERE i + size - 1 <= len(w) GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY 1),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+spans AS (SELECT *, unnest(range(2, size)) AS part FROM candidates),
+inside AS (SELECT lang, a, w, part, unnest(range(1, size - part + 2)) AS i FROM spans),
+longer AS (SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS longer FROM inside GROUP BY 1, 2),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank
+  FROM lowest s LEFT JOIN longer d USING (lang, phrase) WHERE d.longer IS NULL OR 100 * d.longer < 80 * s.a)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals USING (lang) WHERE rank <= 2000
+"""
