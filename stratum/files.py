@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
@@ -33,6 +34,20 @@ def move_uri(spark: SparkSession, uri: str, to: str) -> None:
         raise OSError(f"could not rename {uri} to {to}")
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, over one that has the new name; folders on the way are made."""
+    fs, target = _open(spark, to)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(_open(spark, path)[1], target):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def unescaped(spark: SparkSession, name: str) -> str:
+    """The value that a partition folder's name stands for."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+
+
 def copy(spark: SparkSession, path: str, to: str) -> None:
     """Copy a folder of a bounded number of files."""
     fs, source = _open(spark, path)
@@ -41,6 +56,50 @@ def copy(spark: SparkSession, path: str, to: str) -> None:
     spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, spark._jsc.hadoopConfiguration())
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, over one that is there."""
+    fs, target = _open(spark, path)
+    with_stream = fs.create(target, True)
+    with_stream.write(bytearray(text.encode()))
+    with_stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that must not exist yet; False if another run was first.
+
+    File systems without an atomic creation may let two runs through; reading the text back tells them apart.
+    """
+    fs, target = _open(spark, path)
+    try:
+        stream = fs.create(target, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return read_text(spark, path) == text
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text; empty if it is gone."""
+    fs, target = _open(spark, path)
+    try:
+        stream = fs.open(target)
+    except Py4JJavaError:
+        return ""
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def stamps(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder and the seconds of their last change."""
+    fs, target = _open(spark, path)
+    return [(status.getPath().getName(), status.getModificationTime() / 1000) for status in fs.listStatus(target)]
+
+
 def delete_uri(spark: SparkSession, uri: str) -> None:
     """Delete what a percent-encoded URI, as in ``_metadata.file_path``, names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
@@ -63,6 +122,12 @@ def path_part(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(target).toUri().getPath()
 
 
+def plain_part(spark: SparkSession, path: str) -> str:
+    """As ``path_part``, without asking the file system where the path is absolute."""
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", path)
+    return plain if plain.startswith("/") and "//" not in plain and not plain.endswith("/") else path_part(spark, path)
+
+
 def literal_path(path: str) -> str:
     """Escape glob characters so that the readers take a path as it is."""
     return _GLOB_CHARS.sub(r"\\\1", path)

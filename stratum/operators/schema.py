@@ -26,6 +26,28 @@ def leaf_paths(schema: T.StructType, above: tuple[str, ...] = ()) -> Iterator[tu
             yield path
 
 
+def without_paths(schema: T.StructType, paths: set[tuple[str, ...]], above: tuple[str, ...] = ()) -> T.StructType:
+    """``schema`` without the leaves of ``paths``; a struct that held nothing else goes too."""
+    kept = []
+    for field in schema.fields:
+        path = (*above, field.name)
+        if isinstance(field.dataType, T.StructType):
+            inner = without_paths(field.dataType, paths, path)
+            if inner.fields or not field.dataType.fields:
+                kept.append(T.StructField(field.name, inner, field.nullable, field.metadata))
+        elif path not in paths:
+            kept.append(field)
+    return T.StructType(kept)
+
+
+def name_clashes(paths: set[tuple[str, ...]], reserved: set[str]) -> list[list[tuple[str, ...]]]:
+    """Groups of leaves whose flat names are one name, or a name that is ``reserved``."""
+    groups: dict[str, list[tuple[str, ...]]] = {}
+    for path in sorted(paths):
+        groups.setdefault(".".join(path).replace(".", "_").lower(), []).append(path)
+    return [group for name, group in groups.items() if len(group) > 1 or name in reserved]
+
+
 def pick_fields(schema: T.StructType, types: dict[str, T.DataType], above: str = "") -> T.StructType:
     """The part of ``schema`` that holds the dotted names of ``types``, with those types."""
     kept = []

@@ -7,26 +7,29 @@ import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from .. import files
-from ..functions.paths import output_name, without_extension
+from ..functions.paths import decoded_path, output_name, without_extension
 from ..operators.columns import (
     SCALAR_PART, ColumnCollisionError, check_names, flat_columns, flatten_structs, lists_as_text, normalize_column_names,
-    quoted,
+    normalized_names, quoted,
 )
 from ..operators.freshness import FRESH, NEW, SOURCE_MISSING, STALE, freshness_plan
-from ..operators.schema import with_mixed, without_fields
+from ..operators.rows import concat_vertical
+from ..operators.schema import leaf_paths, name_clashes, with_mixed, without_fields, without_paths
 from ..operators.summary import batch_summary
 from ..session import session_conf, shared_dir
 from ..sinks.parquet import drop_partitions, finish_replacement, write_partitions, write_pending, write_table
-from ..sources.delimited import scan_csv
+from ..sources.delimited import CsvLayout, layout_of, layout_table, survey
 from ..sources.documents import (
     CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields,
     open_texts, records, scan_documents,
 )
 from ..sources.listing import LISTING_CONF, list_files, open_folder, zero_byte_files
+from .commits import RunLog
 from .manifest import (
     EMPTY, ERROR, MOVED, PROCESSED, append_manifest, batch_counts, current_entries, current_outputs, load_schema, read_manifest,
     replaced_outputs, save_schema, stage,
@@ -46,13 +49,19 @@ MAX_BYTES = 2**40
 # A batch is compacted when this share of the files ever read into it has been read again since.
 DEAD_SHARE = 0.25
 
+# Layouts written at a time, and the column that deals their rows out by file.
 CSV_JOBS = 8
+CSV_FILE = "__csv_file"
 
 # Spark never cuts files up to its opening cost, 4 MB.
 SMALL_FILE = 4 * 2**20
 TASK_BYTES = 2**30
 
 
+class ConcurrentRunError(RuntimeError):
+    """Another run is writing what this one would have to convert."""
+
+
 class SchemaDriftError(RuntimeError):
     """New files do not fit the dataset's schema, and the run was asked not to widen it."""
 
@@ -74,6 +83,8 @@ class Run:
     def __post_init__(self) -> None:
         self.scratch = shared_dir(self.spark, f"{self.dataset.source}-{self.dataset.name}")
         self.root = files.path_part(self.spark, self.dataset.landing)
+        self.log = RunLog(self.spark, self.dataset.state, self.id)
+        self.apart: set[int] = set()
 
     def key_of(self, path: Column) -> Column:
         """File key of a decoded path below the landing folder."""
@@ -121,16 +132,18 @@ def ingest_dataset(
     """Read the new and changed landing files of a dataset into its bronze table.
 
     Returns ``dataset, status, n_files, n_rows``. A malformed file is recorded as ``error`` and
-    keeps its last good output; it never stops the others. ``overwrite`` reads all files again;
-    ``strict`` refuses to change the table's schema.
+    keeps its last good output; it never stops the others, and neither does one whose field names clash with the dataset's.
+    ``overwrite`` reads all files again; ``strict`` refuses to change the table's schema. Runs of one dataset may overlap:
+    each adds what it read, and of a file that two have read the later run's rows count.
     """
     run = Run(spark, dataset, overwrite, strict, max_files, max_bytes)
-    if dataset.format == "csv":
-        run.make_plan()
-        _ingest_csv(run)
-    else:
-        _ingest_json(run)
-    return run.summary()
+    with run.log.lease():
+        if dataset.format == "csv":
+            run.make_plan()
+            _ingest_csv(run)
+        else:
+            _ingest_json(run)
+        return run.summary()
 
 
 # --- JSON ---------------------------------------------------------------------------------
@@ -138,8 +151,9 @@ def ingest_dataset(
 
 def _ingest_json(run: Run) -> None:
     spark, dataset = run.spark, run.dataset
-    known, unseen, version = load_schema(spark, dataset)
-    _recover(run, version)
+    with run.log.commit():
+        known, unseen, version = load_schema(spark, dataset)
+        _recover(run, version)
     run.make_plan()
     if not run.n_files:
         return
@@ -149,14 +163,25 @@ def _ingest_json(run: Run) -> None:
     fresh_table = not files.exists(spark, dataset.bronze)
     if schema.fields and (schema != known or unseen):
         # Until the run is through, no column counts as never having had a value.
-        _adopt_schema(run, known, schema)
+        schema = _adopt_schema(run, known, schema)
     state = _Columns(schema, unseen, known)
     for number in range(run.n_batches):
         _ingest_batch(run, number, state, lone_batch=fresh_table and run.n_batches == 1)
-    if state.unseen:
-        save_schema(spark, dataset, time.time_ns() // 1_000, state.schema, state.unseen)
-    if dataset.layout == BY_BATCH:
-        _compact(run)
+    with run.log.commit():
+        # A field that another run may have filled meanwhile counts as seen.
+        if state.unseen and not _others_wrote(run):
+            save_schema(spark, dataset, time.time_ns() // 1_000, state.schema, state.unseen)
+        if dataset.layout == BY_BATCH:
+            _compact(run)
+
+
+def _others_wrote(run: Run) -> bool:
+    others = [other for other in run.log.live_runs() if other != run.id]
+    if others:
+        return True
+    since = F.timestamp_micros(F.lit(run.id))
+    entries = read_manifest(run.spark, run.dataset).where((F.col("run") != run.id) & (F.col("recorded_at") >= since))
+    return entries.limit(1).count() > 0
 
 
 @dataclass
@@ -197,7 +222,7 @@ class _Columns:
 def _table_schema_of(schema: T.StructType) -> T.StructType:
     """Schema of the flat table for a record schema; planning only, no data is touched."""
     check_names(schema)
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     return normalize_column_names(flatten_structs(spark.createDataFrame([], schema))).schema
 
 
@@ -219,7 +244,7 @@ def _check_batch(run: Run, number: int) -> None:
 
 
 def _checked(run: Run, number: int) -> DataFrame:
-    return run.spark.read.parquet(f"{run.scratch}/checked-{number}")
+    return run.spark.read.parquet(f"{run.scratch}/{'apart' if number in run.apart else 'checked'}-{number}")
 
 
 def _good_files(run: Run, number: int) -> list[tuple[str, int]]:
@@ -260,12 +285,14 @@ def _cores(spark: SparkSession) -> int:
 def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.StructType:
     dataset = run.dataset
     declare = lists_as_text if dataset.serialize_lists else lambda schema: schema
-    seen = []
     parts = [(number, large) for number in range(run.n_batches) for large in (False, True)]
-    for part in parts:
-        paths = _good_paths(run, *part)
-        if not paths:
-            continue
+    inferred = _inferred(run, parts)
+    apart = _set_clashes_apart(run, known, [schema for _, schema in inferred])
+    if apart:
+        # Files with other names are errors now; what is left has at most nulls under those names.
+        inferred = [(part, without_paths(schema, apart)) for part, schema in _inferred(run, parts)]
+    seen = []
+    for part, schema in inferred:
 
         def second_look(schema: T.StructType, names: list[str], part: tuple[int, bool] = part) -> T.StructType:
             paths = _good_paths(run, *part)
@@ -274,10 +301,73 @@ def _batch_schemas(run: Run, known: T.StructType | None, unseen: set[str]) -> T.
             texts = [name for name, _, _ in _Columns(schema, set(), None).fields() if name in names and name in valued]
             return with_mixed(schema, _probe(run, part, schema, texts)) if texts else schema
 
-        seen.append((declare(_infer(run, paths, part[1])), second_look))
+        seen.append((declare(schema), second_look))
     return reconcile(known, unseen, seen)
 
 
+def _inferred(run: Run, parts: list[tuple[int, bool]]) -> list[tuple[tuple[int, bool], T.StructType]]:
+    return [(part, _infer(run, paths, part[1])) for part in parts if (paths := _good_paths(run, *part))]
+
+
+def _set_clashes_apart(run: Run, known: T.StructType | None, schemas: list[T.StructType]) -> set[tuple[str, ...]]:
+    """Make the files errors whose field names clash with the dataset's; returns the leaves that the dataset does without.
+
+    Of names that would be one column, that of the stored schema counts, else the one with values in most files, then the
+    first in order. Files with values under another of them are set aside, and only those: what a file's names are is found by one
+    scan of the doubtful fields, one row per file.
+    """
+    spark = run.spark
+    held = set(leaf_paths(known)) if known else set()
+    reserved = {FILE_KEY, INGEST_BATCH}
+    groups = name_clashes(held.union(*map(leaf_paths, schemas)), reserved)
+    if not groups:
+        return set()
+    paths = [path for group in groups for path in group]
+    tops = T.StructType([T.StructField(name, T.StringType()) for name in sorted({path[0] for path in paths})])
+    flags = []
+    with session_conf(spark, spark__sql__caseSensitive="true"):
+        for number in range(run.n_batches):
+            small, large = _good_paths(run, number, False), _good_paths(run, number, True)
+            if small or large:
+                scan = scan_documents(spark, small, tops, run.dataset.lines, large)
+                has = [F.max(_value_at(path).isNotNull()).alias(f"v{i}") for i, path in enumerate(paths)]
+                flags.append(scan.groupBy(run.key_of(F.col(SOURCE_PATH)).alias("file_key")).agg(*has))
+        marks = stage(concat_vertical(*flags), f"{run.scratch}/names")
+    counts = marks.agg(*[F.count_if(f"v{i}").alias(f"v{i}") for i in range(len(paths))]).first()
+    files_with = {path: counts[f"v{i}"] for i, path in enumerate(paths)}
+    losers = set()
+    for group in groups:
+        best = min(group, key=lambda path: (path not in held, -files_with[path], path))
+        is_reserved = ".".join(group[0]).replace(".", "_").lower() in reserved
+        losers |= {path for path in group if is_reserved or path != best}
+    log.warning("field names that clash with the dataset's: %s", ", ".join(sorted(".".join(path) for path in losers)))
+    clash = F.lit(False)
+    for i, path in enumerate(paths):
+        clash = clash | F.col(f"v{i}") if path in losers else clash
+    bad = marks.where(clash).select("file_key", F.lit(True).alias("clash"))
+    for number in range(run.n_batches):
+        checked = _checked(run, number).join(bad, "file_key", "left")
+        state = F.when(F.col("clash"), "error").otherwise(F.col("state"))
+        write_table(checked.withColumn("state", state).drop("clash"), f"{run.scratch}/apart-{number}")
+        run.apart.add(number)
+    run.good = run.texts = None
+    return losers
+
+
+def _value_at(path: tuple[str, ...]) -> Column:
+    """The text at a path of field names, of a record whose top-level fields are texts."""
+    value = quoted(path[0])
+    if len(path) == 1:
+        return value
+    kind: T.DataType = T.StringType()
+    for name in reversed(path[1:]):
+        kind = T.StructType([T.StructField(name, kind)])
+    value = F.from_json(value, kind)
+    for name in path[1:]:
+        value = value.getField(name)
+    return value
+
+
 def _infer(run: Run, paths: list[str], large: bool, drop_null: bool = False) -> T.StructType:
     """Schema of some files; where the check has just opened exactly these, they are not looked up again."""
     opened = run.texts[1] if run.texts and run.texts[0] == sorted(paths) and not run.dataset.lines else None
@@ -297,8 +387,22 @@ def _probe(run: Run, part: tuple[int, bool | None], schema: T.StructType, names:
         return mixed_fields(run.spark, small, schema, names, run.dataset.lines, streamed)
 
 
-def _adopt_schema(run: Run, known: T.StructType | None, schema: T.StructType) -> None:
-    """Make ``schema`` the dataset's schema, converting stored columns whose type changes.
+def _adopt_schema(run: Run, known: T.StructType | None, schema: T.StructType) -> T.StructType:
+    """Make ``schema`` the dataset's schema, converting stored columns whose type changes; returns it.
+
+    If another run has changed the schema since this one began, both changes are kept.
+    """
+    with run.log.commit():
+        latest, unseen, _ = load_schema(run.spark, run.dataset)
+        if latest is not None and latest != known:
+            schema = reconcile(latest, unseen, [(schema, lambda own, names: own)])
+            known = latest
+        _change_schema(run, known, schema)
+    return schema
+
+
+def _change_schema(run: Run, known: T.StructType | None, schema: T.StructType) -> None:
+    """Save ``schema``; stored columns whose type changes are converted through a written copy.
 
     Added columns need no rewrite: files without them read as null under the stored schema.
     """
@@ -316,6 +420,8 @@ def _adopt_schema(run: Run, known: T.StructType | None, schema: T.StructType) ->
     version = time.time_ns() // 1_000
     pending = f"{dataset.state}/pending-types-{version}"
     rewrite = bool(changed) and files.exists(spark, dataset.bronze)
+    if rewrite and dataset.layout == BY_FILE and run.log.live_runs() != [run.id]:
+        raise ConcurrentRunError(f"{dataset.source}/{dataset.name}: columns change their type while another run writes to the table")
     if rewrite:
         table = read_bronze(spark, dataset, keys=True)
         columns = [quoted(n).cast(changed[n]).alias(n) if n in changed else quoted(n) for n in table.columns]
@@ -335,9 +441,9 @@ def _recover(run: Run, version: int | None) -> None:
         if name == f"pending-types-{version}":
             finish_replacement(spark, dataset.bronze, dataset.partition, path)
         elif name.startswith("pending-"):
-            files.delete(spark, path)
+            files.delete(spark, path)  # written inside a commit, which is this run's now
     if dataset.layout == BY_BATCH:
-        _drop_dead_batches(spark, dataset, batch_counts(spark, dataset))
+        _drop_dead_batches(run, batch_counts(spark, dataset))
 
 
 def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> None:
@@ -349,14 +455,12 @@ def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> N
         levels, n_corrupt = _write_records(run, number, state, batch_id)
         mixed = _find_mixed(run, number, state, levels)
         if mixed:
-            if lone_batch:
+            if lone_batch and run.log.live_runs() == [run.id]:
                 files.delete(spark, dataset.bronze)  # holds this batch only, about to be written again
             else:
                 # Earlier rows of the column are text already, of whatever kind.
                 mixed = {name: {**parts, SCALAR_PART: "string"} for name, parts in mixed.items()}
-            widened = with_mixed(state.schema, mixed)
-            _adopt_schema(run, state.schema, widened)
-            state.schema = widened
+            state.schema = _adopt_schema(run, state.schema, with_mixed(state.schema, mixed))
             levels, n_corrupt = _write_records(run, number, state, batch_id)
         state.unseen = {n for n in state.unseen & state.names() if not levels.get(n)}
     bad = None
@@ -365,7 +469,36 @@ def _ingest_batch(run: Run, number: int, state: _Columns, lone_batch: bool) -> N
         first = quoted(state.schema.fields[0].name)
         # Counting a data column keeps it in the scan: Spark refuses to read the marker alone.
         bad = scan.groupBy(run.key_of(F.col(SOURCE_PATH)).alias("file_key")).agg(F.count(first).alias("bad"))
-    _record(run, checked, bad, batch_id)
+    _commit_batch(run, checked, state, bad, batch_id)
+
+
+def _commit_batch(run: Run, checked: DataFrame, state: _Columns, bad: DataFrame | None, batch_id: int) -> None:
+    with run.log.commit():
+        _follow_schema(run, checked, state, batch_id)
+        _record(run, checked, bad, batch_id)
+
+
+def _follow_schema(run: Run, checked: DataFrame, state: _Columns, batch_id: int) -> None:
+    """Convert the rows just written if another run has changed the types of their columns meanwhile."""
+    spark, dataset = run.spark, run.dataset
+    latest, _, _ = load_schema(spark, dataset)
+    if latest is None or latest == state.schema or not state.schema.fields:
+        return
+    own, now = _table_schema_of(state.schema), {f.name: f.dataType for f in _table_schema_of(latest).fields}
+    changed = {f.name: now[f.name] for f in own.fields if f.name in now and now[f.name] != f.dataType}
+    state.schema = latest
+    path = dataset.bronze if dataset.layout == BY_FILE else f"{dataset.bronze}/{INGEST_BATCH}={batch_id}"
+    if not changed or not files.exists(spark, path):
+        return
+    rows = spark.read.schema(T.StructType([*own.fields, T.StructField(FILE_KEY, T.StringType())])).parquet(path)
+    if dataset.layout == BY_FILE:
+        rows = rows.join(checked.where("state = 'ok'").select(FILE_KEY), FILE_KEY, "left_semi")
+    columns = [quoted(n).cast(changed[n]).alias(n) if n in changed else quoted(n) for n in rows.columns]
+    kept = stage(rows.select(*columns), f"{run.scratch}/converted-{batch_id}")
+    if dataset.layout == BY_FILE:
+        write_partitions(kept, dataset.bronze, FILE_KEY)
+    else:
+        write_table(kept, path)
 
 
 def _write_records(run: Run, number: int, state: _Columns, batch_id: int) -> tuple[dict[str, int], int]:
@@ -460,18 +593,25 @@ def _compact(run: Run) -> None:
         held = held.withColumn("status", F.lit(MOVED)).withColumn("run", F.lit(run.id)).withColumn(INGEST_BATCH, F.lit(moved_to))
         append_manifest(stage(held, f"{run.scratch}/moved"), dataset)
         batches = batch_counts(spark, dataset)
-    _drop_dead_batches(spark, dataset, batches)
+    _drop_dead_batches(run, batches)
 
 
-def _drop_dead_batches(spark: SparkSession, dataset: Dataset, batches: list[Row]) -> None:
-    """Delete the batches that hold the current rows of no file."""
+def _drop_dead_batches(run: Run, batches: list[Row]) -> None:
+    """Delete the batches that hold the current rows of no file, except those that a live run may be writing and those within their grace."""
+    spark, dataset = run.spark, run.dataset
     if not files.exists(spark, dataset.bronze):
         return
-    live = {f"{INGEST_BATCH}={b.ingest_batch}" for b in batches if b.n_current}
+    oldest = run.log.oldest_live() * 1_000
+    recent = datetime.now() - timedelta(seconds=dataset.grace)
+    kept = {b.ingest_batch for b in batches if b.n_current or (dataset.grace and b.left_at and b.left_at >= recent)}
     for path in files.children(spark, dataset.bronze):
         name = path.rsplit("/", 1)[-1]
-        if name.startswith(f"{INGEST_BATCH}=") and name not in live:
-            files.delete(spark, path)
+        if name.startswith(f"{INGEST_BATCH}="):
+            batch = int(name.removeprefix(f"{INGEST_BATCH}="))
+            # A live run's own batches are numbered from its id on; noted ones are judged by the manifest, whoever wrote them.
+            noted = any(b.ingest_batch == batch for b in batches)
+            if batch not in kept and (noted or batch < oldest):
+                files.delete(spark, path)
 
 
 def _stored(spark: SparkSession, dataset: Dataset) -> DataFrame:
@@ -487,21 +627,25 @@ def _stored(spark: SparkSession, dataset: Dataset) -> DataFrame:
     return spark.read.schema(table).parquet(dataset.bronze)
 
 
-def read_bronze(spark: SparkSession, dataset: Dataset, keys: bool = False) -> DataFrame:
+def read_bronze(spark: SparkSession, dataset: Dataset, keys: bool = False, version: int | None = None) -> DataFrame:
     """The bronze table of a dataset. ``file_key`` is kept; ``keys`` also keeps the batch column.
 
+    ``version``, a run's id, gives the table as that run left it, under today's schema, as long as the dataset's ``grace`` keeps the rows (batch layout).
+
     In batch layout the manifest says which rows count: those of the batch that a file was last
     read into. Rows are only compared with it where a batch holds rows that a later read replaced.
     """
     if dataset.format == "csv":
-        raise ValueError("every CSV file is a table of its own; read it with parquet_table")
+        raise ValueError("every CSV file is a table of its own; read one with parquet_table, all with read_csv_tables")
     df = _stored(spark, dataset)
+    if version is not None and dataset.layout != BY_BATCH:
+        raise ValueError("only tables in batch layout keep earlier versions")
     if dataset.layout == BY_BATCH:
-        batches = batch_counts(spark, dataset)
+        batches = batch_counts(spark, dataset, version)
         df = df.where(F.col(INGEST_BATCH).isin([b.ingest_batch for b in batches if b.n_current]))
         mixed = [b.ingest_batch for b in batches if 0 < b.n_current < b.n_files]
         if mixed:
-            dead = replaced_outputs(spark, dataset).where(F.col(INGEST_BATCH).isin(mixed))
+            dead = replaced_outputs(spark, dataset, version).where(F.col(INGEST_BATCH).isin(mixed))
             df = df.join(dead, [FILE_KEY, INGEST_BATCH], "left_anti").select(*[quoted(name) for name in df.columns])
         df = df if keys else df.drop(INGEST_BATCH)
     return df
@@ -514,26 +658,87 @@ def csv_table_path(dataset: Dataset, file_key: str) -> str:
     return f"{dataset.bronze}/{file_key}.parquet"
 
 
-def _ingest_csv(run: Run) -> None:
-    """One table per file, as the columns differ from file to file; several jobs at a time."""
+def read_csv_tables(spark: SparkSession, dataset: Dataset, columns: str) -> DataFrame:
+    """The tables of all CSV files of a dataset under one schema (DDL) and ``file_key``; a column that a table lacks is null."""
+    schema = T.StructType.fromDDL(columns)
+    if not files.exists(spark, dataset.bronze):
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FILE_KEY, T.StringType())]))
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(dataset.bronze)
+    relative = F.substring(decoded_path(F.col("_metadata.file_path")), len(files.path_part(spark, dataset.bronze)) + 2, 2**31 - 1)
+    return rows.select("*", F.regexp_extract(relative, r"^(.*)\.parquet/[^/]*$", 1).alias(FILE_KEY))
 
-    def ingest(entry) -> tuple:
-        try:
-            if not entry.length:
-                raise ValueError(f"empty file {entry.path}")
-            table, rows = scan_csv(run.spark, [entry.path])
-            write_table(normalize_column_names(table), csv_table_path(run.dataset, entry.file_key))
-            status = PROCESSED if rows else EMPTY
-        except Exception as failure:  # any failure of one file leaves the others alone
-            log.warning("%s rejected: %s", entry.path, failure)
-            status, rows = ERROR, 0
-        return (*entry, status, rows, None, run.id)
-
-    columns = ["file_key", "path", "src_mtime", "length"]
-    schema = "file_key string, path string, src_mtime timestamp, length bigint, status string, n_rows bigint, ingest_batch bigint, run bigint"
+
+def _ingest_csv(run: Run) -> None:
+    """One table per file, as the columns differ from file to file; jobs go by layout, not by file."""
     for number in range(run.n_batches):
         # The outcomes of one batch are noted before the next begins: a crash repeats one batch.
-        with ThreadPoolExecutor(CSV_JOBS) as pool:
-            done = list(pool.map(ingest, run.batch(number).select(*columns).toLocalIterator()))
-        if done:
-            append_manifest(run.spark.createDataFrame(done, schema), run.dataset)
+        _ingest_csv_batch(run, number)
+
+
+def _ingest_csv_batch(run: Run, number: int) -> None:
+    spark, scratch = run.spark, f"{run.scratch}/csv-{number}"
+    batch = run.batch(number)
+    paths = [row.path for row in batch.where("length > 0").select("path").toLocalIterator()]
+    if not paths:
+        append_manifest(stage(_csv_entries(run, batch.withColumn("status", F.lit(ERROR)).withColumn("n_rows", F.lit(0).cast("bigint"))), f"{scratch}/entries"), run.dataset)
+        return
+    # Tasks take many small files each.
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=str(TASK_BYTES)):
+        seen = survey(spark, paths, scratch)
+    fits = seen.where("not too_long")
+    layouts: dict[CsvLayout, list[tuple[str, int]]] = {}
+    for row in fits.select("path_part", "names", "unnamed", "kinds", "n_rows").toLocalIterator():
+        layouts.setdefault(layout_of(row.names, row.unnamed, row.kinds), []).append((row.path_part, row.n_rows))
+    by_part = {files.plain_part(spark, path): path for path in paths}
+    by_types: dict[tuple, list] = {}
+    for layout, some in layouts.items():
+        by_types.setdefault((layout.names, layout.unnamed, tuple(layout.types)), [layout, []])[1].extend(some)
+    # A layout whose names clash makes its own files errors.
+    rejected = []
+    for key in [*by_types]:
+        try:
+            normalized_names(list(key[0]))
+        except ColumnCollisionError as clash:
+            log.warning("%d CSV files rejected: %s", len(by_types[key][1]), clash)
+            rejected += [(part,) for part, _ in by_types.pop(key)[1]]
+    with ThreadPoolExecutor(CSV_JOBS) as pool:
+        work = [pool.submit(_write_csv_layout, run, f"{scratch}/table-{i}", layout, some, by_part) for i, (layout, some) in enumerate(by_types.values())]
+        for done in work:
+            done.result()  # what fails here is no file's own fault
+    refused = spark.createDataFrame(rejected, "path_part string").withColumn("refused", F.lit(True))
+    found = seen.join(refused, "path_part", "left").select(run.key_of(F.col("path_part")).alias("file_key"), "n_rows", (F.col("too_long") | F.col("refused").isNotNull()).alias("bad"))
+    outcome = batch.join(found, "file_key", "left")
+    bad = F.coalesce("bad", F.lit(True))
+    status = F.when(bad, ERROR).when(F.col("n_rows") == 0, EMPTY).otherwise(PROCESSED)
+    rows = F.when(bad, F.lit(0)).otherwise(F.col("n_rows")).cast("bigint")
+    append_manifest(stage(_csv_entries(run, outcome.withColumn("status", status).withColumn("n_rows", rows)), f"{scratch}/entries"), run.dataset)
+
+
+def _csv_entries(run: Run, outcome: DataFrame) -> DataFrame:
+    return outcome.select("file_key", "path", "src_mtime", "length", "status", "n_rows", F.lit(None).cast("bigint").alias("ingest_batch"), F.lit(run.id).alias("run"))
+
+
+def _write_csv_layout(run: Run, target: str, layout: CsvLayout, members: list[tuple[str, int]], by_part: dict[str, str]) -> None:
+    """All files of one layout in one job, dealt out by file; then each file's folder takes its own name."""
+    spark, dataset = run.spark, run.dataset
+    filled = [by_part[part] for part, n_rows in members if n_rows]
+    names = [quoted(name) for name in layout.names]
+    if filled:
+        table = layout_table(spark, filled, layout)
+        plain = normalize_column_names(table.select(*names))
+        keyed = table.select(*[value.alias(name) for value, name in zip(names, plain.columns, strict=True)], run.key_of(F.col("path_part")).alias(CSV_FILE))
+        # A file is read whole by one task, so no shuffle gathers its rows.
+        write_partitions(keyed, target, CSV_FILE)
+        for path in files.children(spark, target):
+            name = path.rsplit("/", 1)[-1]
+            if name.startswith(f"{CSV_FILE}="):
+                files.move(spark, path, csv_table_path(dataset, files.unescaped(spark, name.removeprefix(f"{CSV_FILE}="))))
+    blank = [part for part, n_rows in members if not n_rows]
+    if blank:
+        schema = T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in zip(normalized_names(list(layout.names)), layout.types, strict=True)])
+        write_table(spark.createDataFrame([], schema), f"{target}-blank")
+        keys = spark.createDataFrame([(part,) for part in blank], "path_part string").select(run.key_of(F.col("path_part")).alias("key"))
+        for row in keys.toLocalIterator():
+            path = csv_table_path(dataset, row.key)
+            files.delete(spark, path)
+            files.copy(spark, f"{target}-blank", path)

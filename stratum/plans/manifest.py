@@ -33,13 +33,17 @@ def append_manifest(entries: DataFrame, dataset: Dataset) -> None:
     stamped.write.mode("append").parquet(f"{dataset.state}/manifest")
 
 
-def _outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
-    return read_manifest(spark, dataset).where(F.col("status").isin(PROCESSED, EMPTY, MOVED))
+def _outputs(spark: SparkSession, dataset: Dataset, version: int | None = None) -> DataFrame:
+    entries = read_manifest(spark, dataset).where(F.col("status").isin(PROCESSED, EMPTY, MOVED))
+    return entries if version is None else entries.where(F.col("run") <= version)
 
 
-def current_entries(spark: SparkSession, dataset: Dataset) -> DataFrame:
-    """Per file the manifest's last entry that tells where its rows are, in the manifest's columns."""
-    entries = _outputs(spark, dataset)
+def current_entries(spark: SparkSession, dataset: Dataset, version: int | None = None) -> DataFrame:
+    """Per file the manifest's last entry that tells where its rows are, in the manifest's columns.
+
+    ``version`` is a run's id: what that run and those before it had noted.
+    """
+    entries = _outputs(spark, dataset, version)
     others = [name for name in entries.columns if name != "file_key"]
     last = F.max_by(F.struct(*others), F.col("run")).alias("last")
     return entries.groupBy("file_key").agg(last).select("file_key", "last.*")
@@ -55,21 +59,23 @@ def current_outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
     return current.select("file_key", F.col("src_mtime").alias("out_mtime"), "ingest_batch", "run")
 
 
-def replaced_outputs(spark: SparkSession, dataset: Dataset) -> DataFrame:
+def replaced_outputs(spark: SparkSession, dataset: Dataset, version: int | None = None) -> DataFrame:
     """Where rows were that a later read replaced or a compaction moved: ``file_key, ingest_batch``."""
-    entries = _outputs(spark, dataset).where(F.col("ingest_batch").isNotNull()).select("file_key", "ingest_batch")
-    current = current_entries(spark, dataset).select("file_key", "ingest_batch")
+    entries = _outputs(spark, dataset, version).where(F.col("ingest_batch").isNotNull()).select("file_key", "ingest_batch")
+    current = current_entries(spark, dataset, version).select("file_key", "ingest_batch")
     return entries.join(current, ["file_key", "ingest_batch"], "left_anti")
 
 
-def batch_counts(spark: SparkSession, dataset: Dataset) -> list[Row]:
-    """Per batch how many files ever had rows there and how many still have.
+def batch_counts(spark: SparkSession, dataset: Dataset, version: int | None = None) -> list[Row]:
+    """Per batch how many files ever had rows there and how many still have, and when the last one lost them (null if none did).
 
     One row per batch reaches the driver, as its folder does in Spark's file index.
     """
-    held = _outputs(spark, dataset).where(F.col("ingest_batch").isNotNull() & (F.col("n_rows") > 0)).groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_files"))
-    current = current_entries(spark, dataset).where("n_rows > 0").groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n_current"))
-    counts = held.join(current, "ingest_batch", "left").select("ingest_batch", "n_files", F.coalesce("n_current", F.lit(0)).alias("n_current"))
+    held = _outputs(spark, dataset, version).where(F.col("ingest_batch").isNotNull() & (F.col("n_rows") > 0)).select("file_key", "ingest_batch").distinct()
+    current = current_entries(spark, dataset, version).select("file_key", F.col("ingest_batch").alias("now"), "n_rows", "recorded_at")
+    still = F.col("now").eqNullSafe(F.col("ingest_batch")) & (F.col("n_rows") > 0)
+    counts = held.join(current, "file_key").groupBy("ingest_batch").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count(F.when(still, 1)).alias("n_current"), F.max(F.when(~still, F.col("recorded_at"))).alias("left_at"))
     return list(counts.toLocalIterator())
 
 

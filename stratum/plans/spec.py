@@ -30,6 +30,7 @@ class Dataset:
     layout: str = BY_FILE
     schema: str | None = None  # DDL to start from, before the first files are seen
     state: str = ""
+    grace: float = 0.0  # seconds for which rows that were replaced or moved stay, for readers that have opened them
 
     @property
     def lines(self) -> bool:

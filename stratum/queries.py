@@ -15,7 +15,7 @@ from .functions.paths import capture_int, file_stem
 from .landing import as_list, as_record, prepared, write_documents, write_named, write_single_records
 from .operators import head_by, project, tail_by, unique_by
 from .plans import lineups
-from .plans.ingest import csv_table_path, ingest_dataset, read_bronze
+from .plans.ingest import csv_table_path, ingest_dataset, read_bronze, read_csv_tables
 from .plans.layers import ingest_named, ingest_source, run_pipeline
 from .plans.manifest import read_manifest
 from .plans.spec import BY_BATCH, BY_FILE, FILE_KEY, Dataset, dataset
@@ -482,6 +482,74 @@ def csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.concat_vertical(teams, players)
 
 
+@query(
+    """SELECT CAST(event_id // 500 AS BIGINT) AS doc, CASE WHEN event_id // 500 % 10 IN (3, 7) THEN 'error' ELSE 'processed' END AS status,
+        CAST(CASE WHEN event_id // 500 % 10 IN (3, 7) THEN 0 ELSE COUNT(*) END AS BIGINT) AS n_rows,
+        CAST(SUM(CASE WHEN event_id // 500 % 10 NOT IN (3, 7) THEN event_id END) AS BIGINT) AS ids,
+        CAST(SUM(CASE WHEN event_id // 500 % 10 NOT IN (3, 7) THEN user_id END) AS BIGINT) AS users
+    FROM events GROUP BY event_id // 500"""
+)
+def clashing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that disagree on names: a tenth spells ``id`` as ``Id``, a tenth has ``user_id`` beside the others' ``user.id``; these alone are errors."""
+    doc = F.floor(F.col("event_id") / 500)
+
+    def write(folder: str) -> None:
+        events = _table(spark, sf_dir, "events", ["event_id", "user_id"]).withColumn("doc", doc)
+        one = F.format_string('{"id":%d,"user":{"id":%d}}', "event_id", "user_id")
+        spelled = F.format_string('{"Id":%d,"user":{"id":%d}}', "event_id", "user_id")
+        joined = F.format_string('{"id":%d,"user_id":%d}', "event_id", "user_id")
+        record = F.when(F.col("doc") % 10 == 3, spelled).when(F.col("doc") % 10 == 7, joined).otherwise(one)
+        write_documents(events.select(record.alias("record"), "doc"), folder, by="doc")
+
+    folder = prepared(spark, "events-clashing", sf_dir, write)
+    dataset = _dataset(spark, folder, "events-clashing", layout=BY_BATCH)
+    ingest_dataset(spark, dataset)
+    number = capture_int(F.col(FILE_KEY), r"doc=(\d+)/").alias("doc")
+    outcome = read_manifest(spark, dataset).groupBy(number, "status").agg(F.sum("n_rows").alias("n_rows"))
+    content = read_bronze(spark, dataset).groupBy(number).agg(F.sum("id").alias("ids"), F.sum("user_id").alias("users"))
+    return outcome.join(content, "doc", "left")
+
+
+CSV_FILE_ROWS = 200
+
+
+@query(
+    """WITH f AS (SELECT *, o_orderkey // 200 AS n FROM orders),
+        rows AS (SELECT n, CASE WHEN n % 10 <> 0 AND n % 10 <> 7 THEN o_orderkey END AS order_id, o_custkey AS cust_id, CASE WHEN n % 3 = 2 THEN o_orderstatus END AS status FROM f)
+    SELECT CAST(n AS BIGINT) AS n, CASE WHEN n % 10 = 7 THEN 'empty' WHEN n % 10 = 0 THEN 'error' ELSE 'processed' END AS outcome,
+        CAST(CASE WHEN n % 10 IN (0, 7) THEN 0 ELSE COUNT(*) END AS BIGINT) AS n_rows,
+        CAST(SUM(order_id) AS BIGINT) AS order_ids, CAST(SUM(CASE WHEN n % 10 IN (0, 7) THEN NULL ELSE cust_id END) AS BIGINT) AS cust_ids,
+        CASE WHEN n % 10 NOT IN (0, 7) THEN MAX(status) END AS status
+    FROM rows GROUP BY n"""
+)
+def csv_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small CSV files of three layouts; a tenth has a row with surplus cells, a tenth a header only. Outcome and contents per file."""
+    n = F.floor(F.col("o_orderkey") / CSV_FILE_ROWS)
+
+    def write(base: str) -> None:
+        orders = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"]).withColumn("n", n)
+        plain, turned, wide = F.concat_ws(",", "o_orderkey", "o_custkey"), F.concat_ws(",", "o_custkey", "o_orderkey"), F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus")
+        line = F.when(n % 3 == 0, plain).when(n % 3 == 1, turned).otherwise(wide)
+        header = F.when(n % 3 == 0, "order.id,cust.id").when(n % 3 == 1, "cust.id,order.id").otherwise("order.id,cust.id,status")
+        lines = orders.groupBy("n").agg(F.first(header).alias("header"), F.collect_list(line).alias("lines"))
+        body = F.when(n_is(10, 7), F.array().cast("array<string>")).when(n_is(10, 0), F.concat("lines", F.array(F.lit("1,2,3,4,5")))).otherwise(F.col("lines"))
+        text = F.concat(F.array_join(F.concat(F.array("header"), body), "\n"), F.lit("\n"))
+        write_named(lines.select(text.alias("value"), F.format_string("part/%d.csv", "n").alias("file")), base)
+
+    def n_is(modulus: int, rest: int):
+        return F.col("n") % modulus == rest
+
+    folder = prepared(spark, "orders-csv-layouts", sf_dir, write)
+    base = shared_dir(spark, "csv-layouts")
+    made = Dataset("", "csv-layouts", f"{folder}/part", f"{base}/table", "*.csv", state=f"{base}/state", format="csv")
+    ingest_dataset(spark, made)
+    number = F.col(FILE_KEY).cast("bigint").alias("n")
+    outcome = read_manifest(spark, made).select(number, F.col("status").alias("outcome"), "n_rows")
+    content = read_csv_tables(spark, made, "order_id bigint, cust_id bigint, status string").groupBy(number).agg(
+        F.sum("order_id").alias("order_ids"), F.sum("cust_id").alias("cust_ids"), F.max("status").alias("status"))
+    return outcome.join(content, "n", "left")
+
+
 @query(
     """SELECT 1 AS run, dataset, 'processed' AS status, CAST(n_files AS BIGINT) AS n_files, CAST(n_rows AS BIGINT) AS n_rows FROM (
         SELECT 'matches' AS dataset, 1 AS n_files, COUNT(*) AS n_rows FROM supplier

@@ -1,4 +1,8 @@
-"""CSV files: header names, column types and the scan."""
+"""CSV files: header names, column types and the scan.
+
+Any number of files is looked at together: one scan of their lines finds each file's header, one parse the kinds of its columns,
+its rows and its widest row. Files of one layout are then read by one scan. No job is started for a single file.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import files
+from ..functions.paths import decoded_path
+from ..operators.columns import quoted
+from ..operators.rows import concat_vertical
+from ..session import opening_paths, shared_dir
+from ..sinks.parquet import write_table
 
 CORRUPT = "__corrupt"
 
@@ -22,6 +31,8 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
+# A cell and the comma behind it.
+CELL = r'("[^"]*+(?:""[^"]*+)*+"[^,]*|[^,]*),'
 QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 
 CSV_OPTIONS = {
@@ -30,9 +41,15 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
     "maxCharsPerColumn": "-1",
-    "maxColumns": "20000",
 }
 
+# Files are parsed by classes of width, each twice as wide as the last, so that one wide file does not make every parse wide.
+NARROWEST = 16
+MANY_COLUMNS = 256
+
+# A row over several lines may hold more cells than the fullest line; the parser has places for so many.
+SPARE_CELLS = 1 << 16
+
 
 class RaggedCsvError(ValueError):
     """A row holds more cells than the header allows."""
@@ -40,18 +57,23 @@ class RaggedCsvError(ValueError):
 
 @dataclass(frozen=True)
 class CsvLayout:
-    """Header names of a file, and how many unnamed leading cells its rows carry."""
+    """What files read by one scan have in common: column names and kinds, and how many unnamed cells stand before them."""
 
-    names: list[str]
+    names: tuple[str, ...]
     unnamed: int
+    kinds: tuple[int, ...]
 
     @property
     def width(self) -> int:
         return len(self.names) + self.unnamed
 
+    @property
+    def types(self) -> list[str]:
+        return [_column_type(kind) for kind in self.kinds]
+
 
-def _reader(spark: SparkSession, multiline: bool):
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
+def _reader(spark: SparkSession, multiline: bool, width: int):
+    return spark.read.options(**CSV_OPTIONS).option("maxColumns", 2 * width + SPARE_CELLS).option("multiLine", multiline)
 
 
 def _cells(width: int) -> list[T.StructField]:
@@ -73,37 +95,127 @@ def header_names(cells: list[str | None]) -> list[str]:
     return result
 
 
-def read_layout(spark: SparkSession, path: str, multiline: bool = True) -> CsvLayout:
-    """Look at the first two rows of one file; a wider first data row has leading unnamed cells."""
-    literal = files.literal_path(path)
-    header = _reader(spark, multiline).csv(literal)
-    if not header.columns:
-        raise RaggedCsvError(f"no columns in {path}")
-    cells = list(header.first())
-    probe = _reader(spark, multiline).schema(T.StructType(_cells(2 * len(cells) + 16))).csv(literal)
-    rows = [list(row) for row in probe.take(2)]
-    filled = [i + 1 for i, cell in enumerate(rows[1]) if cell is not None] if len(rows) > 1 else []
-    return CsvLayout(header_names(cells), max(0, max(filled, default=0) - len(cells)))
+def split_cells(record: Column) -> Column:
+    """The cells of one record's text, quotes resolved; none has a missing value's null."""
+    raw = F.regexp_extract_all(F.concat(record, F.lit(",")), F.lit(CELL), F.lit(1))
+    return F.transform(raw, lambda cell: F.when(
+        cell.startswith('"'), F.replace(F.regexp_replace(cell, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(cell))
 
 
-def read_cells(spark: SparkSession, paths: list[str], layout: CsvLayout, multiline: bool = True) -> DataFrame:
-    """All cells as text with NA texts as null, plus ``__too_long`` for rows with surplus cells."""
-    width = layout.width
+def _open(spark: SparkSession, paths: list[str], width: int, multiline: bool, header: bool = True) -> DataFrame:
+    """The first ``width`` cells of every row that is not blank, its text where it has another number of cells, its file and its place there."""
     schema = T.StructType([*_cells(width), T.StructField(CORRUPT, T.StringType())])
-    rows = _reader(spark, multiline).schema(schema).option("header", True).csv([files.literal_path(p) for p in paths])
-    # The corrupt marker holds the raw text of short and of long rows; only those are counted.
-    unquoted = F.regexp_replace(F.col(CORRUPT), QUOTED_CELL, "$1q")
-    too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(unquoted, ",")) > width)
+    with opening_paths(spark):
+        rows = _reader(spark, multiline, width).schema(schema).option("header", header).csv([files.literal_path(p) for p in paths])
+    # A scan numbers its rows in the order of each block of a file.
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("path_part"), place.alias("place"))
     space = F.lit(" \t\r\n")
     # White space alone on a line is no row. The first cell keeps a data column in every scan:
     # Spark refuses to read the marker alone.
     blank = F.trim(F.coalesce("c0", F.lit("" if width > 1 else "-")), space) == ""
     if width > 1:
         blank = blank & (F.trim(F.coalesce(CORRUPT, F.lit("-")), space) == "")
-    values = [
-        F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")).alias(f"c{i}") for i in range(layout.unnamed, width)
-    ]
-    return rows.where(~blank).select(*values, too_long.alias("__too_long"))
+    return rows.where(~blank)
+
+
+def _n_cells(width: int) -> Column:
+    """Cells of a row; the marker holds the text of short and of long rows."""
+    unquoted = F.regexp_replace(F.col(CORRUPT), QUOTED_CELL, "$1q")
+    return F.when(F.col(CORRUPT).isNull(), width).otherwise(F.size(F.split(unquoted, ",")))
+
+
+def _value(i: int) -> Column:
+    return F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}"))
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path_part, header, cells): each file's first line that is not empty, and how many cells its fullest line may hold."""
+    with opening_paths(spark):
+        lines = spark.read.option("recursiveFileLookup", True).text([files.literal_path(p) for p in paths])
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    cells = F.length("value") - F.length(F.replace("value", F.lit(","))) + 1
+    lines = lines.select("value", decoded_path(F.col("_metadata.file_path")).alias("path_part"), place.alias("place"), cells.alias("cells"))
+    return lines.where("value <> ''").groupBy("path_part").agg(F.min_by("value", "place").alias("header"), F.max("cells").alias("cells"))
+
+
+def _kinds(spark: SparkSession, paths: list[str], width: int, multiline: bool) -> DataFrame:
+    """Per file what the rows below its header are like, by position."""
+    rows = _open(spark, paths, width, multiline).withColumn("n_cells", _n_cells(width))
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.min_by("n_cells", "place").alias("first"), F.max("n_cells").alias("most")]
+    if width <= MANY_COLUMNS:
+        kinds = [F.bit_or(_cell_kind(_value(i))).alias(f"k{i}") for i in range(width)]
+        found = rows.groupBy("path_part").agg(*counts, *kinds).withColumn("kinds", F.array(*[f"k{i}" for i in range(width)]))
+    else:
+        # One expression for all columns; a plan with thousands of aggregates takes longer than the data.
+        cells = F.transform(F.array(*[f"c{i}" for i in range(width)]), lambda cell: _cell_kind(F.when(~cell.isin(*NA_TOKENS), cell)))
+        by_place = rows.select("path_part", F.posexplode(cells).alias("pos", "kind")).groupBy("path_part", "pos").agg(F.bit_or("kind").alias("kind"))
+        kinds = by_place.groupBy("path_part").agg(F.sort_array(F.collect_list(F.struct("pos", "kind"))).getField("kind").alias("kinds"))
+        found = rows.groupBy("path_part").agg(*counts).join(kinds, "path_part")
+    return found.select("path_part", "n_rows", "first", "most", F.lit(width).alias("width"), "kinds")
+
+
+class _Paths(dict):
+    """Paths by their part without scheme; a file below a folder that was named has the folder's scheme."""
+
+    def __missing__(self, part: str) -> str:
+        above = part
+        while "/" in above[1:]:
+            above = above.rsplit("/", 1)[0]
+            if above in self:
+                return self[above].rstrip("/") + part[len(above):]
+        return part
+
+
+def _width_class(cells: int) -> int:
+    return max(NARROWEST, 1 << (cells - 1).bit_length())
+
+
+def survey(spark: SparkSession, paths: list[str], scratch: str, multiline: bool = True) -> DataFrame:
+    """(path_part, names, n_rows, unnamed, too_long, kinds) of every file with a line that is not empty, stored below ``scratch``.
+
+    ``names`` are the header's cells, ``kinds`` bit sets per column. A first data row wider than the header has leading
+    unnamed cells; ``too_long`` says that a row holds more cells than both allow, or that the header is blank. The number of jobs does not depend on the number of files.
+    """
+    by_part = _Paths({files.plain_part(spark, path): path for path in paths})
+    write_table(_headers(spark, paths), f"{scratch}/headers")
+    headers = spark.read.parquet(f"{scratch}/headers")
+    open_quote = F.length(F.regexp_replace("header", '[^"]', "")) % 2 == 1
+    classes: dict[int, list[str]] = {}
+    broken = []
+    for part, cells, is_open in headers.select("path_part", "cells", open_quote).toLocalIterator():
+        classes.setdefault(_width_class(int(cells)), []).append(by_part[part])
+        if is_open:
+            broken.append(by_part[part])
+    if broken and multiline:
+        # A header over several lines: with one column, the marker of any wider row is its whole text.
+        first = _open(spark, broken, 1, True, header=False).groupBy("path_part").agg(F.min_by(F.coalesce(CORRUPT, "c0"), "place").alias("whole"))
+        headers = headers.join(first, "path_part", "left").withColumn("header", F.coalesce("whole", "header")).drop("whole")
+    rounds = []
+    while classes:
+        made = f"{scratch}/kinds-{len(rounds)}"
+        write_table(concat_vertical(*[_kinds(spark, some, width, multiline) for width, some in sorted(classes.items())]), made)
+        rounds.append(spark.read.parquet(made))
+        # A row over several lines may be wider than any of its lines: once more, in its own class.
+        classes = {}
+        for part, most in rounds[-1].where("most > width").select("path_part", "most").toLocalIterator():
+            classes.setdefault(_width_class(most), []).append(by_part[part])
+    kinds = concat_vertical(*[found.where("most <= width") for found in rounds]) if rounds else None
+    if kinds is None:
+        kinds = spark.createDataFrame([], "path_part string, n_rows bigint, first int, most int, width int, kinds array<int>")
+    names = split_cells(F.col("header"))
+    found = headers.select("path_part", "header", names.alias("names")).join(kinds, "path_part", "left")
+    n = F.size("names")
+    unnamed = F.greatest(F.lit(0), F.coalesce("first", F.lit(0)) - n)
+    # Null kinds at the end: a header wider than all rows, or no row at all.
+    padded = F.concat(F.coalesce("kinds", F.array().cast("array<int>")), F.array_repeat(F.lit(0), n))
+    table = found.withColumn("unnamed", unnamed).select(
+        "path_part", "names", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "unnamed",
+        ((F.coalesce("most", F.lit(0)) > n + F.col("unnamed")) | (F.trim("header") == "")).alias("too_long"),
+        F.transform(F.slice(padded, F.col("unnamed") + 1, n), lambda kind: F.coalesce(kind, F.lit(0))).alias("kinds"),
+    )
+    write_table(table, f"{scratch}/survey")
+    return spark.read.parquet(f"{scratch}/survey")
 
 
 def _boolean(cell: Column) -> Column:
@@ -145,40 +257,55 @@ def _column_type(kinds: int | None) -> str:
     return "string"
 
 
-def infer_types(cells: DataFrame) -> tuple[list[str], int, int]:
-    """Type per column, number of rows and of rows with surplus cells, in one aggregate."""
-    columns = [name for name in cells.columns if name != "__too_long"]
-    found = cells.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if("__too_long").alias("long"),
-        *[F.bit_or(_cell_kind(F.col(name))).alias(name) for name in columns],
-    ).first()
-    return [_column_type(found[name]) for name in columns], found["rows"], found["long"]
-
-
 def _typed(cell: Column, kind: str) -> Column:
     if kind == "string":
         return cell
     return _boolean(cell) if kind == "boolean" else F.trim(cell).cast(kind)
 
 
+def layout_of(names: list[str], unnamed: int, kinds: list[int]) -> CsvLayout:
+    return CsvLayout(tuple(header_names(names)), unnamed, tuple(kinds))
+
+
+def layout_table(spark: SparkSession, paths: list[str], layout: CsvLayout, multiline: bool = True) -> DataFrame:
+    """The typed rows of files of one layout, and ``path_part``, their file; one scan."""
+    rows = _open(spark, paths, layout.width, multiline)
+    columns = [
+        _typed(_value(i + layout.unnamed), kind).alias(name)
+        for i, (name, kind) in enumerate(zip(layout.names, layout.types, strict=True))
+    ]
+    return rows.select(*columns, "path_part")
+
+
 def scan_csv(spark: SparkSession, paths: list[str], multiline: bool = True) -> tuple[DataFrame, int]:
-    """Typed frame of CSV files with one common header, and its number of rows.
+    """Typed frame of CSV files with the same columns, in whatever order each has them, and its number of rows.
 
-    Dates stay text. A row with surplus cells rejects the whole input; a short row is filled
-    with nulls. ``multiline=False`` lets Spark split large files, for data without line
-    breaks inside quotes.
+    Values go by each file's own header. Dates stay text. A row with surplus cells rejects the whole input; a short row is filled
+    with nulls. ``multiline=False`` lets Spark split large files, for data without line breaks inside quotes.
     """
-    layout = read_layout(spark, paths[0], multiline)
-    cells = read_cells(spark, paths, layout, multiline)
-    kinds, rows, long_rows = infer_types(cells)
-    if long_rows:
-        raise RaggedCsvError(f"{long_rows} rows hold more than {layout.width} cells in {', '.join(paths)}")
-    columns = [
-        _typed(F.col(f"c{i + layout.unnamed}"), kind).alias(name)
-        for i, (name, kind) in enumerate(zip(layout.names, kinds, strict=True))
+    seen = survey(spark, paths, shared_dir(spark, "csv"), multiline)
+    by_part = _Paths({files.plain_part(spark, path): path for path in paths})
+    rows = {row.path_part: row for row in seen.toLocalIterator()}
+    missing = [path for part, path in by_part.items() if not any(name == part or name.startswith(f"{part}/") for name in rows)]
+    if missing:
+        raise RaggedCsvError(f"no columns in {', '.join(missing)}")
+    layouts: dict[CsvLayout, list[str]] = {}
+    for part in sorted(rows, key=lambda part: list(by_part).index(part) if part in by_part else 0):
+        row = rows[part]
+        if row.too_long:
+            raise RaggedCsvError(f"a row of {by_part[part]} holds more cells than the header and the first row")
+        layouts.setdefault(layout_of(row.names, row.unnamed, row.kinds), []).append(by_part[part])
+    first = next(iter(layouts))
+    kinds = dict.fromkeys(first.names, 0)
+    for layout in layouts:
+        if set(layout.names) != set(first.names):
+            raise RaggedCsvError(f"columns {', '.join(layout.names)} in {layouts[layout][0]}, {', '.join(first.names)} in {layouts[first][0]}")
+        kinds = {name: kinds[name] | kind for name, kind in zip(layout.names, layout.kinds, strict=True)}
+    tables = [
+        layout_table(spark, some, CsvLayout(layout.names, layout.unnamed, tuple(kinds[name] for name in layout.names)), multiline).select(*[quoted(name) for name in first.names])
+        for layout, some in layouts.items()
     ]
-    return cells.select(*columns), rows
+    return concat_vertical(*tables), sum(row.n_rows for row in rows.values())
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], multiline: bool = True) -> DataFrame:

@@ -105,3 +105,66 @@ def test_batch(spark, tmp_path):
     os.utime(source / "teams.csv", (1_700_000_500, 1_700_000_500))
     assert run() == {"skipped": 2, "error": 3}
     assert spark.read.parquet(f"{out}/teams.parquet").count() == 2
+
+
+def jobs(spark) -> int:
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    """Three layouts, one of them turned around; the manifest tells every file's own outcome."""
+    started = []
+    for n in (120, 240):
+        source, out = tmp_path / f"in{n}", str(tmp_path / f"out{n}")
+        source.mkdir()
+        for k in range(n):
+            header, row = (("a.b,name", f"{k},x"), ("name,a.b", f"x,{k}"), ("a.b,name,extra", f"{k},x,2.5"))[k % 3]
+            bad = "1,2,3,4,5,6\n" if k % 10 == 9 else ""
+            (source / f"m {k}=%.csv").write_text(f"{header}\n{row}\n{row}\n{bad}")
+        before = jobs(spark)
+        summary = {r.status: (r.n_files, r.n_rows) for r in ingest_csv_batch(spark, str(source), out).collect()}
+        started.append(jobs(spark) - before)
+        assert summary == {"processed": (n * 9 // 10, n * 9 // 10 * 2), "error": (n // 10, 0)}
+        for k in (0, 1, 2):
+            table = spark.read.parquet(f"{out}/m {k}=%.parquet")
+            assert table.columns == (["a_b", "name"], ["name", "a_b"], ["a_b", "name", "extra"])[k]
+            assert [r["a_b"] for r in table.collect()] == [k, k]
+    assert started[0] == started[1]
+
+
+def test_one_clashing_file_leaves_the_others(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for name, text in {"good": "a.b\n1\n", "clash": "a.b,a_b\n1,2\n", "text": "a.b\nx\n", "blank": "\n \n"}.items():
+        (source / f"{name}.csv").write_text(text)
+    assert {r.status: r.n_files for r in ingest_csv_batch(spark, str(source), out).collect()} == {"processed": 2, "error": 2}
+    assert spark.read.parquet(f"{out}/good.parquet").dtypes == [("a_b", "bigint")]
+    assert spark.read.parquet(f"{out}/text.parquet").dtypes == [("a_b", "string")]
+
+
+def test_trailing_commas_from_the_first_row_on(table):
+    assert table("a,b\n1,2,\n3,4,\n") == ({"a": "bigint", "b": "string"}, [(2, None), (4, None)])
+
+
+def test_headers_and_rows_over_several_lines(table):
+    assert table('"a\nb","c ""d"""\n1,2\n') == ({"a\nb": "bigint", 'c "d"': "bigint"}, [(1, 2)])
+    wide = ",".join(f"k{i}" for i in range(40))
+    row = ",".join(f'"{i}\n"' if i % 3 == 0 else str(i) for i in range(40))
+    kinds, rows = table(f"{wide}\n{row}\n")
+    assert len(kinds) == 40 and rows[0][:3] == (0, 1, 2) and rows[0][38] == 38
+
+
+def test_many_columns(table):
+    kinds, rows = table(",".join(f"k{i}" for i in range(1_000)) + "\n1,2\n")
+    assert len(kinds) == 1_000 and rows[0][:3] == (1, 2, None)
+
+
+def test_several_files_bind_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2.5,3\n")
+    (tmp_path / "c.csv").write_text("x,z\n1,2\n")
+    df = read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert df.dtypes == [("x", "bigint"), ("y", "double")]
+    assert sorted(map(tuple, df.collect())) == [(1, 2.0), (3, 2.5)]
+    with pytest.raises(RaggedCsvError):
+        read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "c.csv")])
