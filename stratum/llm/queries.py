@@ -115,9 +115,9 @@ def toxicity_field(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicit
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score_documents(docs, toxicity_field(spark, sf_dir, docs), spans=False)
+    scored = toxicity.score_documents(docs, toxicity_field(spark, sf_dir, docs))
     return scored.select(
-        "doc_id", (F.crc32(id_text()) % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", (F.crc32(id_text()) % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans"
     )
 
 

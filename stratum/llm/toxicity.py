@@ -271,12 +271,16 @@ def _spans(text: str, marginals: np.ndarray) -> list[dict]:
     """Code-point offsets of the runs of toxic words."""
     spans: list[dict] = []
     before = -2
-    for k, word in enumerate(WORD.finditer(text.lower())):
+    lowered = text.lower()
+    # Some letters become several when lower-cased; each of those stands at the place of the one that it came from.
+    place = range(len(text)) if len(lowered) == len(text) else [k for k, letter in enumerate(text) for _ in letter.lower()]
+    for k, word in enumerate(WORD.finditer(lowered)):
         if marginals[k] >= 0.5:
+            start, end = place[word.start()], place[word.end() - 1] + 1
             if before == k - 1:
-                spans[-1]["end"] = word.end()
+                spans[-1]["end"] = end
             else:
-                spans.append({"start": word.start(), "end": word.end()})
+                spans.append({"start": start, "end": end})
             before = k
     return spans
 

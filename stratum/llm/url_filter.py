@@ -75,15 +75,17 @@ def resolve(base: Column, link: Column) -> Column:
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) urls: canonical links and refresh redirects found in the pages' markup."""
+    """(src, dst) urls: every canonical link and refresh redirect found in the pages' markup."""
     body = F.col(html)
-    tag = F.regexp_extract(body, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]*)", 1)
-    meta = F.regexp_extract(body, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    redirect = F.regexp_extract(meta, r"(?is);\s*url\s*=\s*[\"']?\s*([^\"'\s>]*)", 1)
+
+    def links(tag: str, target: str) -> Column:
+        tags = F.regexp_extract_all(body, F.lit(tag), F.lit(0))
+        return F.transform(tags, lambda one: F.regexp_extract(one, target, 1))
+
+    canonical = links(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]*)")
+    redirect = links(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is);\s*url\s*=\s*[\"']?\s*([^\"'\s>]*)")
     found = pages.filter(F.col(url).isNotNull() & body.rlike(r"(?i)canonical|refresh")).select(
-        F.col(url).alias("src"),
-        F.explode(F.array(F.when(tag != "", canonical), F.when(meta != "", redirect))).alias("link"),
+        F.col(url).alias("src"), F.explode(F.array_distinct(F.concat(canonical, redirect))).alias("link"),
     )
     return found.filter("link <> ''").select("src", resolve(F.col("src"), F.col("link")).alias("dst"))
 
@@ -150,8 +152,10 @@ def filter_urls(
         classes = connected_components(
             merged.select(canonical_key(F.col("src")).alias("src"), canonical_key(F.col("dst")).alias("dst")), "url-classes"
         )
-        # An alias that is no page itself carries the rule that fits its url.
-        aliases = classes.select("node", F.regexp_extract("node", r"^([^/?]*)", 1).alias("host"), F.regexp_extract("node", r"^[^/?]*([^?]*)", 1).alias("path"))
+        # A link's ends carry the rules that fit their urls as they stand, also where they are no pages themselves.
+        ends = merged.select(F.explode(F.array("src", "dst")).alias("url")).filter("url is not null").distinct()
+        aliases = ends.select(canonical_key(F.col("url")).alias("node"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+        aliases = aliases.filter("node is not null")
         by_rule = apply_rules(aliases, rules).filter("rule_verdict is not null").select(
             "node", (F.col("rule_verdict") == BLOCK).alias("blocks"), (F.col("rule_verdict") == ALLOW).alias("allows")
         )

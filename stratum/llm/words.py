@@ -1,7 +1,7 @@
 """Token ids of a byte-level BPE whose vocabulary file is that of the ``tokenizers`` library.
 
 Where the file's ids follow its merges, as in the usual files, ``tiktoken`` encodes with the very same
-vocabulary, several times as fast; other files, and texts that it refuses, go through ``tokenizers``.
+vocabulary, several times as fast; other files, texts that hold one of the file's added tokens and texts that it refuses go through ``tokenizers``.
 """
 
 from __future__ import annotations
@@ -49,7 +49,10 @@ def ranks_of(path: str) -> dict[bytes, int] | None:
 
 
 class Codes:
-    """``encode`` gives a text's ids as little-endian unsigned 32-bit numbers; special tokens' strings are ordinary text."""
+    """``encode`` gives a text's ids as little-endian unsigned 32-bit numbers, those of ``Tokenizer.encode(text, add_special_tokens=False)``.
+
+    So an added token's string in a text is that token.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,6 +60,8 @@ class Codes:
         self._slow = None
         ranks = ranks_of(path)
         self._fast = None
+        with open(path, encoding="utf-8") as file:
+            self._added = [token["content"] for token in json.load(file).get("added_tokens", [])]
         if ranks:
             import tiktoken
 
@@ -68,11 +73,10 @@ class Codes:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self.path)
-            self._slow.encode_special_tokens = True
         return self._slow
 
     def ids(self, text: str) -> list[int]:
-        if self._fast is not None:
+        if self._fast is not None and not any(token in text for token in self._added):
             try:
                 return self._fast.encode_ordinary(text)
             except BaseException as error:

@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from stratum.llm.words import Codes, default_tokenizer
 
@@ -16,8 +17,11 @@ def codes():
     return Codes(default_tokenizer())
 
 
+UNALTERED = Tokenizer.from_file(default_tokenizer())
+
+
 def plain(codes, text):
-    return codes.tokenizer.encode(text, add_special_tokens=False).ids
+    return UNALTERED.encode(text, add_special_tokens=False).ids
 
 
 def test_documents(codes):
@@ -28,7 +32,7 @@ def test_documents(codes):
 
 
 @pytest.mark.parametrize("text", [
-    "", " ", "  \n\t x", "don't we'll I'M", "ünï¢ode 東京 🙂🙂 ½²", "<|endoftext|> a", "a" * 5000, " " * 3000 + "x", "x y z\x00\x1f", "\r\n\r\n a\x0b\x0c",
+    "", " ", "  \n\t x", "don't we'll I'M", "ünï¢ode 東京 🙂🙂 ½²", "<|endoftext|> a", "end <|endoftext|> start", "<|endoftext|", "x<|endoftext|><|endoftext|>y", "a" * 5000, " " * 3000 + "x", "x y z\x00\x1f", "\r\n\r\n a\x0b\x0c",
 ])
 def test_odd_texts(codes, text):
     assert codes.ids(text) == plain(codes, text)
