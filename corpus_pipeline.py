@@ -19,8 +19,10 @@ TOXIC = 0.3
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below the limit, all columns."""
     field = toxicity_field(spark, sf_dir, docs)
-    scored = toxicity.score_documents(docs, field, tuple(docs.columns), spans=False)
-    return scored.filter(F.col("score") < TOXIC).select(*docs.columns)
+    # Under other names, so that a column of the documents may be called like a score.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    scored = toxicity.score_documents(plain, field, tuple(plain.columns), text=f"c{docs.columns.index('text')}", spans=False)
+    return scored.filter(F.col("score") < TOXIC).select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
