@@ -28,6 +28,7 @@ from ..sources.documents import (
     CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields,
     open_texts, records, scan_documents,
 )
+from ..sources.structure import check_structure
 from ..sources.listing import LISTING_CONF, list_files, open_folder, zero_byte_files
 from .commits import RunLog
 from .manifest import (
@@ -230,17 +231,22 @@ def _check_batch(run: Run, number: int) -> None:
     """Store the state of every file of one batch: ok, empty or error."""
     batch = run.batch(number)
     size = F.col("length")
-    checked = (size > 0) if run.dataset.lines else (size > 0) & (size <= LARGEST_CHECKED_FILE)
-    paths = [r.path for r in batch.where(checked).select("path").toLocalIterator()]
+    small = (size > 0) if run.dataset.lines else (size > 0) & (size <= LARGEST_CHECKED_FILE)
+    found = []
+    paths = [r.path for r in batch.where(small).select("path").toLocalIterator()]
     if paths:
         run.texts = sorted(paths), open_texts(run.spark, paths, run.dataset.lines)
-        states = check_documents(run.texts[1], run.dataset.lines)
-        states = states.select(run.key_of(F.col("path_part")).alias("file_key"), "state")
+        found.append(check_documents(run.texts[1], run.dataset.lines))
+    # The same question by pieces, for documents that no text value holds.
+    large = [r.path for r in batch.where((size > 0) & ~small).select("path").toLocalIterator()]
+    if large:
+        found.append(check_structure(run.spark, large))
+    if found:
+        states = concat_vertical(*found).select(run.key_of(F.col("path_part")).alias("file_key"), "state")
         batch = batch.join(states, "file_key", "left")
     else:
         batch = batch.withColumn("state", F.lit(None).cast("string"))
-    state = F.when((size > 0) & ~checked, "ok").otherwise(F.coalesce("state", F.lit("error")))
-    write_table(batch.withColumn("state", state), f"{run.scratch}/checked-{number}")
+    write_table(batch.withColumn("state", F.coalesce("state", F.lit("error"))), f"{run.scratch}/checked-{number}")
 
 
 def _checked(run: Run, number: int) -> DataFrame:
