@@ -11,7 +11,9 @@ shifted circularly by k. So a signature of any length needs two functions, not o
 number is a star's centre; all others are compared with it, and links are joined to classes. Where a key's
 members still lie in several classes, a second centre is taken from outside the first one's class. What is left after that is
 compared whole: members outside the centre's class with all members, in tiles of two chunks, each a bounded piece of work of
-its own. So within a key every pair is compared, or lies in one class already, and no pair list is ever made.
+its own. Jaccard distance is a metric and each member's distance from the first centre is known, so two members whose distances from it differ
+by more than a link allows need no comparison; that takes strays out of a large group of copies without looking at the group again. So within a key
+every pair is compared, lies in one class already or cannot be linked, and no pair list is ever made.
 
 *Verification.* 100 * |intersection| >= 100 * similarity * |union| on the whole sets of 64-bit shingle hashes, in integers.
 
@@ -32,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import ROW_ID, Stored, spread
+from .scratch import ROW_ID, Stored, bit_map, spread
 
 SEED = 42
 BANDS, ROWS = 48, 6
 SHINGLES_AT_ONCE = 256
+# Bits of the map that tells which ids are wanted, whatever their number: 8 MB.
+MAP_BITS = 1 << 26
 CHUNK_SETS, CHUNK_SHINGLES = 1024, 1 << 21
 KEY_FACTORS = np.random.default_rng(SEED).integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint32)
@@ -104,10 +108,15 @@ def _signer(width: int):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, shared):
+    """(bit, text) to (m1, m2, shingles), for rows whose bit is set in the map or null."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, dtype=np.uint8)
         for batch in batches:
-            made = [shingle_set(text.as_py(), width).tobytes() for text in batch.column(0)]
+            at = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
+            wanted = (at < 0) | ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+            made = [shingle_set(text.as_py(), width).tobytes() for text in batch.column(1).filter(pa.array(wanted))]
             mark = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, made)), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(mark[:, 0].copy()), pa.array(mark[:, 1].copy()), pa.array(made, pa.binary())], names=["m1", "m2", "shingles"])
 
@@ -125,14 +134,21 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(one) + len(other) - both)
 
 
+def far(one: np.ndarray, other: np.ndarray) -> float:
+    """Jaccard distance."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return 1 - both / (len(one) + len(other) - both)
+
+
 def _compare(percent: int):
-    """(a, b, set of a, set of b) to the linked (a, b)."""
+    """(a, b, set of a, set of b) to (a, b, far, linked): their distance, and whether they are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = ([np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in batch.column(k)] for k in (2, 3))
-            kept = pa.array([similar(one, other, percent) for one, other in zip(left, right)], pa.bool_())
-            yield batch.select([0, 1]).filter(kept)
+            linked = pa.array([similar(one, other, percent) for one, other in zip(left, right)], pa.bool_())
+            apart = pa.array([far(one, other) for one, other in zip(left, right)], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), apart, linked], names=["a", "b", "far", "linked"])
 
     return run
 
@@ -177,7 +193,20 @@ def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
     both = right.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(_compare(percent), "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(_compare(percent), "a long, b long, far double, linked boolean")
+
+
+def _open_members(members: DataFrame, reach: float) -> DataFrame:
+    """Of ``members`` (key, node, class, main, far ...) those that may have a link to another class within their key.
+
+    Outside the main class all stay; inside it those that are no nearer to the key's first than ``reach`` below its nearest stray.
+    """
+    members = Stored(members, "circulant-classed").df
+    stray = F.when(F.col("class") != F.col("main"), F.col("far"))
+    nearest = members.groupBy("key").agg(F.min(stray).alias("nearest")).filter("nearest is not null")
+    near = members.join(nearest, "key").filter((F.col("class") != F.col("main")) | (F.col("far") >= F.col("nearest") - reach)).drop("nearest")
+    several = near.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
+    return near.join(several, "key")
 
 
 def _rest_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,32 +247,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     shared = banded.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first")
     members = Stored(banded.join(shared, "key"), "circulant-members")
     wanted = Stored(members.df.select("node").distinct().join(nodes, "node"), "circulant-wanted").df
-    # One row of each wanted set is read again; rows without an id cannot be looked up by it, so all of them are.
-    least = wanted.select(F.col("least").alias("id")).filter("id is not null").distinct()
-    texts = source.filter("id is not null").join(least, "id", "left_semi").unionByName(source.filter("id is null")).select("text")
-    made = texts.mapInArrow(_sets(width), "m1 long, m2 long, shingles binary")
+    # The texts of wanted sets are read again where they lie: a bit map of fixed size tells which, by their ids, and the join by the whole mark decides.
+    # Rows without an id have no bit, so all of them are read.
+    bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.filter("least is not null").select(F.pmod(F.xxhash64("least"), F.lit(MAP_BITS)).alias("bit")), MAP_BITS))
+    made = source.select(F.when(F.col("id").isNotNull(), bit).alias("bit"), "text").mapInArrow(_sets(width, shared), "m1 long, m2 long, shingles binary")
     sets = Stored(made.join(wanted.select("m1", "m2", "node"), ["m1", "m2"]).select("node", "shingles").dropDuplicates(["node"]), "circulant-sets")
 
+    reach = 1 - percent / 100 + 1e-9
     stars = members.df.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = Stored(_verified(stars, sets.df, percent), "circulant-links")
-    classes = _classes(links.df)
-    held = _with_class(members.df, classes.df)
-    # Of each key the members besides the first, where they are of several classes.
-    several = held.filter("node <> first").groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-    centre = held.filter("node = first").select("key", F.col("class").alias("main"))
-    open_ = Stored(held.filter("node <> first").join(several, "key").join(centre, "key"), "circulant-open")
-    second = open_.df.filter("class <> main").groupBy("key").agg(F.min("node").alias("second"))
-    centred = open_.df.join(second, "key").select("key", "node", "second")
-    again = centred.filter("node <> second").select(F.col("second").alias("a"), F.col("node").alias("b")).distinct()
-    links_again = Stored(_verified(again, sets.df, percent), "circulant-links")
-    classes_again = _classes(links.df.unionByName(links_again.df))
-    left = _with_class(open_.df.drop("class").join(second, "key").filter("node <> second"), classes_again.df)
-    main = _with_class(centre.select("key", F.col("main").alias("node")), classes_again.df).select("key", F.col("class").alias("now"))
-    still = left.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-    rest = left.join(still, "key").join(main, "key").select("key", "node", "size", "class", F.col("now").alias("main"))
-    tiled = Stored(_rest_links(rest, sets.df, percent), "circulant-links")
-    final = _classes(links.df.unionByName(links_again.df).unionByName(tiled.df))
-    for table in (members, sets, links, links_again, tiled, open_, classes, classes_again):
+    star = Stored(_verified(stars, sets.df, percent), "circulant-stars")
+    links = star.df.filter("linked").select("a", "b")
+    classes = _classes(links)
+    # Besides each key's first: the members' distance from it, where they are of several classes.
+    spokes = members.df.filter("node <> first").join(star.df.select(F.col("a").alias("first"), F.col("b").alias("node"), "far"), ["first", "node"])
+    held = _with_class(spokes, classes.df).withColumn("main", F.col("first"))
+    mains = classes.df.select(F.col("node").alias("first"), F.col("component").alias("main_class"))
+    held = held.join(mains, "first", "left").withColumn("main", F.coalesce("main_class", "first")).drop("main_class")
+    open_ = Stored(_open_members(held, reach), "circulant-open")
+    second = open_.df.filter("class <> main").groupBy("key").agg(F.min(F.struct("node", "far", "class")).alias("s")).select(
+        "key", F.col("s.node").alias("second"), F.col("s.far").alias("second_far"), F.col("s.class").alias("second_class"))
+    again = open_.df.join(second, "key").filter((F.col("class") != F.col("second_class")) & (F.abs(F.col("far") - F.col("second_far")) <= reach))
+    again = again.select(F.col("second").alias("a"), F.col("node").alias("b")).distinct()
+    star_again = Stored(_verified(again, sets.df, percent), "circulant-stars")
+    both = links.unionByName(star_again.df.filter("linked").select("a", "b"))
+    classes_again = _classes(both)
+    left = _with_class(open_.df.drop("class").join(second.select("key", F.col("second").alias("node")), ["key", "node"], "left_anti"), classes_again.df)
+    now = classes_again.df.select(F.col("node").alias("main"), F.col("component").alias("main_class"))
+    left = left.join(now, "main", "left").withColumn("main", F.coalesce("main_class", "main")).drop("main_class")
+    rest = Stored(_open_members(left, reach), "circulant-rest")
+    tiled = Stored(_rest_links(rest.df, sets.df, percent), "circulant-links")
+    final = _classes(both.unionByName(tiled.df))
+    for table in (members, sets, star, star_again, tiled, open_, rest, classes, classes_again):
         table.drop()
 
     grouped = _with_class(nodes.select("node", "m1", "m2", "least"), final.df)

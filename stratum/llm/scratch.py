@@ -46,6 +46,57 @@ def spread(*columns: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
 
 
+def _pieces(places: DataFrame) -> DataFrame:
+    """(piece, bits): a bit map in pieces of 4 KB; bit ``place`` is set for every row of the only column."""
+    place = F.col(places.columns[0]) + 1
+    pieces = places.select(F.bitmap_bucket_number(place).alias("piece"), F.bitmap_bit_position(place).alias("bit"))
+    return pieces.groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+# Bits of a map of ids: 8 MB, whatever the number of ids.
+ID_BITS = 1 << 26
+
+
+def maybe_among(key: str, rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with a boolean column ``meant``: false where ``key`` is null or certainly not in the only column of ``ids``.
+
+    A bit map of fixed size is broadcast, so rows that cannot be meant, with their texts, need no shuffle to find that out.
+    """
+    held = ids.select(F.col(ids.columns[0]).alias("id")).filter("id is not null").select(F.pmod(F.xxhash64("id"), F.lit(ID_BITS)).alias("place"))
+    pieces = _pieces(held).select(F.col("piece").alias("__piece"), F.col("bits").alias("__bits"))
+    marked = rows.withColumn("__place", F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(ID_BITS)) + 1))
+    joined = marked.join(F.broadcast(pieces), F.bitmap_bucket_number("__place") == F.col("__piece"), "left")
+    at = F.bitmap_bit_position("__place")
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2))
+    return joined.withColumn("meant", F.coalesce(bit == 1, F.lit(False))).drop("__place", "__piece", "__bits")
+
+
+def wrapped(rows: DataFrame) -> Column:
+    """All columns as one, so that no name can clash with one of a helper's own; ``row.*`` gives them back."""
+    return F.struct(*[F.col(f"`{name}`") for name in rows.columns]).alias("row")
+
+
+def without_ids(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` is not in the only column of ``gone``; only rows that may be meant are shuffled. Null keys stay."""
+    ids = gone.select(F.col(gone.columns[0]).alias("gone"))
+    marked = maybe_among("id", rows.select(wrapped(rows), F.col(f"`{key}`").cast("long").alias("id")), ids)
+    doubtful = marked.filter("meant").join(ids, F.col("id") == F.col("gone"), "left_anti").select("row.*")
+    return marked.filter("not meant").select("row.*").unionByName(doubtful)
+
+
+def bit_map(places: DataFrame, bits: int) -> bytes:
+    """A map of ``bits`` bits, a multiple of 32,768, with those set that the only column of ``places`` names.
+
+    Its size does not depend on the table: pieces of 4 KB are made by an aggregate and put together on the driver.
+    """
+    out = bytearray(bits // 8)
+    for row in _pieces(places).toLocalIterator():
+        start = (row.piece - 1) * len(row.bits)
+        out[start : start + len(row.bits)] = row.bits
+    return bytes(out)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
