@@ -8,6 +8,10 @@ filter's false positives never decide. Deleting a digest takes its fingerprint o
 the filter and its row out of the content. A filter that overflows is rebuilt at twice the size
 from the bucket's stored keys, until all of them fit.
 
+Deduplication feeds the table to the index in ``SLICES`` slices by row. The filters tell the digests of a slice that are new from those that are
+known, and only what they let through is compared with the content: a row better than the keeper replaces it there, its group grows, and
+filters that overflow are rebuilt. So what the filters say decides what becomes a group.
+
 Buckets hold about ``BUCKET_KEYS`` digests and are dealt by the digest, and digests are distinct
 (copies are reduced to one row, map-side first) before they reach a bucket, so a group of
 copies with a third of all rows is one key here.
@@ -25,15 +29,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import ROW_ID, Stored, numbered, stored, text_or_empty
+from .scratch import ROW_ID, Stored, maybe_among, numbered, spread, stored, text_or_empty, wrapped
 
 BUCKET_KEYS = 20_000
 WAYS = 4
 KICKS = 500
 LOAD = 0.9
+SLICES = 3
 KEYS = "bucket int, digest string, keep_id long, keep_points int, group_size long"
 FILTERS = "bucket int, rows int, cells binary"
 
@@ -148,12 +152,127 @@ def _probe(key, wanted: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
 
 
 class CuckooIndex:
-    """Live digests with their keepers. Every change makes a new generation of tables and leaves the last one readable."""
+    """Live digests with their keepers. Every change makes a new generation of tables; ``drop`` deletes one that nothing reads any more."""
+
+    def __init__(self, spark: SparkSession, buckets: int, keys: Stored | None = None, filters: Stored | None = None):
+        self.spark, self.buckets, self._tables = spark, buckets, [table for table in (keys, filters) if table]
+        self.keys = spark.createDataFrame([], KEYS) if keys is None else keys.df
+        self.filters = spark.createDataFrame([], FILTERS) if filters is None else filters.df
+
+    def drop(self) -> None:
+        for table in self._tables:
+            table.drop()
+
+    @staticmethod
+    def for_size(spark: SparkSession, digests: int) -> CuckooIndex:
+        return CuckooIndex(spark, max(1, -(-digests // BUCKET_KEYS)))
+
+    def probe(self, digests: DataFrame) -> DataFrame:
+        """The rows of the content whose digest is in ``digests``: filter hits, verified."""
+        wanted = digests.select("digest").distinct().withColumn("bucket", bucket_of(F.col("digest"), self.buckets))
+        hits = wanted.groupBy("bucket").cogroup(self.filters.groupBy("bucket")).applyInPandas(_probe, "digest string")
+        return self.keys.join(hits, "digest", "left_semi")
+
+    def _changed(self, keys: DataFrame, added: DataFrame, removed: DataFrame) -> CuckooIndex:
+        content = Stored(keys, "cuckoo-keys")
+        touched = added.select("bucket").unionByName(removed.select("bucket")).distinct()
+        live = self.keys.join(touched, "bucket", "left_semi").select("bucket", "digest", F.lit("live").alias("kind"))
+        changes = live.unionByName(added.select("bucket", "digest", F.lit("in").alias("kind"))).unionByName(
+            removed.select("bucket", "digest", F.lit("out").alias("kind"))
+        )
+        before = self.filters.join(touched, "bucket", "left_semi")
+        made = before.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInPandas(_change, FILTERS)
+        same = self.filters.join(touched, "bucket", "left_anti")
+        return CuckooIndex(self.spark, self.buckets, content, Stored(made.unionByName(same), "cuckoo-filters"))
+
+    def insert(self, live: DataFrame) -> CuckooIndex:
+        """With the distinct digests of ``live`` (digest, keep_id, keep_points, group_size); those known already keep their better row."""
+        arriving = live.withColumn("bucket", bucket_of(F.col("digest"), self.buckets)).select(*self.keys.columns)
+        known = self.probe(arriving)
+        known = Stored(known.select("digest"), "cuckoo-known")
+        new = Stored(arriving.join(known.df, "digest", "left_anti").select(*self.keys.columns), "cuckoo-new")
+        better = F.struct("keep_points", -F.coalesce("keep_id", F.lit((1 << 63) - 1)))
+        again = arriving.join(known.df, "digest", "left_semi").select(*self.keys.columns)
+        merged = self.keys.unionByName(again).groupBy("bucket", "digest").agg(
+            F.max_by(F.struct("keep_id", "keep_points"), better).alias("best"), F.sum("group_size").alias("group_size")
+        ).select("bucket", "digest", "best.keep_id", "best.keep_points", "group_size")
+        changed = self._changed(merged.unionByName(new.df), new.df, self.keys.limit(0))
+        known.drop()
+        new.drop()
+        return changed
+
+    def delete(self, mark: int, place: int) -> bool:
+        for row in self.places(mark, place):
+            for way in range(WAYS):
+                if self.cells[row, way] == mark:
+                    self.cells[row, way] = 0
+                    return True
+        return False
+
+    def contains(self, mark: np.ndarray, place: np.ndarray) -> np.ndarray:
+        first, second = self.places(mark, place)
+        return ((self.cells[first] == mark[:, None]) | (self.cells[second] == mark[:, None])).any(axis=1)
+
+
+def filled(current: CuckooFilter | None, new: list[str], stored_keys: list[str]) -> CuckooFilter:
+    """``current`` with ``new`` added; on overflow a larger one from all stored keys."""
+    if current is not None:
+        marks, places = CuckooFilter.prints(new)
+        if all(current.insert(mark, place) for mark, place in zip(marks.tolist(), places.tolist())):
+            return current
+    keys = [*stored_keys, *new]
+    marks, places = CuckooFilter.prints(keys)
+    fresh = CuckooFilter.sized(len(keys))
+    while not all(fresh.insert(mark, place) for mark, place in zip(marks.tolist(), places.tolist())):
+        fresh = CuckooFilter(fresh.rows * 2)
+    return fresh
+
+
+def _load(state: pd.DataFrame) -> CuckooFilter | None:
+    if not len(state):
+        return None
+    rows = int(state["rows"].iloc[0])
+    return CuckooFilter(rows, np.frombuffer(state["cells"].iloc[0], dtype=np.uint16).reshape(rows, WAYS).copy())
+
+
+def _state(bucket: int, current: CuckooFilter) -> pd.DataFrame:
+    return pd.DataFrame({"bucket": [bucket], "rows": [current.rows], "cells": [current.cells.tobytes()]})
+
+
+def _change(key, state: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
+    """The filter of a bucket after its changes: 'live' keys were there, 'in' are added, 'out' are taken away."""
+    by = {kind: changes.loc[changes["kind"] == kind, "digest"].tolist() for kind in ("live", "in", "out")}
+    current = _load(state)
+    gone = set(by["out"])
+    if current is not None:
+        marks, places = CuckooFilter.prints(by["out"])
+        for mark, place in zip(marks.tolist(), places.tolist()):
+            current.delete(mark, place)
+    kept = [digest for digest in by["live"] if digest not in gone]
+    if current is None and not kept and not by["in"]:
+        return pd.DataFrame({"bucket": [], "rows": [], "cells": []})
+    return _state(key[0], filled(current, by["in"], kept))
+
+
+def _probe(key, wanted: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    current = _load(state)
+    if current is None or not len(wanted):
+        return pd.DataFrame({"digest": []}, dtype="object")
+    marks, places = CuckooFilter.prints(wanted["digest"].tolist())
+    return wanted.loc[current.contains(marks, places), ["digest"]]
+
+
+class CuckooIndex:
+    """Live digests with their keepers. Every change makes a new generation of tables; ``drop`` deletes one that nothing reads any more."""
+
+    def __init__(self, spark: SparkSession, buckets: int, keys: Stored | None = None, filters: Stored | None = None):
+        self.spark, self.buckets, self._tables = spark, buckets, [table for table in (keys, filters) if table]
+        self.keys = spark.createDataFrame([], KEYS) if keys is None else keys.df
+        self.filters = spark.createDataFrame([], FILTERS) if filters is None else filters.df
 
-    def __init__(self, spark: SparkSession, buckets: int, keys: DataFrame | None = None, filters: DataFrame | None = None):
-        self.spark, self.buckets = spark, buckets
-        self.keys = spark.createDataFrame([], KEYS) if keys is None else keys
-        self.filters = spark.createDataFrame([], FILTERS) if filters is None else filters
+    def drop(self) -> None:
+        for table in self._tables:
+            table.drop()
 
     @staticmethod
     def for_size(spark: SparkSession, digests: int) -> CuckooIndex:
@@ -166,7 +285,7 @@ class CuckooIndex:
         return self.keys.join(hits, "digest", "left_semi")
 
     def _changed(self, keys: DataFrame, added: DataFrame, removed: DataFrame) -> CuckooIndex:
-        content = stored(keys, "cuckoo-keys")
+        content = Stored(keys, "cuckoo-keys")
         touched = added.select("bucket").unionByName(removed.select("bucket")).distinct()
         live = self.keys.join(touched, "bucket", "left_semi").select("bucket", "digest", F.lit("live").alias("kind"))
         changes = live.unionByName(added.select("bucket", "digest", F.lit("in").alias("kind"))).unionByName(
@@ -175,7 +294,7 @@ class CuckooIndex:
         before = self.filters.join(touched, "bucket", "left_semi")
         made = before.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInPandas(_change, FILTERS)
         same = self.filters.join(touched, "bucket", "left_anti")
-        return CuckooIndex(self.spark, self.buckets, content, stored(made.unionByName(same), "cuckoo-filters"))
+        return CuckooIndex(self.spark, self.buckets, content, Stored(made.unionByName(same), "cuckoo-filters"))
 
     def insert(self, live: DataFrame) -> CuckooIndex:
         """With the distinct digests of ``live`` (digest, keep_id, keep_points, group_size); those known already keep their better row."""
@@ -214,13 +333,23 @@ def groups(rows: DataFrame) -> DataFrame:
     return best.select("digest", F.nullif(F.col("least"), last).alias("keep_id"), "keep_points", "group_size")
 
 
+def indexed(rows: DataFrame) -> CuckooIndex:
+    """An index of all ``rows`` (doc_id, digest, points), fed slice by slice."""
+    index = CuckooIndex.for_size(rows.sparkSession, rows.count())
+    for slice_ in range(SLICES):
+        before, part = index, Stored(groups(rows.filter(spread("doc_id", "digest", "points", parts=SLICES) == slice_)), "dedup-slice")
+        index = before.insert(part.df)
+        part.drop()
+        before.drop()
+    return index
+
+
 def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest, through an index built from the table."""
-    spark = docs.sparkSession
     rows = numbered(digests(docs, key, text), "dedup-digests")
-    found = Stored(groups(rows), "dedup-groups")
-    index = CuckooIndex.for_size(spark, found.df.count()).insert(found.df)
+    index = indexed(rows)
     verified = stored(index.probe(rows).select("digest", "keep_id", "keep_points", "group_size"), "dedup-verified")
+    index.drop()
     joined = rows.join(verified, "digest")
     candidate = (F.col("points") == F.col("keep_points")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # Of equal rows with the keeper's id, one stays.
@@ -231,18 +360,29 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that do not stay; of rows with equal id and equal text one is kept."""
+    """``docs`` without the rows that do not stay; of rows with equal id and equal text one is kept.
+
+    Decided on slim rows (id, digest, points). Texts stay where they are, except those of rows whose id is also that of a row that goes, or null.
+    """
+    slim = Stored(digests(docs, key, text), "dedup-digests")
+    index = indexed(slim.df)
+    keep = index.probe(slim.df).select("digest", "keep_id", "keep_points")
+    stays = (F.col("points") == F.col("keep_points")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    judged = slim.df.join(keep, "digest").groupBy("doc_id", "digest").agg(
+        F.count("*").alias("n"), F.max(stays).alias("stays"), F.max("keep_points").alias("keep_points"))
+    pairs = Stored(judged.filter("not stays or n > 1"), "dedup-pairs").df
+    index.drop()
     body = text_or_empty(text)
-    names = docs.columns
-    full = docs.withColumn("__digest", F.sha2(normalized(body).cast("binary"), 256)).withColumn("__points", F.length(body))
-    found = Stored(groups(digests(docs, key, text)), "dedup-groups")
-    index = CuckooIndex.for_size(docs.sparkSession, found.df.count()).insert(found.df)
-    keep = stored(index.probe(found.df), "dedup-keep").select(
-        F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("keep_points").alias("__keep_points"),
-        F.col("group_size").alias("__size"),
-    )
-    joined = full.join(keep, "__digest").filter(
-        (F.col("__points") == F.col("__keep_points")) & F.col(key).cast("long").eqNullSafe(F.col("__keep"))
-    )
-    order = W.partitionBy("__digest").orderBy(*[F.hash(F.col(f"`{name}`")) for name in names])
-    return joined.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").select(*[F.col(f"`{name}`") for name in names])
+    every = docs.select(wrapped(docs), F.col(f"`{key}`").cast("long").alias("doc_id"), body.alias("body"))
+    marked = maybe_among("doc_id", every, pairs.select("doc_id").distinct())
+    doubtful = F.col("meant") | F.col("doc_id").isNull()
+    seen = marked.filter(doubtful).select(
+        "row", "doc_id", F.sha2(normalized(F.col("body")).cast("binary"), 256).alias("digest"), F.length("body").alias("points"))
+    right = pairs.select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), "stays", "keep_points")
+    told = seen.join(right, F.col("digest").eqNullSafe(F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    single = told.filter("d is null").select("row.*")
+    # Rows that share the keeper's id and text: one of those with its length.
+    tied = told.filter("stays and points = keep_points").groupBy("digest").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    out = marked.filter(~doubtful).select("row.*").unionByName(single).unionByName(tied)
+    slim.drop()
+    return out

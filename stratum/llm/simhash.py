@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Stored, spread, stored
+from .scratch import Stored, maybe_among, spread, stored, without_ids
 
 SEED = 42
 BLOCK_ROWS = 1024
@@ -129,17 +129,17 @@ def decode(data: bytes, width: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of distinct fingerprints and the radius."""
 
-    def __init__(self, count: int, radius: int, width: int = 64):
+    def __init__(self, count: int, radius: int, width: int = 64, rows: int = BLOCK_ROWS):
         self.radius = radius
         self.ball = masks(radius // 2, width)
         variants = max(1, count) * len(self.ball)
-        self.blocks = max(1, -(-count // BLOCK_ROWS))
+        self.blocks = max(1, -(-count // rows))
         self.buckets = max(1, -(-variants // BUCKET_VARIANTS))
         self.bucket_bits = max(1, (self.buckets - 1).bit_length())
         self.buckets = 1 << self.bucket_bits
         # 64 times as many keys as variants, so one in 64 meets another by chance.
         self.bits = min(60, variants.bit_length() + 6)
-        gap_bits = self.bits - (min(count, BLOCK_ROWS) * len(self.ball)).bit_length() + 3
+        gap_bits = self.bits - (min(count, rows) * len(self.ball)).bit_length() + 3
         self.width = min(4, max(1, -(-gap_bits // 8)))
 
     def start(self, bucket: int) -> np.uint64:
@@ -264,15 +264,15 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.frombuffer(names, dtype=np.int64), "b": np.frombuffer(roots, dtype=np.int64)})
 
 
-def linked_fingerprints(prints: DataFrame, radius: int = 4, bits: int = 64, pairs: bool = False) -> DataFrame:
+def linked_fingerprints(prints: DataFrame, radius: int = 4, bits: int = 64, pairs: bool = False, rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b): edges between the distinct values of ``fingerprint`` that have the same components as all pairs
-    within ``radius`` bits; radius is even and at most 6, and only the lowest ``bits`` bits are ever set.
+    within ``radius`` bits; radius is even and at most 6, and only the lowest ``bits`` bits are ever set. A block holds about ``rows`` fingerprints.
 
     With ``pairs`` every edge joins two fingerprints within the radius: each one and the first of each of
     its variants. Else buckets send a spanning forest, which is less.
     """
     distinct = Stored(prints.select("fingerprint").distinct(), "simhash-distinct")
-    plan = Plan(distinct.df.count(), radius, bits)
+    plan = Plan(distinct.df.count(), radius, bits, rows)
     blocks = Stored(
         distinct.df.groupBy(spread(F.lit("block"), F.col("fingerprint"), parts=plan.blocks).alias("block"))
         .agg(F.sort_array(F.collect_list("fingerprint")).alias("prints")), "simhash-blocks",
@@ -313,6 +313,8 @@ def near_duplicate_components(
 
 FINDERS = 2
 FINDER_BITS = 56
+# Larger blocks have smaller gaps between their keys: two bytes a variant instead of three.
+FINDER_BLOCK = 4096
 SIGNATURE_WORDS = 4
 STANDARD_ERRORS = 4
 BANDS = 32
@@ -485,7 +487,8 @@ def verified_links(source: DataFrame, nodes: DataFrame, groups: DataFrame, width
     total = member.agg(F.sum(F.col("size") * F.col("parts"))).first()[0] or 0
     buckets = max(12, -(-int(total) // CHUNK_SHINGLES))
     wanted = member.select("mark", "least").distinct()
-    texts = source.join(wanted.select(F.col("least").alias("id")).distinct(), "id", "left_semi").select("text")
+    ids = wanted.select(F.col("least").alias("id")).distinct()
+    texts = maybe_among("id", source, ids).filter("meant").join(ids, "id", "left_semi").select("text")
     made = texts.mapInArrow(_sets(width), "mark string, shingles binary")
     sets = stored(made.join(wanted, "mark", "left_semi").dropDuplicates(["mark"]), "similar-sets")
     other = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -519,7 +522,7 @@ def similar_components(
     for finder in finders:
         held = nodes.select(F.col(finder).alias("fingerprint"), F.col("least").alias("id"), "mark", print_of)
         first = stored(held.groupBy("fingerprint").agg(F.min(F.struct("id", "mark", "s")).alias("first")), "similar-first")
-        linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True)
+        linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True, rows=FINDER_BLOCK)
         same = held.join(first, "fingerprint").filter(F.col("mark") != F.col("first.mark")).select(
             F.col("first").alias("a"), F.struct("id", "mark", "s").alias("b")
         )
@@ -540,7 +543,5 @@ def drop_near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, k
 
     Rows with a null id are kept, as are all rows without a near duplicate. Rows that repeat an id share its fate.
     """
-    names = [F.col(f"`{name}`") for name in docs.columns]
     groups = stored(similar_components(docs, width, similarity, key=key, text=text), "similar-groups")
-    gone = groups.filter("id <> component").select("id")
-    return docs.join(gone, docs[f"`{key}`"].cast("long") == gone["id"], "left_anti").select(*names)
+    return without_ids(docs, key, groups.filter("id <> component").select("id"))

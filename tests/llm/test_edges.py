@@ -234,3 +234,23 @@ def test_near_copies(spark):
     left = {r["doc_id"] for r in simhash.drop_near_copies(docs).collect()}
     assert left >= set(range(40)) | {None} and len(left) <= 41 + 2
     assert simhash.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_the_filters_decide_what_becomes_a_group(docs, spark, monkeypatch):
+    """A filter that knows nothing makes every slice's digests new ones."""
+    whole = sorted((r["digest"], r["group_size"]) for r in exact_dedup.mark_copies(docs).collect())
+    assert max(size for _, size in whole) == 3
+    monkeypatch.setattr(exact_dedup.CuckooIndex, "probe", lambda self, digests: self.keys.limit(0))
+    rows = exact_dedup.numbered(exact_dedup.digests(docs), "test")
+    index = exact_dedup.indexed(rows)
+    # Copies that fell into different slices are groups of their own now.
+    assert index.keys.count() > len({digest for digest, _ in whole})
+
+
+def test_an_overflowing_filter_is_rebuilt_from_its_keys():
+    digests = [f"{k * 0x9E3779B97F4A7C15 % (1 << 64):016x}{k * 0xBF58476D1CE4E5B9 % (1 << 64):016x}" for k in range(2000)]
+    small = exact_dedup.filled(None, digests[:100], [])
+    rows = small.rows
+    large = exact_dedup.filled(small, digests[100:], digests[:100])
+    assert large.rows > rows
+    assert large.contains(*exact_dedup.CuckooFilter.prints(digests)).all()
