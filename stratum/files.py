@@ -94,6 +94,13 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def glob(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths without scheme that a pattern names, and the seconds of their last change; folders are left out."""
+    fs, target = _open(spark, pattern)
+    found = fs.globStatus(target)
+    return [(status.getPath().toUri().getPath(), status.getModificationTime() / 1000) for status in found or [] if status.isFile()]
+
+
 def stamps(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     """Names in a folder and the seconds of their last change."""
     fs, target = _open(spark, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import math
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -29,10 +30,10 @@ from ..sources.documents import (
     open_texts, records, scan_documents,
 )
 from ..sources.structure import check_structure
-from ..sources.listing import LISTING_CONF, list_files, open_folder, zero_byte_files
+from ..sources.listing import LISTING_CONF, hidden_files, list_files, open_folder, zero_byte_files
 from .commits import RunLog
 from .manifest import (
-    EMPTY, ERROR, MOVED, PROCESSED, append_manifest, batch_counts, current_entries, current_outputs, load_schema, read_manifest,
+    EMPTY, ERROR, MOVED, PROCESSED, append_manifest, batch_counts, checkpoint_manifest, current_entries, current_outputs, load_schema, read_manifest,
     replaced_outputs, save_schema, stage,
 )
 from .reconcile import TEXT_LIKE, field_names, reconcile, text_like_names
@@ -77,6 +78,7 @@ class Run:
     strict: bool = False
     max_files: int = MAX_FILES
     max_bytes: int = MAX_BYTES
+    on_progress: Callable[[dict[str, int]], None] | None = None
     id: int = field(default_factory=lambda: time.time_ns() // 1_000)
     good: tuple[int, list[tuple[str, int]]] | None = None
     texts: tuple[list[str], DataFrame] | None = None
@@ -99,7 +101,8 @@ class Run:
         with session_conf(spark, **LISTING_CONF):
             listed = stage(list_files(spark, dataset.landing, dataset.pattern, folder), f"{self.scratch}/listing")
         blank = zero_byte_files(spark, dataset.landing, dataset.pattern, folder, listed)
-        listed = listed if blank is None else listed.unionByName(blank)
+        for more in (blank, hidden_files(spark, dataset.landing, dataset.pattern)):
+            listed = listed if more is None else listed.unionByName(more)
         sources = listed.withColumn("file_key", output_name(F.col("file_key"), dataset.prefix))
         outputs = current_outputs(spark, dataset).withColumnRenamed("run", "out_run")
         self.plan = stage(freshness_plan(sources, outputs, self.overwrite), f"{self.scratch}/plan")
@@ -112,6 +115,12 @@ class Run:
         slot = F.pmod(F.xxhash64("file_key"), F.lit(self.n_batches))
         return self.todo.where(slot == number)
 
+    def tell(self) -> None:
+        """After each batch: what the manifest holds of this run so far."""
+        if self.on_progress:
+            rows = run_progress(self.spark, self.dataset, self.id).collect()
+            self.on_progress({row.status: row.n_files for row in rows})
+
     def summary(self) -> DataFrame:
         untouched = self.plan.where(F.col("action").isin(FRESH, SOURCE_MISSING)).select(
             F.when(F.col("action") == FRESH, SKIPPED).otherwise(SOURCE_MISSING).alias("status"),
@@ -122,6 +131,14 @@ class Run:
         return batch_summary(untouched.unionByName(done).withColumn("dataset", F.lit(self.dataset.name)))
 
 
+def run_progress(spark: SparkSession, dataset: Dataset, run: int | None = None) -> DataFrame:
+    """``run, status, n_files, n_rows`` noted so far by a run, or by all runs that hold a lease now; a run notes each batch when it is done."""
+    entries = read_manifest(spark, dataset).where(F.col("status") != MOVED)
+    runs = [run] if run is not None else RunLog(spark, dataset.state, 0).live_runs()
+    chosen = entries.where(F.col("run").isin(runs)) if runs else entries.limit(0)
+    return chosen.groupBy("run", "status").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
+
+
 def ingest_dataset(
     spark: SparkSession,
     dataset: Dataset,
@@ -129,15 +146,17 @@ def ingest_dataset(
     strict: bool = False,
     max_files: int = MAX_FILES,
     max_bytes: int = MAX_BYTES,
+    on_progress: Callable[[dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Read the new and changed landing files of a dataset into its bronze table.
 
     Returns ``dataset, status, n_files, n_rows``. A malformed file is recorded as ``error`` and
     keeps its last good output; it never stops the others, and neither does one whose field names clash with the dataset's.
     ``overwrite`` reads all files again; ``strict`` refuses to change the table's schema. Runs of one dataset may overlap:
-    each adds what it read, and of a file that two have read the later run's rows count.
+    each adds what it read, and of a file that two have read the later run's rows count. ``on_progress`` is called with the files per
+    status so far whenever a batch of at most ``max_files`` has been noted; ``run_progress`` tells the same to anyone who asks during a run.
     """
-    run = Run(spark, dataset, overwrite, strict, max_files, max_bytes)
+    run = Run(spark, dataset, overwrite, strict, max_files, max_bytes, on_progress)
     with run.log.lease():
         if dataset.format == "csv":
             run.make_plan()
@@ -172,8 +191,8 @@ def _ingest_json(run: Run) -> None:
         # A field that another run may have filled meanwhile counts as seen.
         if state.unseen and not _others_wrote(run):
             save_schema(spark, dataset, time.time_ns() // 1_000, state.schema, state.unseen)
-        if dataset.layout == BY_BATCH:
-            _compact(run)
+        batches = _compact(run) if dataset.layout == BY_BATCH else []
+        checkpoint_manifest(spark, dataset, {b.ingest_batch for b in batches}, run.id)
 
 
 def _others_wrote(run: Run) -> bool:
@@ -482,6 +501,7 @@ def _commit_batch(run: Run, checked: DataFrame, state: _Columns, bad: DataFrame
     with run.log.commit():
         _follow_schema(run, checked, state, batch_id)
         _record(run, checked, bad, batch_id)
+    run.tell()
 
 
 def _follow_schema(run: Run, checked: DataFrame, state: _Columns, batch_id: int) -> None:
@@ -582,7 +602,7 @@ def _drop_emptied_files(run: Run, entries: DataFrame) -> None:
         drop_partitions(table.where(F.col("file_key").isin(keys)))
 
 
-def _compact(run: Run) -> None:
+def _compact(run: Run) -> list[Row]:
     """Move the current rows of batches that are largely dead into a batch of their own, and remove what is dead.
 
     The move is an entry in the manifest as well: before it the copy is invisible, after it the
@@ -599,14 +619,16 @@ def _compact(run: Run) -> None:
         held = held.withColumn("status", F.lit(MOVED)).withColumn("run", F.lit(run.id)).withColumn(INGEST_BATCH, F.lit(moved_to))
         append_manifest(stage(held, f"{run.scratch}/moved"), dataset)
         batches = batch_counts(spark, dataset)
-    _drop_dead_batches(run, batches)
+    gone = _drop_dead_batches(run, batches)
+    return [b for b in batches if b.ingest_batch not in gone]
 
 
-def _drop_dead_batches(run: Run, batches: list[Row]) -> None:
+def _drop_dead_batches(run: Run, batches: list[Row]) -> set[int]:
     """Delete the batches that hold the current rows of no file, except those that a live run may be writing and those within their grace."""
     spark, dataset = run.spark, run.dataset
+    gone: set[int] = set()
     if not files.exists(spark, dataset.bronze):
-        return
+        return gone
     oldest = run.log.oldest_live() * 1_000
     recent = datetime.now() - timedelta(seconds=dataset.grace)
     kept = {b.ingest_batch for b in batches if b.n_current or (dataset.grace and b.left_at and b.left_at >= recent)}
@@ -618,6 +640,8 @@ def _drop_dead_batches(run: Run, batches: list[Row]) -> None:
             noted = any(b.ingest_batch == batch for b in batches)
             if batch not in kept and (noted or batch < oldest):
                 files.delete(spark, path)
+                gone.add(batch)
+    return gone
 
 
 def _stored(spark: SparkSession, dataset: Dataset) -> DataFrame:
@@ -679,6 +703,9 @@ def _ingest_csv(run: Run) -> None:
     for number in range(run.n_batches):
         # The outcomes of one batch are noted before the next begins: a crash repeats one batch.
         _ingest_csv_batch(run, number)
+        run.tell()
+    with run.log.commit():
+        checkpoint_manifest(run.spark, run.dataset, set(), run.id)
 
 
 def _ingest_csv_batch(run: Run, number: int) -> None:

@@ -20,8 +20,19 @@ CURRENT_SCHEMA = "file_key string, out_mtime timestamp, ingest_batch bigint, run
 PROCESSED, EMPTY, ERROR, MOVED = "processed", "empty", "error", "moved"
 
 
+# Appends to the manifest after which it is written anew, and what it is then called.
+MOST_APPENDS = 200
+POINTER = "manifest-current"
+
+
+def _manifest_path(spark: SparkSession, dataset: Dataset) -> str:
+    """The folder that is the manifest now: the first one, or the one that a checkpoint made."""
+    name = files.read_text(spark, f"{dataset.state}/{POINTER}") if files.exists(spark, f"{dataset.state}/{POINTER}") else ""
+    return f"{dataset.state}/{name or 'manifest'}"
+
+
 def read_manifest(spark: SparkSession, dataset: Dataset) -> DataFrame:
-    path = f"{dataset.state}/manifest"
+    path = _manifest_path(spark, dataset)
     if not files.exists(spark, f"{path}/_SUCCESS"):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
@@ -30,7 +41,36 @@ def read_manifest(spark: SparkSession, dataset: Dataset) -> DataFrame:
 def append_manifest(entries: DataFrame, dataset: Dataset) -> None:
     columns = [field.name for field in T.StructType.fromDDL(MANIFEST_SCHEMA).fields]
     stamped = entries.withColumn("recorded_at", F.current_timestamp()).select(*columns)
-    stamped.write.mode("append").parquet(f"{dataset.state}/manifest")
+    stamped.write.mode("append").parquet(_manifest_path(entries.sparkSession, dataset))
+
+
+def checkpoint_manifest(spark: SparkSession, dataset: Dataset, kept_batches: set[int], run: int, most: int = MOST_APPENDS) -> bool:
+    """Write what still matters of a long manifest to a new folder and make that the manifest; only inside a commit.
+
+    What matters: of each file the last entry and the last successful one, where rows of it lie in a batch that still exists, and all of ``run``.
+    So the size is that of the files and not that of the history. The switch is one small file; until it is there the old
+    folder counts. The one before the last goes, so that whoever has opened the last can read on.
+    """
+    path = _manifest_path(spark, dataset)
+    if not files.exists(spark, path) or len(files.children(spark, path)) <= most:
+        return False
+    entries = read_manifest(spark, dataset)
+    order = F.struct("run", "recorded_at")
+    done = F.col("status").isin(PROCESSED, EMPTY, MOVED)
+    last = entries.groupBy("file_key").agg(F.max(order).alias("any"), F.max(F.when(done, order)).alias("good"))
+    held = F.coalesce(F.col("ingest_batch").isin(*kept_batches), F.lit(False)) if kept_batches else F.lit(False)
+    matters = entries.withColumn("at", order).join(last, "file_key").where(
+        (F.col("at") == F.col("any")) | F.coalesce(F.col("at") == F.col("good"), F.lit(False)) | held | (F.col("run") == run))
+    name = f"manifest-{run}"
+    write_table(matters.select(*entries.columns), f"{dataset.state}/{name}")
+    current = path.rsplit("/", 1)[-1]
+    files.write_text(spark, f"{dataset.state}/{POINTER}", name)
+    for old in files.children(spark, dataset.state):
+        folder = old.rsplit("/", 1)[-1]
+        if folder == "manifest" or folder.startswith("manifest-") and folder != POINTER:
+            if folder not in (name, current):
+                files.delete(spark, old)
+    return True
 
 
 def _outputs(spark: SparkSession, dataset: Dataset, version: int | None = None) -> DataFrame:

@@ -71,6 +71,39 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", found: DataFr
     return listed.drop("relative")
 
 
+# Folders below the root in which names that Spark hides are looked for, where a pattern leaves the depth open.
+HIDDEN_DEPTH = 6
+
+
+def hidden_files(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
+    """Files that the pattern selects but Spark's readers pass over, as their names begin with ``_`` or ``.``; None if there are none.
+
+    They cannot be read and are reported every time, as files without content are. Only patterns that end in an extension are
+    looked at, so that markers and check sums of writers are no landing files. Only such names reach the driver.
+    """
+    extension = re.search(r"\.[A-Za-z0-9]+$", pattern)
+    if not extension:
+        return None
+    root = root.rstrip("/")
+    folders = [pattern.rsplit("/", 1)[0] + "/" if "/" in pattern else ""]
+    while any("**/" in folder for folder in folders):
+        folders = [folder.replace("**/", "*/" * depth, 1) for folder in folders for depth in range(HIDDEN_DEPTH if "**/" in folder else 1)]
+    below = files.path_part(spark, root)
+    matches, seen = re.compile(_glob_regex(pattern)), []
+    for folder in sorted(set(folders)):
+        for path, stamp in files.glob(spark, f"{files.literal_path(root)}/{folder}[_.]*{extension[0]}"):
+            relative = path[len(below) + 1:]
+            if matches.match(relative):
+                seen.append((relative, f"{root}/{relative}", stamp))
+    if not seen:
+        return None
+    found = spark.createDataFrame(sorted(set(seen)), "relative string, path string, stamp double")
+    return found.select(
+        without_extension(F.col("relative"), pattern).alias("file_key"), "path", F.timestamp_seconds("stamp").alias("src_mtime"),
+        F.lit(0).cast("bigint").alias("length"),
+    )
+
+
 def zero_byte_files(
     spark: SparkSession, root: str, pattern: str, found: DataFrame | None, listed: DataFrame
 ) -> DataFrame | None:

@@ -143,3 +143,15 @@ def test_rows_opened_before_a_compaction_stay_readable(make_landing):
     landing.run()
     assert sorted(r.id for r in landing.table().collect()) == [3, 4, 10, 11, 12]
     assert landing.spark.read.parquet(str(landing.root / "table")).count() == 5
+
+
+@pytest.mark.parametrize("pattern", ["*.json", "*/*.json", "**/*.json"])
+def test_names_that_spark_hides_have_a_status(make_landing, pattern):
+    landing = make_landing(layout=BY_BATCH, pattern=pattern)
+    folder = "" if pattern == "*.json" else "sub/"
+    for name in ("a", "_x", ".y"):
+        landing.put(f"{folder}{name}.json", [{"id": 1}])
+    landing.put(f"{folder}_SUCCESS", "")
+    assert landing.run() == {"processed": 1, "error": 2}
+    assert {key for key, status in statuses(landing).items() if status == "error"} == {f"{folder}_x", f"{folder}.y"}
+    assert landing.run() == {"skipped": 1, "error": 2}
