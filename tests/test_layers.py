@@ -82,7 +82,7 @@ def test_unknown_source(spark, tmp_path):
 
 def test_error_policies(spark, tree, caplog):
     base = str(tree)
-    (tree / "landing/open_data/data/competitions.json").write_text('[{"a_b":1,"a":{"b":2}}]')
+    (tree / "landing/open_data/data/competitions.json").write_text('[{"a":{"b":1,"b":2}}]')
     with pytest.raises(ValueError, match="share one name"):
         run_bronze(spark, base)
     with pytest.raises(RuntimeError, match="bronze failed for open_data"):
