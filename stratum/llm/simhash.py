@@ -35,6 +35,7 @@ from .scratch import Stored, maybe_among, spread, stored, without_ids
 SEED = 42
 BLOCK_ROWS = 1024
 BUCKET_VARIANTS = 3_000_000
+SLACK = 6
 SHINGLES_AT_ONCE = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,17 +130,17 @@ def decode(data: bytes, width: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of distinct fingerprints and the radius."""
 
-    def __init__(self, count: int, radius: int, width: int = 64, rows: int = BLOCK_ROWS):
+    def __init__(self, count: int, radius: int, width: int = 64, slack: int = SLACK):
         self.radius = radius
         self.ball = masks(radius // 2, width)
         variants = max(1, count) * len(self.ball)
-        self.blocks = max(1, -(-count // rows))
+        self.blocks = max(1, -(-count // BLOCK_ROWS))
         self.buckets = max(1, -(-variants // BUCKET_VARIANTS))
         self.bucket_bits = max(1, (self.buckets - 1).bit_length())
         self.buckets = 1 << self.bucket_bits
-        # 64 times as many keys as variants, so one in 64 meets another by chance.
-        self.bits = min(60, variants.bit_length() + 6)
-        gap_bits = self.bits - (min(count, rows) * len(self.ball)).bit_length() + 3
+        # 2 ** slack times as many keys as variants, so one in so many meets another by chance.
+        self.bits = min(60, variants.bit_length() + slack)
+        gap_bits = self.bits - (min(count, BLOCK_ROWS) * len(self.ball)).bit_length() + 3
         self.width = min(4, max(1, -(-gap_bits // 8)))
 
     def start(self, bucket: int) -> np.uint64:
@@ -264,15 +265,15 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.frombuffer(names, dtype=np.int64), "b": np.frombuffer(roots, dtype=np.int64)})
 
 
-def linked_fingerprints(prints: DataFrame, radius: int = 4, bits: int = 64, pairs: bool = False, rows: int = BLOCK_ROWS) -> DataFrame:
+def linked_fingerprints(prints: DataFrame, radius: int = 4, bits: int = 64, pairs: bool = False, slack: int = SLACK) -> DataFrame:
     """(a, b): edges between the distinct values of ``fingerprint`` that have the same components as all pairs
-    within ``radius`` bits; radius is even and at most 6, and only the lowest ``bits`` bits are ever set. A block holds about ``rows`` fingerprints.
+    within ``radius`` bits; radius is even and at most 6, and only the lowest ``bits`` bits are ever set.
 
     With ``pairs`` every edge joins two fingerprints within the radius: each one and the first of each of
     its variants. Else buckets send a spanning forest, which is less.
     """
     distinct = Stored(prints.select("fingerprint").distinct(), "simhash-distinct")
-    plan = Plan(distinct.df.count(), radius, bits, rows)
+    plan = Plan(distinct.df.count(), radius, bits, slack)
     blocks = Stored(
         distinct.df.groupBy(spread(F.lit("block"), F.col("fingerprint"), parts=plan.blocks).alias("block"))
         .agg(F.sort_array(F.collect_list("fingerprint")).alias("prints")), "simhash-blocks",
@@ -313,8 +314,8 @@ def near_duplicate_components(
 
 FINDERS = 2
 FINDER_BITS = 56
-# Larger blocks have smaller gaps between their keys: two bytes a variant instead of three.
-FINDER_BLOCK = 4096
+# Twice as many chance meetings, and gaps of two bytes a variant instead of three up to twice as many texts.
+FINDER_SLACK = 5
 SIGNATURE_WORDS = 4
 STANDARD_ERRORS = 4
 BANDS = 32
@@ -522,7 +523,7 @@ def similar_components(
     for finder in finders:
         held = nodes.select(F.col(finder).alias("fingerprint"), F.col("least").alias("id"), "mark", print_of)
         first = stored(held.groupBy("fingerprint").agg(F.min(F.struct("id", "mark", "s")).alias("first")), "similar-first")
-        linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True, rows=FINDER_BLOCK)
+        linked = linked_fingerprints(held, radius, FINDER_BITS, pairs=True, slack=FINDER_SLACK)
         same = held.join(first, "fingerprint").filter(F.col("mark") != F.col("first.mark")).select(
             F.col("first").alias("a"), F.struct("id", "mark", "s").alias("b")
         )

@@ -28,10 +28,8 @@ def byte_letters() -> dict[str, int]:
     return {chr(byte): byte for byte in shown} | {chr(256 + k): byte for k, byte in enumerate(hidden)}
 
 
-def ranks_of(path: str) -> dict[bytes, int] | None:
-    """Token bytes to ids, or None if the file is not a plain byte-level BPE with ids in the order of its merges."""
-    with open(path, encoding="utf-8") as file:
-        data = json.load(file)
+def ranks_of(data: dict) -> dict[bytes, int] | None:
+    """Token bytes to ids of a tokenizer file, or None if it is not a plain byte-level BPE with ids in the order of its merges."""
     model, pre = data.get("model", {}), data.get("pre_tokenizer") or {}
     if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or data.get("normalizer"):
         return None
@@ -58,10 +56,12 @@ class Codes:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.path = path
         self._slow = None
-        ranks = ranks_of(path)
         self._fast = None
         with open(path, encoding="utf-8") as file:
-            self._added = [token["content"] for token in json.load(file).get("added_tokens", [])]
+            data = json.load(file)
+        self._added = [token["content"] for token in data.get("added_tokens", [])]
+        ranks = ranks_of(data)
+        del data
         if ranks:
             import tiktoken
 
