@@ -4,11 +4,15 @@ Every word begins exactly one window of the next ``ORDER`` words of its piece, p
 any length occurs as often as windows begin with it, so only the longest windows are ever counted, and ROLLUP sums
 them to the counts of their shorter prefixes.
 
-1. *Words.* Counts per language and word, and the first pairs that hold much of a block: a pair with 1 / HOT_SHARE of all windows has at
-   least half of them in blocks where it has half that share, so the list of hot pairs is complete and no longer than ``HOT_SHARE``.
-2. *Windows.* Lead columns w1 to w4 over each piece, windows counted within a block of text before they are shuffled.
-3. *Roll-up.* Windows are dealt by their first two words; hot pairs by what follows as well, so none is one task's. ROLLUP over w3 and w4 needs no
-   second shuffle then. Prefixes under ``least`` go at once where they are complete; those of hot pairs meet in one small aggregate more.
+1. *Words.* Counts per language and word, and the words, pairs and triples that hold much of a block: what begins 1 / HOT_SHARE of all windows has at
+   least half of them in blocks where it has half that share, so the lists of hot ones are complete at twice that share and none is longer than ``HOT_SHARE``.
+2. *Windows.* A word under ``least`` can be in no phrase, so windows end before it as before a piece's end; a bit map of fixed size, whatever the
+   vocabulary, tells frequent words (a rare one that shares a bit with one costs some rows and changes no result). Lead columns w1 to w4 over each piece, windows counted within a block of text before they are shuffled. Those of a block with
+   one w1 travel together, as lines of text, at most ``LINES`` a row.
+3. *Roll-up.* Rows are dealt by w1; hot words by w2 as well, hot pairs by w3, hot triples by w4, so none is one task's. All windows of a pair are
+   in one partition then, unless it is hot. By sums over the sorted partition, windows of pairs under ``least`` go (no phrase that begins with such a
+   pair can count), and those of triples under ``least`` end after their pair. ROLLUP over w3 and w4 sums what is left, which each task has reduced
+   to a row per phrase before it is shuffled; what is summed for hot pairs and triples is a part of each, a few rows that meet in one small aggregate more.
 4. *Scores.* Parts of a phrase occur at least as often as the phrase, so whatever is needed is among the rows that stayed.
 
 Words are case-folded for A-Z only; pieces end at ``[.,;:!?\\x0A-\\x0D]``, words are ``[^\\x20\\x09]+``. Null text is empty, a null language ``und``. Repeated rows
@@ -17,6 +21,7 @@ count as often as they come; ids play no role. Long texts are taken whole, in bl
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -24,16 +29,23 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import Stored
+from .scratch import Stored, bit_map
 
 ORDER = 4
-BLOCK_WINDOWS = 4_000_000
+BLOCK_WINDOWS = 2_000_000
 HOT_SHARE = 512
 HOT_PARTS = 64
+# Where the numbers of hot words', pairs' and triples' parts begin.
+WORD_PARTS, PAIR_PARTS, TRIPLE_PARTS = 1, 1 + HOT_PARTS, 1 + 2 * HOT_PARTS
+LINES = 4096
+MAP_BITS = 1 << 24
+SEED = 42
+HALF, LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 # A-Z to a-z, and every separator of pieces to a line feed.
 FOLD = bytes.maketrans(bytes(range(0x41, 0x5B)) + b".,;:!?\x0b\x0c\x0d", bytes(range(0x61, 0x7B)) + b"\n" * 9)
 
@@ -59,11 +71,26 @@ class Block:
             self.parts.append(np.fromiter(map(self.codes.__getitem__, words), dtype=np.uint32, count=len(words)))
             self.size += len(words)
 
-    def columns(self) -> list[np.ndarray]:
-        """w1 to w4 of each window by leads over the words; padding is 0."""
+    def columns(self, often: np.ndarray | None = None) -> list[np.ndarray]:
+        """w1 to w4 of each window by leads over the words; padding is 0, and so is what comes after it or is not ``often``."""
         flat = np.concatenate([*self.parts, np.zeros(ORDER - 1, dtype=np.uint32)])
+        if often is not None:
+            flat = np.where(often[flat], flat, np.uint32(0))
         start = np.flatnonzero(flat[: len(flat) - ORDER + 1])
-        return [flat[start + k] for k in range(ORDER)]
+        columns = [flat[start + k] for k in range(ORDER)]
+        for k in range(2, ORDER):
+            columns[k][columns[k - 1] == 0] = 0
+        return columns
+
+    def frequent(self, lang: str, bits: np.ndarray) -> np.ndarray:
+        """Per code whether the bit map holds the word."""
+        seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
+        words = self.codes.items()
+        at = np.fromiter((xxhash.xxh64_intdigest(word, seed) % MAP_BITS for word, _ in words), dtype=np.int64, count=len(words))
+        often = np.zeros(len(words) + 1, dtype=bool)
+        often[np.fromiter((code for _, code in words), dtype=np.int64, count=len(words))] = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        often[0] = False
+        return often
 
     def words(self) -> pa.Array:
         names: list[bytes | None] = [None] * (len(self.codes) + 1)
@@ -108,45 +135,98 @@ def _slices(lang: str, columns: list[pa.Array], names: list[str]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), *part], names=["lang", *names])
 
 
+def _two(names: pa.Array, pairs: np.ndarray) -> list[pa.Array]:
+    """The words of the upper and lower half of packed codes."""
+    return [names.take(pa.array(half.astype(np.int64))) for half in (pairs >> HALF, pairs & LOW)]
+
+
 def _count_words(most: int, share: int):
-    """(lang, w1, w2, n): words with a null w2, and the pairs that hold much of their block."""
+    """(lang, w1, w2, w3, n): words with w2 and w3 null, and the pairs (w3 null) and triples that hold much of their block."""
+    names_of = ["w1", "w2", "w3", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches, most):
             if not block.size:
                 continue
-            first, second, _, _ = block.columns()
+            first, second, third, _ = block.columns()
             names = block.words()
             tally = np.bincount(first, minlength=len(names))
             codes = np.flatnonzero(tally)
-            yield from _slices(lang, [names.take(pa.array(codes)), pa.nulls(len(codes), pa.string()), pa.array(tally[codes])], ["w1", "w2", "n"])
-            pairs = (first.astype(np.uint64) << np.uint64(32)) | second
-            pairs, n = np.unique(pairs[second > 0], return_counts=True)
-            heavy = n * 2 * share >= len(first)
-            yield from _slices(lang, [*_two(names, pairs[heavy]), pa.array(n[heavy])], ["w1", "w2", "n"])
+            none = pa.nulls(len(codes), pa.string())
+            yield from _slices(lang, [names.take(pa.array(codes)), none, none, pa.array(tally[codes])], names_of)
+            # A pair holds no more than its words do, a triple no more than its pair.
+            enough = -(-int(tally.sum()) // (2 * share))
+            often = tally >= enough
+            first, second, third = (column[often[first] & often[second] & (second > 0)] for column in (first, second, third))
+            pairs, at, n = np.unique((first.astype(np.uint64) << HALF) | second, return_inverse=True, return_counts=True)
+            heavy = n >= enough
+            left, right = _two(names, pairs[heavy])
+            yield from _slices(lang, [left, right, pa.nulls(len(left), pa.string()), pa.array(n[heavy])], names_of)
+            inside = heavy[at] & (third > 0)
+            triples, n = np.unique((at[inside].astype(np.uint64) << HALF) | third[inside], return_counts=True)
+            triples, n = triples[n >= enough], n[n >= enough]
+            left, right = _two(names, pairs[(triples >> HALF).astype(np.int64)])
+            yield from _slices(lang, [left, right, names.take(pa.array((triples & LOW).astype(np.int64))), pa.array(n)], names_of)
 
     return run
 
 
-def _two(names: pa.Array, pairs: np.ndarray) -> list[pa.Array]:
-    """The words of the upper and lower half of packed codes."""
-    return [names.take(pa.array(half.astype(np.int64))) for half in (pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF))]
+Hot = list[tuple[str, "str | None", "str | None"]]
+
 
+def _parts(block: Block, high: np.ndarray, low: np.ndarray, hot: Hot) -> np.ndarray:
+    """0, or for hot words, pairs and triples a number that follows from the word after them."""
+    part = np.zeros(len(high), dtype=np.int32)
+    codes = [[block.codes.get(word.encode(), 0) for word in some if word is not None] for some in hot]
+    codes = [some for some in codes if all(some)]
+    if codes:
+        mark = np.zeros(len(block.codes) + 1, dtype=np.int32)
+        for word, number in block.codes.items():
+            mark[number] = xxhash.xxh64_intdigest(word) % HOT_PARTS if number else 0
 
-def _count_windows(most: int):
-    """(lang, head, w3, w4, n): padded windows of two words or more, counted within a block; head is w1 and w2."""
+        def packed(length: int) -> list:
+            return [some for some in codes if len(some) == length]
+
+        one = np.isin(high >> HALF, np.array([a for a, in packed(1)], dtype=np.uint64))
+        part[one] = WORD_PARTS + mark[(high[one] & LOW).astype(np.int64)]
+        two = np.isin(high, np.array([(a << 32) | b for a, b in packed(2)], dtype=np.uint64))
+        part[two] = PAIR_PARTS + mark[(low[two] >> HALF).astype(np.int64)]
+        for a, b, c in packed(3):
+            three = np.flatnonzero((high == np.uint64((a << 32) | b)) & (low >> HALF == np.uint64(c)))
+            part[three] = TRIPLE_PARTS + mark[(low[three] & LOW).astype(np.int64)]
+    return part
+
+
+def _count_windows(most: int, shared, hot: dict[str, Hot]):
+    """(lang, w1, part, tails): padded windows of two words or more, counted within a block; a tail is ``w2 w3 w4`` and, if over 1, a tab and the count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches, most):
             if not block.size:
                 continue
-            w1, w2, w3, w4 = block.columns()
+            w1, w2, w3, w4 = block.columns(block.frequent(lang, np.frombuffer(shared.value, dtype=np.uint8)))
             whole = w2 > 0
-            high, low = ((x[whole].astype(np.uint64) << np.uint64(32)) | y[whole] for x, y in ((w1, w2), (w3, w4)))
+            if not whole.any():
+                continue
+            high, low = ((x[whole].astype(np.uint64) << HALF) | y[whole] for x, y in ((w1, w2), (w3, w4)))
             at, n = _counted([high, low])
+            high, low = high[at], low[at]
+            part = _parts(block, high, low, hot.get(lang, []))
+            if part.any():
+                order = np.lexsort((part, high >> HALF))
+                high, low, n, part = high[order], low[order], n[order], part[order]
             names = block.words()
-            head = pc.binary_join_element_wise(*_two(names, high[at]), " ")
-            yield from _slices(lang, [head, *_two(names, low[at]), pa.array(n)], ["head", "w3", "w4", "n"])
+            first, second = _two(names, high)
+            lines = pc.binary_join_element_wise(second, *_two(names, low), " ", null_handling="skip")
+            several = np.flatnonzero(n > 1)
+            counted = pc.binary_join_element_wise(lines.take(pa.array(several)), pa.array(n[several]).cast(pa.string()), "\t")
+            lines = pc.replace_with_mask(lines, pa.array(n > 1), counted)
+            new = np.append(True, ((high[1:] >> HALF) != (high[:-1] >> HALF)) | (part[1:] != part[:-1]))
+            starts = np.flatnonzero(new)
+            since = np.arange(len(new)) - np.repeat(starts, np.diff(np.append(starts, len(new))))
+            starts = np.flatnonzero(since % LINES == 0)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(new)), pa.int32()), lines)
+            yield from _slices(lang, [first.take(pa.array(starts)), pa.array(part[starts]), pc.binary_join(lists, "\n")], ["w1", "part", "tails"])
 
     return run
 
@@ -156,26 +236,41 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: (lang, n) and (lang, phrase, words, f) of all phrases of 1 to ``ORDER`` words that occur ``least`` times or more."""
     source = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    firsts = source.mapInArrow(_count_words(block, share), "lang string, w1 string, w2 string, n long")
-    firsts = Stored(firsts.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n")), "phrases-words").df
+    firsts = source.mapInArrow(_count_words(block, share), "lang string, w1 string, w2 string, w3 string, n long")
+    firsts = Stored(firsts.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n")), "phrases-words").df
     words = firsts.filter("w2 is null")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     all_words = words.agg(F.sum("n")).first()[0] or 0
-    hot = firsts.filter("w2 is not null").filter(F.col("n") * share >= all_words).select("lang", F.concat_ws(" ", "w1", "w2").alias("head"), F.lit(True).alias("hot"))
-    windows = source.mapInArrow(_count_windows(block), "lang string, head string, w3 string, w4 string, n long")
-    # At most ``share`` pairs by what ``hot`` is, whatever the size of the table.
-    marked = windows.join(F.broadcast(hot), ["lang", "head"], "left")
-    part = F.when(F.col("hot"), F.pmod(F.hash("w3", "w4"), F.lit(HOT_PARTS))).otherwise(0)
-    dealt = marked.select("lang", "head", part.alias("part"), "w3", "w4", "n", F.coalesce("hot", F.lit(False)).alias("hot")).repartition("lang", "head", "part")
-    dealt.createOrReplaceTempView(view := f"phrase_windows_{id(dealt):x}")
+    hot: dict[str, Hot] = {}
+    # At most ``share`` words, as many pairs and as many triples, by what hot means, whatever the size of the table.
+    for row in firsts.filter(F.col("n") * share >= all_words).select("lang", "w1", "w2", "w3").toLocalIterator():
+        hot.setdefault(row.lang, []).append((row.w1, row.w2, row.w3))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_map(words.filter(F.col("n") >= least).select(F.pmod(F.xxhash64("lang", "w1"), F.lit(MAP_BITS)).alias("bit")), MAP_BITS))
+    dealt = source.mapInArrow(_count_windows(block, shared, hot), "lang string, w1 string, part int, tails string").repartition("lang", "w1", "part")
+    lines = dealt.select("lang", "w1", "part", F.explode(F.split("tails", "\n")).alias("line"))
+    tail = F.split(F.substring_index("line", "\t", 1), " ")
+    cut = lines.select("lang", "w1", "part", tail.alias("t"), F.coalesce(F.try_element_at(F.split("line", "\t"), F.lit(2)).cast("long"), F.lit(1)).alias("n"))
+    windows = cut.select("lang", "w1", "part", F.get("t", F.lit(0)).alias("w2"), F.get("t", F.lit(1)).alias("w3"), F.get("t", F.lit(2)).alias("w4"), "n")
+    hot_pair, hot_triple = F.col("part") >= PAIR_PARTS, F.col("part") >= TRIPLE_PARTS
+    # One sort serves both sums. A window whose triple is rare counts for its pair only, so it ends there.
+    windows = windows.withColumn("of_triple", F.sum("n").over(W.partitionBy("lang", "w1", "part", "w2", "w3")))
+    windows = windows.withColumn("of_pair", F.sum("n").over(W.partitionBy("lang", "w1", "part", "w2")))
+    longer = hot_triple | (F.col("of_triple") >= least)
+    kept = windows.filter(hot_pair | (F.col("of_pair") >= least)).select(
+        "lang", "w1", "part", "w2", F.when(longer, F.col("w3")).alias("w3"), F.when(longer, F.col("w4")).alias("w4"), "n")
+    view = f"phrase_windows_{uuid.uuid4().hex}"
+    kept.createOrReplaceTempView(view)
     rolled = docs.sparkSession.sql(f"""
-        SELECT lang, head, part, w3, w4, hot, sum(n) AS f, grouping(w3) AS g3, grouping(w4) AS g4 FROM {view}
-        GROUP BY lang, head, part, hot, ROLLUP (w3, w4)""")
-    # A padding null is no word: the prefix that ends before it is counted by the next shorter grouping.
-    real = rolled.filter("(g3 = 1 or w3 is not null) and (g4 = 1 or w4 is not null)").filter(F.col("hot") | (F.col("f") >= least))
-    summed = real.groupBy("lang", "head", "w3", "w4").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        SELECT lang, w1, part, w2, w3, w4, sum(n) AS f, grouping(w3) AS g3, grouping(w4) AS g4 FROM {view}
+        GROUP BY lang, w1, part, w2, ROLLUP (w3, w4)""")
     docs.sparkSession.catalog.dropTempView(view)
-    longer = summed.select("lang", F.concat_ws(" ", "head", "w3", "w4").alias("phrase"), (2 + F.col("w3").isNotNull().cast("int") + F.col("w4").isNotNull().cast("int")).alias("words"), "f")
+    # A padding null is no word: the prefix that ends before it is counted by the next shorter grouping.
+    real = rolled.filter("(g3 = 1 or w3 is not null) and (g4 = 1 or w4 is not null)")
+    whole = F.when(F.col("g3") == 1, ~hot_pair).when(F.col("g4") == 1, ~hot_triple).otherwise(True)
+    real = real.filter(~whole | (F.col("f") >= least))
+    summed = real.groupBy("lang", "w1", "w2", "w3", "w4").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    size = 2 + F.col("w3").isNotNull().cast("int") + F.col("w4").isNotNull().cast("int")
+    longer = summed.select("lang", F.concat_ws(" ", "w1", "w2", "w3", "w4").alias("phrase"), size.alias("words"), "f")
     single = words.filter(F.col("n") >= least).select("lang", F.col("w1").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     return totals, single.unionByName(longer)
 
