@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .scratch import Stored, bit_map
 
 ORDER = 4
-BLOCK_WINDOWS = 2_000_000
+BLOCK_WINDOWS = 1_250_000
 HOT_SHARE = 512
 HOT_PARTS = 64
 # Where the numbers of hot words', pairs' and triples' parts begin.
