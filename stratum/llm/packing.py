@@ -27,7 +27,7 @@ from .scratch import ROW_ID, numbered, spread
 from .words import Codes, default_tokenizer
 
 GROUP = 512
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 500_000
 
 
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:

@@ -53,8 +53,8 @@ def _pieces(places: DataFrame) -> DataFrame:
     return pieces.groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
-# Bits of a map of ids: 8 MB, whatever the number of ids.
-ID_BITS = 1 << 26
+# Bits of a map of ids: 2 MB, whatever the number of ids.
+ID_BITS = 1 << 24
 
 
 def maybe_among(key: str, rows: DataFrame, ids: DataFrame) -> DataFrame:
