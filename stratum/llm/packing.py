@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import ROW_ID, numbered, spread
+from .scratch import ROW_ID, gives_back, numbered, spread
 from .words import Codes, default_tokenizer
 
 GROUP = 512
@@ -105,7 +105,7 @@ def _cutter(path: str, capacity: int, end_id: int):
                     names=[*batch.schema.names[:-1], "start", "ids", "doc_tokens"],
                 )
 
-    return cut
+    return gives_back(cut)
 
 
 def pieces(

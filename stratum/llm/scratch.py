@@ -6,6 +6,11 @@ work before it. Each helper of a loop drops the tables that no later step reads.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,28 @@ class Stored:
         delete(self.spark, self.path)
 
 
+def give_back() -> None:
+    """Returns the room that this process no longer uses to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def gives_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which its Python process, which Spark keeps for later tasks, returns the room it no longer uses.
+
+    Else an executor holds the largest batch of every past step for each of its cores.
+    """
+
+    @wraps(run)
+    def task(parts: Iterator) -> Iterator:
+        yield from run(parts)
+        give_back()
+
+    return task
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     return Stored(df, label).df
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Stored, maybe_among, spread, stored, without_ids
+from .scratch import Stored, gives_back, maybe_among, spread, stored, without_ids
 
 SEED = 42
 BLOCK_ROWS = 1024
@@ -77,7 +77,7 @@ def _fingerprinter(width: int):
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, signed], names=[*batch.schema.names[:-1], "fingerprint"])
 
-    return run
+    return gives_back(run)
 
 
 def fingerprints(docs: DataFrame, width: int = 4, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -162,7 +162,7 @@ def _emit(plan: Plan):
                 parts = [(bucket, block, encode(part, plan.width)) for bucket, part in plan.split(keys)]
                 yield pd.DataFrame(parts, columns=["bucket", "block", "keys"])
 
-    return run
+    return gives_back(run)
 
 
 def _report(plan: Plan):
@@ -245,7 +245,7 @@ def _again(plan: Plan, pairs: bool):
                         rows.append((k, variant[part].tobytes(), source[part].tobytes()))
                 yield pd.DataFrame(rows, columns=["bucket", "variants", "prints"])
 
-    return run
+    return gives_back(run)
 
 
 def _meet(plan: Plan, pairs: bool):
@@ -396,7 +396,7 @@ def _signer(width: int):
             front = [batch.column(0), pa.array(marks, pa.string()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*front, *columns], names=["id", "mark", "size", "bands", *names])
 
-    return run
+    return gives_back(run)
 
 
 def _sets(width: int):
@@ -406,7 +406,7 @@ def _sets(width: int):
             columns = [pa.array([mark_of(one) for one in made], pa.string()), pa.array([one.tobytes() for one in made], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["mark", "shingles"])
 
-    return run
+    return gives_back(run)
 
 
 def distance_for(similarity: float) -> int:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import give_back, gives_back, stored
 
 WORD = re.compile(r"\w+")
 DIMS = 1 << 20
@@ -36,7 +36,7 @@ LONGEST = 50_000
 LEAST_Z = 4.0
 STRIDE = 128
 WORDS_AT_ONCE = 1 << 17
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 
 
 class WordIds(dict):
@@ -245,6 +245,7 @@ def train(
     texts = docs.filter(F.length(text) <= LONGEST).select(F.col(key).alias("id"), F.col(text).alias("text"))
     # At most docs_per_class rows of each class, each of bounded length.
     sample = texts.join(chosen, "id").orderBy("id", "text").limit(4 * docs_per_class).toPandas()
+    give_back()
     labels_of = sample["toxic"].to_numpy(np.int64)
     words = list(sample["text"])
     counts = np.array([classes.get(0, 0), classes.get(1, 0)], dtype=np.float64)
@@ -264,6 +265,9 @@ def train(
     taken = np.bincount(labels_of, minlength=2)
     weights = (counts / np.maximum(taken, 1))[labels_of]
     field.document = _fit_logistic(_document_features(marginals, sizes), labels_of, weights / weights.mean())
+    # The driver, too, keeps what the training texts took.
+    del sample, words
+    give_back()
     return field
 
 
@@ -303,11 +307,10 @@ def _tagger(shared, with_spans: bool):
         logit = _document_features(marginals, sizes) @ field.document
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30))), spans
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         field, ids = shared.value, WordIds()
-        for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            scores, spans, part, held = [], [], [], 0
+        for column in columns:
+            scores, spans, part, held = [np.zeros(0)], [], [], 0
             for value in column:
                 text = value.as_py()
                 part.append(text)
@@ -321,18 +324,19 @@ def _tagger(shared, with_spans: bool):
                 done = tag(part, ids, field)
                 scores.append(done[0])
                 spans.extend(done[1])
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            made = [pa.array(np.concatenate(scores) if scores else np.zeros(0))] + ([pa.array(spans, SPANS)] if with_spans else [])
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[:-1], "score", *["spans"] * with_spans])
+            made = [pa.array(np.concatenate(scores)), *[pa.array(spans, SPANS)] * with_spans]
+            yield pa.StructArray.from_arrays(made, names=["score", *["spans"] * with_spans])
 
-    return run
+    return gives_back(run)
 
 
 def score_documents(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc_id",), text: str = "text", spans: bool = True) -> DataFrame:
     """The kept columns, ``score`` and ``spans`` (start and end code points of offending runs) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    source = docs.select(*[F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)], F.col(text).alias("text"))
-    kinds = [f"k{i} {source.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    schema = ", ".join([*kinds, "score double", *["spans array<struct<start:int,end:int>>"] * spans])
-    scored = source.mapInArrow(_tagger(shared, spans), schema)
-    return scored.select(*[F.col(f"k{i}").alias(name) for i, name in enumerate(keep)], "score", *["spans"] * spans)
+    kind = "struct<score:double" + ",spans:array<struct<start:int,end:int>>" * spans + ">"
+    # Only the text goes to the tasks' Python and only the result comes back; the kept columns stay where they are.
+    # Marked so that a filter on the score is not moved below it, which would score each text twice.
+    score = F.arrow_udf(_tagger(shared, spans), kind).asNondeterministic()
+    found = score(F.col(f"`{text}`")).alias("found")
+    scored = docs.select(*[F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)], found)
+    return scored.select(*[F.col(f"k{i}").alias(name) for i, name in enumerate(keep)], "found.score", *["found.spans"] * spans)
