@@ -10,10 +10,10 @@ of the item and the passage with what surrounds it decides: a share of ``verbati
 or of ``paraphrase`` if the answer is found as well. The answer is the ``answer`` column where the
 benchmark has one, else the item's last sentence.
 
-The singular vectors come from a randomised subspace iteration, a Spark job per round: tasks send
-the product of their rows with the present basis, ``terms x rank`` numbers whatever the rows. The basis
-is fitted on the benchmark, weighted as much as the rest, and on the passages of at most
-``sample`` documents, first by hash; every passage of every document is searched. The benchmark is a
+The singular vectors are those of all passages of all documents, and of the benchmark, weighted as much as the rest. One pass
+counts, in integers, how often two terms share a passage; the counts lie in slices of ``SLICE`` cells, summed in a stream per
+slice, so no task holds more than ``CELLS`` of them and no two runs differ. A randomised subspace iteration then multiplies the
+slices with the present basis, a Spark job per round; tasks send ``terms x rank`` numbers. The benchmark is a
 stated query set, taken in blocks of ``ITEMS_AT_ONCE`` items, so what tasks get has a bound.
 
 Defined results: null and empty texts hold no passage and no item; items without a word match nothing;
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import gives_back, stored
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[.!?]+")
@@ -41,6 +41,11 @@ HALF = PASSAGE // 2
 ITEMS_AT_ONCE = 256
 ROWS_AT_ONCE = 2_048
 OVERSAMPLE = 16
+# Pair counts of a pass over the documents, of a slice, words of a portion, and pairs after which a task sends what it has.
+CELLS, SLICE, PORTION, SEND_PAIRS = 1 << 23, 1 << 15, 1 << 15, 1 << 30
+SLICES_AT_ONCE = 64
+# Ranges of terms in which the tasks' products are summed.
+RANGES = 8
 OTHER = 0
 
 
@@ -87,26 +92,136 @@ def _encoder(shared):
             coded = [np.fromiter(map(look, words_of(text.as_py())), dtype=kind).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.binary())], names=["doc_id", "words"])
 
-    return run
+    return gives_back(run)
 
 
 def _kind(items: Items) -> str:
     return "<u2" if len(items.terms) < 65_535 else "<u4"
 
 
-def _frequencies(kind: str, terms: int):
-    """How many documents of a task hold each term."""
+def slice_rows(size: int) -> int:
+    """Terms of a slice of pair counts, of ``size`` cells a term."""
+    return max(1, SLICE // size)
+
+
+def _count_pairs(kind: str, size: int, low: int, high: int):
+    """Per slice of the terms from ``low`` to ``high``: how many documents hold each, and what ``pair_counts`` says."""
+    rows = slice_rows(size)
+    # A pair is counted at its lesser term: terms from low on have a row each, from the term itself to the last one.
+    room = size - np.arange(low, high)
+    row = np.zeros(size, dtype=np.int64)
+    row[low:high] = np.cumsum(room) - room - np.arange(low, high)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, n = np.zeros(terms + 1, dtype=np.int64), 0
+        counts = np.zeros(room.sum(), dtype=np.int32)
+        own, held = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        pairs = 0
+
+        def add(docs: list[np.ndarray]) -> int:
+            lengths = np.array([len(words) for words in docs])
+            halves = -(-lengths // HALF)
+            half = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // HALF
+            every = np.concatenate(docs)
+            known = np.flatnonzero(every)
+            word, half = every[known].astype(np.int32), half[known]
+            owner = np.repeat(np.arange(len(docs)), lengths)[known]
+            # A half passage inside a document lies in two passages, the first and the last in one; two beside each other share one.
+            inside = (half > 0) & (half < halves[owner] - 1)
+            number = (half + (np.cumsum(halves + 1) - halves)[owner]).astype(np.int32)
+            own[:] += np.bincount(word, minlength=size) + np.bincount(word[inside], minlength=size)
+            left, done = np.arange(len(word)), 0
+            for lag in range(1, PASSAGE):
+                left = left[: np.searchsorted(left, len(word) - lag)]
+                gap = number[left + lag] - number[left]
+                near = gap <= 1
+                left, gap = left[near], gap[near]
+                if not len(left):
+                    break
+                one, other = word[left], word[left + lag]
+                least, times = np.minimum(one, other), 1 + (inside[left] & (gap == 0)).astype(np.int32)
+                cell = row[least] + np.maximum(one, other)
+                if high - low < size:
+                    mine = (least >= low) & (least < high)
+                    cell, times = cell[mine], times[mine]
+                np.add.at(counts, cell, times)
+                done += 2 * len(left)
+            return done
+
+        def sums() -> Iterator[pd.DataFrame]:
+            for start in range(low, high, rows):
+                end = min(start + rows, high)
+                part = np.zeros((end - start, size), dtype=np.int32)
+                for term in range(start, end):
+                    part[term - start, term:] = counts[row[term] + term : row[term] + size]
+                part = part.ravel()
+                cells = np.flatnonzero(part)
+                if len(cells) or own[start:end].any() or held[start:end].any():
+                    yield pd.DataFrame({
+                        "slice": [start // rows], "cells": [cells.astype("<u4").tobytes()], "counts": [part[cells].tobytes()],
+                        "own": [own[start:end].tobytes()], "held": [held[start:end].tobytes()]})
+            counts[:], own[:], held[:] = 0, 0, 0
+
         for batch in batches:
-            n += len(batch)
+            docs, words = [], 0
             for data in batch["words"]:
-                found[np.unique(np.frombuffer(data, dtype=kind))] += 1
-        found[OTHER] = n
-        yield pd.DataFrame({"term": np.arange(terms + 1), "n": found})
+                coded = np.frombuffer(data, dtype=kind)
+                held[np.unique(coded[coded != OTHER])] += 1
+                held[OTHER] += 1
+                # Stretches of a very long document share a half passage, which each counts with one of its passages.
+                for start in range(0, max(len(coded) - HALF, min(len(coded), 1)), PORTION):
+                    docs.append(coded[start : start + PORTION + HALF])
+                    words += len(docs[-1])
+                    if words >= PORTION:
+                        pairs += add(docs)
+                        docs, words = [], 0
+                        if pairs >= SEND_PAIRS:
+                            yield from sums()
+                            pairs = 0
+            if docs:
+                pairs += add(docs)
+        yield from sums()
 
-    return run
+    return gives_back(run)
+
+
+def _sum_slices(size: int):
+    """The sums of each slice, of rows that lie together by ``slice``."""
+    rows = slice_rows(size)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, tuple[np.ndarray, ...]] = {}
+        for batch in batches:
+            for part in batch.itertuples(index=False):
+                if part.slice not in total:
+                    n = min(rows, size - part.slice * rows)
+                    total[part.slice] = tuple(np.zeros(k, dtype=np.int64) for k in (n * size, n, n))
+                counts, own, held = total[part.slice]
+                counts[np.frombuffer(part.cells, dtype="<u4")] += np.frombuffer(part.counts, dtype=np.int32)
+                own += np.frombuffer(part.own, dtype=np.int64)
+                held += np.frombuffer(part.held, dtype=np.int64)
+        for number, sums in total.items():
+            yield pd.DataFrame({"slice": [number]} | {name: [one.tobytes()] for name, one in zip(("counts", "own", "held"), sums)})
+
+    return gives_back(run)
+
+
+def pair_counts(coded: DataFrame, kind: str, size: int) -> DataFrame:
+    """(slice, counts, own, held) of all documents; a slice holds ``slice_rows`` terms of ``size``.
+
+    A pair is counted at its lesser term. With U the matrix of counts and D the diagonal one of own, U + U' + D is A'A, of the passages' numbers of words A. held: documents with the term.
+    """
+    rows = slice_rows(size)
+    parts, low = None, 0
+    while low < size:
+        # So many terms at once that a task's counts have a bound; with 200 items that is one pass.
+        high = low + rows
+        while high < size and (high + rows - low) * (2 * size - low - high - rows) // 2 <= CELLS:
+            high += rows
+        high = min(high, size)
+        made = coded.mapInPandas(_count_pairs(kind, size, low, high), "slice int, cells binary, counts binary, own binary, held binary")
+        parts, low = made if parts is None else parts.unionByName(made), high
+    dealt = parts.repartition(max(1, -(-size // (rows * SLICES_AT_ONCE))), "slice")
+    return dealt.mapInPandas(_sum_slices(size), "slice int, counts binary, own binary, held binary")
 
 
 def _passage_sums(words: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -116,29 +231,27 @@ def _passage_sums(words: np.ndarray, table: np.ndarray) -> np.ndarray:
     return halves if len(halves) < 2 else halves[:-1] + halves[1:]
 
 
-def _gram(kind: str, idf: np.ndarray, basis: np.ndarray):
-    """Aᵀ A B of a task's passages A, for the basis B, in slices of terms."""
+def _gram(idf: np.ndarray, basis: np.ndarray):
+    """Aᵀ A B of a task's slices of pair counts, A weighted by ``idf``, for the basis B."""
+    size = len(idf)
+    rows = slice_rows(size)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = (basis * idf[:, None]).astype(np.float32)
+        table = basis * idf[:, None]
         total = np.zeros(basis.shape)
         for batch in batches:
-            for data in batch["words"]:
-                words = np.frombuffer(data, dtype=kind)
-                if not len(words):
-                    continue
-                rows = _passage_sums(words, table).astype(np.float64)
-                # Each half passage lies in the one that it begins and in the one that it ends.
-                halves = -(-len(words) // HALF)
-                both = np.zeros((halves, rows.shape[1]))
-                both[: len(rows)] += rows
-                if halves > 1:
-                    both[1 : len(rows) + 1] += rows
-                np.add.at(total, words, np.repeat(both, HALF, axis=0)[: len(words)])
+            for start in range(0, len(batch), SLICES_AT_ONCE):
+                part = batch.iloc[start : start + SLICES_AT_ONCE]
+                own = [np.frombuffer(data, dtype=np.int64) for data in part["own"]]
+                at = np.concatenate([np.arange(number * rows, number * rows + len(one)) for number, one in zip(part["slice"], own)])
+                counts = np.concatenate([np.frombuffer(data, dtype=np.int64) for data in part["counts"]]).reshape(len(at), size).astype(np.float64)
+                total[at] += counts @ table + np.concatenate(own)[:, None] * table[at]
+                total += counts.T @ table[at]
         total *= idf[:, None]
-        yield pd.DataFrame({"slice": [0], "sums": [total.tobytes()]})
+        for number, part in enumerate(np.array_split(total, RANGES)):
+            yield pd.DataFrame({"slice": [number], "sums": [part.tobytes()]})
 
-    return run
+    return gives_back(run)
 
 
 def _add(group: pd.DataFrame) -> pd.DataFrame:
@@ -163,18 +276,17 @@ def with_items(vectors: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.hstack([vectors, basis[:, values > 1e-3 * np.linalg.norm(own, axis=1).max()].astype(np.float32)])
 
 
-def singular_vectors(sample: DataFrame, own: np.ndarray, idf: np.ndarray, rank: int, rounds: int, kind: str) -> np.ndarray:
-    """The leading right singular vectors (terms by rank) of the sample's and the benchmark's passages."""
+def singular_vectors(pairs: DataFrame, own: np.ndarray, idf: np.ndarray, rank: int, rounds: int) -> np.ndarray:
+    """The leading right singular vectors (terms by rank) of the documents' passages, given by their pair counts, and of the benchmark's."""
     terms = len(idf)
     width = min(rank + OVERSAMPLE, terms)
     basis = np.random.default_rng(17).standard_normal((terms, width))
     for step in range(rounds + 1):
-        parts = sample.mapInPandas(_gram(kind, idf, basis), "slice int, sums binary")
-        # Two levels: the tasks' sums meet in a few groups, and those on the driver, terms x width numbers each.
-        mixed = parts.withColumn("slice", (F.rand(step) * 8).cast("int")).groupBy("slice").applyInPandas(_add, "slice int, sums binary")
-        product = np.zeros((terms, width))
-        for row in mixed.collect():
-            product += np.frombuffer(row["sums"], dtype=np.float64).reshape(terms, width)
+        parts = pairs.select("slice", "counts", "own").mapInPandas(_gram(idf, basis), "slice int, sums binary")
+        # Summed range by range, so that the driver gets terms x width numbers in all.
+        mixed = parts.groupBy("slice").applyInPandas(_add, "slice int, sums binary")
+        ranges = {row["slice"]: np.frombuffer(row["sums"], dtype=np.float64) for row in mixed.collect()}
+        product = np.concatenate([ranges[number] for number in sorted(ranges)]).reshape(terms, width) if ranges else np.zeros((terms, width))
         mine = own.T @ (own @ basis)
         weight = max(1.0, np.linalg.norm(product) / max(np.linalg.norm(mine), 1e-12))
         product += weight * mine
@@ -276,14 +388,14 @@ def _searcher(shared, kind: str, cosine: float, shared_weight: float, verbatim:
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "share", "answered", "cosine", "word"])
             yield frame.astype({"doc_id": "Int64", "item_id": "Int64", "share": "float64", "answered": "bool", "cosine": "float64", "word": "int64"})
 
-    return run
+    return gives_back(run)
 
 
 FOUND = "doc_id long, item_id long, share double, answered boolean, cosine double, word long"
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, rank: int = 128, rounds: int = 2, sample: int = 2000, cosine: float = 0.1,
+    docs: DataFrame, benchmark: DataFrame, rank: int = 128, rounds: int = 2, cosine: float = 0.1,
     shared_weight: float = 0.45, verbatim: float = 0.8, paraphrase: float = 0.7, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per document and item found in it: share of the item's words in common order, answered, cosine.
@@ -304,16 +416,17 @@ def leaks(
         kind = _kind(items)
         source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
         coded = stored(source.mapInArrow(_encoder(spark.sparkContext.broadcast(items)), "doc_id long, words binary"), "leak-words")
-        counts = np.zeros(len(items.terms) + 1)
-        for row in coded.mapInPandas(_frequencies(kind, len(items.terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-            counts[row["term"]] = row["n"]
+        size = len(items.terms) + 1
+        pairs = stored(pair_counts(coded, kind, size), "leak-pairs")
+        counts = np.zeros(size)
+        for row in pairs.select("slice", "held").toLocalIterator():
+            held = np.frombuffer(row["held"], dtype=np.int64)
+            counts[row["slice"] * slice_rows(size) :][: len(held)] = held
         total = counts[OTHER]
         idf = np.log((1 + total) / (1 + counts)).clip(0.01)
         idf[OTHER] = 0
-        share = F.pmod(F.xxhash64(F.lit("leak"), "doc_id"), F.lit(1 << 20)) * int(max(total, 1)) < (sample << 20)
-        fitted = stored(coded.filter(share), "leak-sample")
         own = item_vectors(items, idf)
-        vectors = with_items(singular_vectors(fitted, own, idf, min(rank, len(items.terms)), rounds, kind), own)
+        vectors = with_items(singular_vectors(pairs, own, idf, min(rank, len(items.terms)), rounds), own)
         table = (vectors * idf[:, None]).astype(np.float32)
         queries = np.stack([table[words].sum(axis=0) for words in items.words])
         queries /= np.maximum(np.linalg.norm(queries, axis=1), 1e-9)[:, None]

@@ -259,6 +259,29 @@ def test_an_overflowing_filter_is_rebuilt_from_its_keys():
     assert large.contains(*exact_dedup.CuckooFilter.prints(digests)).all()
 
 
+def test_pair_counts_are_those_of_all_passages(spark, monkeypatch):
+    """Every document counts, in several passes over the terms, with long documents cut in stretches."""
+    for name, value in (("CELLS", 3000), ("SLICE", 200), ("PORTION", 128), ("SEND_PAIRS", 5000)):
+        monkeypatch.setattr(decontaminate, name, value)
+    rng, size, half = np.random.default_rng(3), 61, decontaminate.HALF
+    docs = [np.minimum(rng.integers(0, 80, n), size - 1) * (rng.random(n) < 0.6) for n in [0, 1, 31, 32, 33, 64, 65, 700, 160, 161, *rng.integers(0, 200, 2500)]]
+    rows = [(k, words.astype("<u2").tobytes()) for k, words in enumerate(docs)]
+    found = decontaminate.pair_counts(spark.createDataFrame(rows, "doc_id long, words binary"), "<u2", size).collect()
+    upper, own, held = np.zeros((size, size)), np.zeros(size), np.zeros(size)
+    for row in found:
+        at = slice(row.slice * decontaminate.slice_rows(size), (row.slice + 1) * decontaminate.slice_rows(size))
+        upper[at] = np.frombuffer(row.counts, dtype=np.int64).reshape(-1, size)
+        own[at], held[at] = np.frombuffer(row.own, dtype=np.int64), np.frombuffer(row.held, dtype=np.int64)
+    want = np.zeros((size, size))
+    for words in docs:
+        for start in range(0, max(len(words) - half, min(len(words), 1)), half):
+            row = np.bincount(words[start : start + 2 * half], minlength=size).astype(float)
+            row[0] = 0
+            want += np.outer(row, row)
+    assert np.array_equal(upper + upper.T + np.diag(own), want)
+    assert held[0] == len(docs) and held[1:].tolist() == [sum(k in words for words in docs) for k in range(1, size)]
+
+
 def test_toxicity_sends_each_text_once(spark, docs):
     """Kept columns, whole texts among them, do not travel through Python, and each text is scored once."""
     flat = toxicity.train(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))
