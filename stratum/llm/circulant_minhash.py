@@ -8,11 +8,12 @@ shifted circularly by k. So a signature of any length needs two functions, not o
 (1 - 0.8^6)^48 = 5e-7, and less the nearer the texts.
 
 *Candidates.* Equal sets are one node before anything else, so copies cost one row. Within a key the node with the smallest
-number is a star's centre; all others are compared with it, and links are joined to classes. Where a key's
+number is a star's centre; all others are compared with it, and links are joined to classes. Keys with the same centre are one group then, with
+a row for each member, whatever the number of keys that it shares; who shares a key shares a group. Where a group's
 members still lie in several classes, a second centre is taken from outside the first one's class. What is left after that is
 compared whole: members outside the centre's class with all members, in tiles of two chunks, each a bounded piece of work of
 its own. Jaccard distance is a metric and each member's distance from the first centre is known, so two members whose distances from it differ
-by more than a link allows need no comparison; that takes strays out of a large group of copies without looking at the group again. So within a key
+by more than a link allows need no comparison; that takes strays out of a large group of copies without looking at the group again. So within a group
 every pair is compared, lies in one class already or cannot be linked, and no pair list is ever made.
 
 *Verification.* 100 * |intersection| >= 100 * similarity * |union| on the whole sets of 64-bit shingle hashes, in integers.
@@ -197,9 +198,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_members(members: DataFrame, reach: float) -> DataFrame:
-    """Of ``members`` (key, node, class, main, far ...) those that may have a link to another class within their key.
+    """Of ``members`` (key, node, class, main, far ...) those that may have a link to another class within their group; ``key`` is its first.
 
-    Outside the main class all stay; inside it those that are no nearer to the key's first than ``reach`` below its nearest stray.
+    Outside the main class all stay; inside it those that are no nearer to the first than ``reach`` below its nearest stray.
     """
     members = Stored(members, "circulant-classed").df
     stray = F.when(F.col("class") != F.col("main"), F.col("far"))
@@ -259,11 +260,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     star = Stored(_verified(stars, sets.df, percent), "circulant-stars")
     links = star.df.filter("linked").select("a", "b")
     classes = _classes(links)
-    # Besides each key's first: the members' distance from it, where they are of several classes.
-    spokes = members.df.filter("node <> first").join(star.df.select(F.col("a").alias("first"), F.col("b").alias("node"), "far"), ["first", "node"])
-    held = _with_class(spokes, classes.df).withColumn("main", F.col("first"))
-    mains = classes.df.select(F.col("node").alias("first"), F.col("component").alias("main_class"))
-    held = held.join(mains, "first", "left").withColumn("main", F.coalesce("main_class", "first")).drop("main_class")
+    # Keys with one first are one group from here on: a text that shares many keys with its first is one row, not one a key.
+    spokes = star.df.select(F.col("a").alias("key"), F.col("b").alias("node"), "far").join(nodes.select("node", "size"), "node")
+    held = _with_class(spokes, classes.df).withColumn("main", F.col("key"))
+    mains = classes.df.select(F.col("node").alias("key"), F.col("component").alias("main_class"))
+    held = held.join(mains, "key", "left").withColumn("main", F.coalesce("main_class", "key")).drop("main_class")
     open_ = Stored(_open_members(held, reach), "circulant-open")
     second = open_.df.filter("class <> main").groupBy("key").agg(F.min(F.struct("node", "far", "class")).alias("s")).select(
         "key", F.col("s.node").alias("second"), F.col("s.far").alias("second_far"), F.col("s.class").alias("second_class"))

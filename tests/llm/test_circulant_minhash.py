@@ -85,3 +85,16 @@ def test_signature_estimates_jaccard(size):
         agree.append((cm.signature(one) == cm.signature(other)).mean())
     want = shared / (shared + 2 * missing)
     assert abs(np.mean(agree) - want) < 0.04
+
+
+def test_a_member_of_many_keys_is_one_row(spark, monkeypatch):
+    """A group of near copies with a stray: what may still be linked is looked at once a text, not once a key."""
+    rng = random.Random(4)
+    words = [f"b{rng.randrange(300)}" for _ in range(200)]
+    texts = [(k, edited(rng, words, rng.choice([2, 4, 8, 14, 16, 18]))) for k in range(60)]
+    seen = []
+    plain = cm._open_members
+    monkeypatch.setattr(cm, "_open_members", lambda members, reach: seen.append(members.groupBy("key").count().collect()) or plain(members, reach))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted((tuple(r) for r in cm.near_duplicates(df, 2, 80).collect()), key=repr) == brute(texts, 2, 80)
+    assert 0 < len(seen[0]) < len(texts) and max(row["count"] for row in seen[0]) < len(texts)
