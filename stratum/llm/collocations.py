@@ -11,7 +11,7 @@ them to the counts of their shorter prefixes.
    one w1 travel together, as lines of text, at most ``LINES`` a row.
 3. *Roll-up.* Rows are dealt by w1; hot words by w2 as well, hot pairs by w3, hot triples by w4, so none is one task's. All windows of a pair are
    in one partition then, unless it is hot. By sums over the sorted partition, windows of pairs under ``least`` go (no phrase that begins with such a
-   pair can count), and those of triples under ``least`` end after their pair. ROLLUP over w3 and w4 sums what is left, which each task has reduced
+   pair can count); by sums over what is left, those of triples under ``least`` end after their pair. ROLLUP over w3 and w4 sums what is left, which each task has reduced
    to a row per phrase before it is shuffled; what is summed for hot pairs and triples is a part of each, a few rows that meet in one small aggregate more.
 4. *Scores.* Parts of a phrase occur at least as often as the phrase, so whatever is needed is among the rows that stayed.
 
@@ -248,16 +248,20 @@ def phrase_counts(
     shared = docs.sparkSession.sparkContext.broadcast(bit_map(words.filter(F.col("n") >= least).select(F.pmod(F.xxhash64("lang", "w1"), F.lit(MAP_BITS)).alias("bit")), MAP_BITS))
     dealt = source.mapInArrow(_count_windows(block, shared, hot), "lang string, w1 string, part int, tails string").repartition("lang", "w1", "part")
     lines = dealt.select("lang", "w1", "part", F.explode(F.split("tails", "\n")).alias("line"))
-    tail = F.split(F.substring_index("line", "\t", 1), " ")
-    cut = lines.select("lang", "w1", "part", tail.alias("t"), F.coalesce(F.try_element_at(F.split("line", "\t"), F.lit(2)).cast("long"), F.lit(1)).alias("n"))
-    windows = cut.select("lang", "w1", "part", F.get("t", F.lit(0)).alias("w2"), F.get("t", F.lit(1)).alias("w3"), F.get("t", F.lit(2)).alias("w4"), "n")
+    # Plain cuts at one byte; lines without a tab stand for one window, words beyond a line's end are null.
+    tail = F.substring_index("line", "\t", 1)
+    times = F.when(F.contains("line", F.lit("\t")), F.substring_index("line", "\t", -1).cast("long")).otherwise(F.lit(1))
+    cut = lines.select("lang", "w1", "part", F.substring_index(tail, " ", 1).alias("w2"), tail.alias("tail"), times.alias("n"))
+    # The hash comes first, so rows are sorted by a number mostly. Windows of rare pairs, which are most, go before anything is done with the rest.
+    pair = ["place", "lang", "w1", "part", "w2"]
+    cut = cut.withColumn("place", F.xxhash64("w2", "w1", "lang")).withColumn("of_pair", F.sum("n").over(W.partitionBy(*pair)))
     hot_pair, hot_triple = F.col("part") >= PAIR_PARTS, F.col("part") >= TRIPLE_PARTS
-    # One sort serves both sums. A window whose triple is rare counts for its pair only, so it ends there.
-    windows = windows.withColumn("of_triple", F.sum("n").over(W.partitionBy("lang", "w1", "part", "w2", "w3")))
-    windows = windows.withColumn("of_pair", F.sum("n").over(W.partitionBy("lang", "w1", "part", "w2")))
+    often = cut.filter(hot_pair | (F.col("of_pair") >= least)).withColumn("t", F.split("tail", " "))
+    windows = often.select(*pair, F.get("t", F.lit(1)).alias("w3"), F.get("t", F.lit(2)).alias("w4"), "n")
+    # A window whose triple is rare counts for its pair only, so it ends there.
+    windows = windows.withColumn("of_triple", F.sum("n").over(W.partitionBy(*pair, "w3")))
     longer = hot_triple | (F.col("of_triple") >= least)
-    kept = windows.filter(hot_pair | (F.col("of_pair") >= least)).select(
-        "lang", "w1", "part", "w2", F.when(longer, F.col("w3")).alias("w3"), F.when(longer, F.col("w4")).alias("w4"), "n")
+    kept = windows.select("lang", "w1", "part", "w2", F.when(longer, F.col("w3")).alias("w3"), F.when(longer, F.col("w4")).alias("w4"), "n")
     view = f"phrase_windows_{uuid.uuid4().hex}"
     kept.createOrReplaceTempView(view)
     rolled = docs.sparkSession.sql(f"""

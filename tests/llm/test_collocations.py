@@ -71,3 +71,10 @@ def test_hot_pairs_and_small_blocks(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_rare_pairs_go_before_triples_are_summed(spark):
+    """The sums of triples lie above those of pairs and their filter, so they see what is left only."""
+    df = spark.createDataFrame([("a b c d", "en")], "text string, lang string")
+    plan = co.phrase_counts(df, 3)[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS of_triple") < plan.index("AS of_pair")
