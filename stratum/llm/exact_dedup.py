@@ -201,113 +201,6 @@ class CuckooIndex:
         new.drop()
         return changed
 
-    def delete(self, mark: int, place: int) -> bool:
-        for row in self.places(mark, place):
-            for way in range(WAYS):
-                if self.cells[row, way] == mark:
-                    self.cells[row, way] = 0
-                    return True
-        return False
-
-    def contains(self, mark: np.ndarray, place: np.ndarray) -> np.ndarray:
-        first, second = self.places(mark, place)
-        return ((self.cells[first] == mark[:, None]) | (self.cells[second] == mark[:, None])).any(axis=1)
-
-
-def filled(current: CuckooFilter | None, new: list[str], stored_keys: list[str]) -> CuckooFilter:
-    """``current`` with ``new`` added; on overflow a larger one from all stored keys."""
-    if current is not None:
-        marks, places = CuckooFilter.prints(new)
-        if all(current.insert(mark, place) for mark, place in zip(marks.tolist(), places.tolist())):
-            return current
-    keys = [*stored_keys, *new]
-    marks, places = CuckooFilter.prints(keys)
-    fresh = CuckooFilter.sized(len(keys))
-    while not all(fresh.insert(mark, place) for mark, place in zip(marks.tolist(), places.tolist())):
-        fresh = CuckooFilter(fresh.rows * 2)
-    return fresh
-
-
-def _load(state: pd.DataFrame) -> CuckooFilter | None:
-    if not len(state):
-        return None
-    rows = int(state["rows"].iloc[0])
-    return CuckooFilter(rows, np.frombuffer(state["cells"].iloc[0], dtype=np.uint16).reshape(rows, WAYS).copy())
-
-
-def _state(bucket: int, current: CuckooFilter) -> pd.DataFrame:
-    return pd.DataFrame({"bucket": [bucket], "rows": [current.rows], "cells": [current.cells.tobytes()]})
-
-
-def _change(key, state: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-    """The filter of a bucket after its changes: 'live' keys were there, 'in' are added, 'out' are taken away."""
-    by = {kind: changes.loc[changes["kind"] == kind, "digest"].tolist() for kind in ("live", "in", "out")}
-    current = _load(state)
-    gone = set(by["out"])
-    if current is not None:
-        marks, places = CuckooFilter.prints(by["out"])
-        for mark, place in zip(marks.tolist(), places.tolist()):
-            current.delete(mark, place)
-    kept = [digest for digest in by["live"] if digest not in gone]
-    if current is None and not kept and not by["in"]:
-        return pd.DataFrame({"bucket": [], "rows": [], "cells": []})
-    return _state(key[0], filled(current, by["in"], kept))
-
-
-def _probe(key, wanted: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-    current = _load(state)
-    if current is None or not len(wanted):
-        return pd.DataFrame({"digest": []}, dtype="object")
-    marks, places = CuckooFilter.prints(wanted["digest"].tolist())
-    return wanted.loc[current.contains(marks, places), ["digest"]]
-
-
-class CuckooIndex:
-    """Live digests with their keepers. Every change makes a new generation of tables; ``drop`` deletes one that nothing reads any more."""
-
-    def __init__(self, spark: SparkSession, buckets: int, keys: Stored | None = None, filters: Stored | None = None):
-        self.spark, self.buckets, self._tables = spark, buckets, [table for table in (keys, filters) if table]
-        self.keys = spark.createDataFrame([], KEYS) if keys is None else keys.df
-        self.filters = spark.createDataFrame([], FILTERS) if filters is None else filters.df
-
-    def drop(self) -> None:
-        for table in self._tables:
-            table.drop()
-
-    @staticmethod
-    def for_size(spark: SparkSession, digests: int) -> CuckooIndex:
-        return CuckooIndex(spark, max(1, -(-digests // BUCKET_KEYS)))
-
-    def probe(self, digests: DataFrame) -> DataFrame:
-        """The rows of the content whose digest is in ``digests``: filter hits, verified."""
-        wanted = digests.select("digest").distinct().withColumn("bucket", bucket_of(F.col("digest"), self.buckets))
-        hits = wanted.groupBy("bucket").cogroup(self.filters.groupBy("bucket")).applyInPandas(_probe, "digest string")
-        return self.keys.join(hits, "digest", "left_semi")
-
-    def _changed(self, keys: DataFrame, added: DataFrame, removed: DataFrame) -> CuckooIndex:
-        content = Stored(keys, "cuckoo-keys")
-        touched = added.select("bucket").unionByName(removed.select("bucket")).distinct()
-        live = self.keys.join(touched, "bucket", "left_semi").select("bucket", "digest", F.lit("live").alias("kind"))
-        changes = live.unionByName(added.select("bucket", "digest", F.lit("in").alias("kind"))).unionByName(
-            removed.select("bucket", "digest", F.lit("out").alias("kind"))
-        )
-        before = self.filters.join(touched, "bucket", "left_semi")
-        made = before.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInPandas(_change, FILTERS)
-        same = self.filters.join(touched, "bucket", "left_anti")
-        return CuckooIndex(self.spark, self.buckets, content, Stored(made.unionByName(same), "cuckoo-filters"))
-
-    def insert(self, live: DataFrame) -> CuckooIndex:
-        """With the distinct digests of ``live`` (digest, keep_id, keep_points, group_size); those known already keep their better row."""
-        arriving = live.withColumn("bucket", bucket_of(F.col("digest"), self.buckets)).select(*self.keys.columns)
-        known = self.probe(arriving)
-        new = stored(arriving.join(known.select("digest"), "digest", "left_anti").select(*self.keys.columns), "cuckoo-new")
-        better = F.struct("keep_points", -F.coalesce("keep_id", F.lit((1 << 63) - 1)))
-        again = arriving.join(known.select("digest"), "digest", "left_semi").select(*self.keys.columns)
-        merged = self.keys.unionByName(again).groupBy("bucket", "digest").agg(
-            F.max_by(F.struct("keep_id", "keep_points"), better).alias("best"), F.sum("group_size").alias("group_size")
-        ).select("bucket", "digest", "best.keep_id", "best.keep_points", "group_size")
-        return self._changed(merged.unionByName(new), new, self.keys.limit(0))
-
     def delete(self, digests: DataFrame) -> CuckooIndex:
         """Without the digests given; those that are not live do not matter."""
         gone = stored(self.probe(digests), "cuckoo-gone")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import sys
 import zlib
@@ -70,6 +71,24 @@ def test_cuckoo_index_inserts_deletes_and_grows(spark):
     assert index.insert(digests.filter("keep_id = 3")).probe(digests).count() == 2001
 
 
+def test_an_insert_asks_the_filters_once_and_leaves_no_table_behind(spark, monkeypatch):
+    digests = spark.range(300).selectExpr("sha2(cast(id as string), 256) as digest", "id as keep_id", "1 as keep_points", "1L as group_size")
+    made, asked = [], []
+
+    class Noted(exact_dedup.Stored):
+        def __init__(self, df, label):
+            asked.append(df._jdf.queryExecution().optimizedPlan().toString().count("_probe"))
+            super().__init__(df, label)
+            made.append((label, self.path.removeprefix("file://")))
+
+    monkeypatch.setattr(exact_dedup, "Stored", Noted)
+    monkeypatch.setattr(exact_dedup, "stored", lambda df, label: Noted(df, label).df)
+    index = exact_dedup.CuckooIndex(spark, 2).insert(digests)
+    assert sum(asked) == 1
+    assert {label for label, path in made if os.path.exists(path)} == {"cuckoo-keys", "cuckoo-filters"}
+    assert index.probe(digests).count() == 300
+
+
 def test_difference_and_windows():
     rng = np.random.default_rng(5)
     for n in (1, 2, 7, 300):
