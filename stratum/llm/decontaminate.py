@@ -23,8 +23,9 @@ repeated rows and repeated items match alike; extra columns are not looked at.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -49,10 +50,31 @@ RANGES = 8
 OTHER = 0
 
 
+# For texts of the first 256 characters: what is no word is a space.
+SPACED = bytes(code if WORD.match(chr(code)) else 32 for code in range(256))
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def coder(terms: dict[str, int], width: int) -> Callable[[str | None], bytes]:
+    """A function that gives the terms of a text's words (``OTHER`` if they have none) as little-endian numbers of ``width`` bytes."""
+    look = {word: term.to_bytes(width, "little") for word, term in terms.items()}
+    # The same for words as bytes, which texts of the first 256 characters are cut into several times as fast.
+    narrow = {word.encode("latin-1"): code for word, code in look.items() if max(map(ord, word)) < 256}
+    other = OTHER.to_bytes(width, "little")
+
+    def code(text: str | None) -> bytes:
+        try:
+            words = (text or "").lower().encode("latin-1").translate(SPACED).split()
+        except UnicodeEncodeError:
+            return b"".join(map(look.get, words_of(text), repeat(other)))
+        return b"".join(map(narrow.get, words, repeat(other)))
+
+    return code
+
+
 @dataclass
 class Items:
     """A block of the benchmark: term numbers (0 is any other word), and per item its terms and its answer's."""
@@ -79,17 +101,11 @@ def read_items(rows: list, has_answer: bool) -> Items:
     return items
 
 
-class _Known(dict):
-    def __missing__(self, word: str) -> int:
-        return OTHER
-
-
 def _encoder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _Known(shared.value.terms).__getitem__
-        kind = "<u2" if len(shared.value.terms) < 65_535 else "<u4"
+        code = coder(shared.value.terms, np.dtype(_kind(shared.value)).itemsize)
         for batch in batches:
-            coded = [np.fromiter(map(look, words_of(text.as_py())), dtype=kind).tobytes() for text in batch.column(1)]
+            coded = [code(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.binary())], names=["doc_id", "words"])
 
     return gives_back(run)
@@ -129,22 +145,23 @@ def _count_pairs(kind: str, size: int, low: int, high: int):
             inside = (half > 0) & (half < halves[owner] - 1)
             number = (half + (np.cumsum(halves + 1) - halves)[owner]).astype(np.int32)
             own[:] += np.bincount(word, minlength=size) + np.bincount(word[inside], minlength=size)
-            left, done = np.arange(len(word)), 0
-            for lag in range(1, PASSAGE):
-                left = left[: np.searchsorted(left, len(word) - lag)]
-                gap = number[left + lag] - number[left]
-                near = gap <= 1
-                left, gap = left[near], gap[near]
-                if not len(left):
+            # How many words follow a word in its passages, and in its own half passage where that lies in two; those with most followers first.
+            place = np.arange(len(word))
+            follow = np.searchsorted(number, number + 1, "right") - place - 1
+            both = np.where(inside, np.searchsorted(number, number, "right") - place - 1, 0)
+            left = np.argsort(-follow, kind="stable")
+            first, both, done = word[left], both[left], 0
+            for lag, n in enumerate(np.searchsorted(-follow[left], -np.arange(1, PASSAGE), "right").tolist(), 1):
+                if not n:
                     break
-                one, other = word[left], word[left + lag]
-                least, times = np.minimum(one, other), 1 + (inside[left] & (gap == 0)).astype(np.int32)
-                cell = row[least] + np.maximum(one, other)
+                one, other = first[:n], word[left[:n] + lag]
+                cell, times = row[np.minimum(one, other)] + np.maximum(one, other), 1 + (both[:n] >= lag).astype(np.int32)
                 if high - low < size:
+                    least = np.minimum(one, other)
                     mine = (least >= low) & (least < high)
                     cell, times = cell[mine], times[mine]
                 np.add.at(counts, cell, times)
-                done += 2 * len(left)
+                done += 2 * n
             return done
 
         def sums() -> Iterator[pd.DataFrame]:
@@ -224,11 +241,37 @@ def pair_counts(coded: DataFrame, kind: str, size: int) -> DataFrame:
     return dealt.mapInPandas(_sum_slices(size), "slice int, counts binary, own binary, held binary")
 
 
-def _passage_sums(words: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sums of the words' rows of ``table`` over the passages, from sums over half passages."""
-    starts = np.arange(0, len(words), HALF)
-    halves = np.add.reduceat(table[words], starts, axis=0)
-    return halves if len(halves) < 2 else halves[:-1] + halves[1:]
+def _halves(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Half passages, a row each, filled up with other words, two at least a document; and the first half of every passage."""
+    counts = np.array([max(2, -(-len(words) // HALF)) for words in docs])
+    ends = np.cumsum(counts)
+    halves = np.full((ends[-1], HALF), OTHER, dtype=docs[0].dtype)
+    flat = halves.ravel()
+    for words, begin in zip(docs, ((ends - counts) * HALF).tolist()):
+        flat[begin : begin + len(words)] = words
+    first = np.ones(ends[-1], dtype=bool)
+    first[ends - 1] = False
+    return halves, np.flatnonzero(first)
+
+
+def _sums(halves: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums of the terms' rows of ``table`` over each row of ``halves``; other words have no weight.
+
+    First the first term of every half is added, then the second of those that have two, and so on.
+    """
+    half, place = np.nonzero(halves)
+    known = np.bincount(half, minlength=len(halves))
+    packed = np.zeros_like(halves)
+    packed[half, np.arange(len(half)) - np.repeat(np.cumsum(known) - known, known)] = halves[half, place]
+    order = np.argsort(-known, kind="stable")
+    packed, total = packed[order], np.zeros((len(halves), table.shape[1]), dtype=table.dtype)
+    for k, n in enumerate(np.searchsorted(-known[order], -np.arange(1, HALF + 1), "right").tolist()):
+        if not n:
+            break
+        total[:n] += table[packed[:n, k]]
+    sums = np.empty_like(total)
+    sums[order] = total
+    return sums
 
 
 def _gram(idf: np.ndarray, basis: np.ndarray):
@@ -339,25 +382,23 @@ def _searcher(shared, kind: str, cosine: float, shared_weight: float, verbatim:
             return share, answered
 
         def search(ids: list, docs: list[np.ndarray]) -> list[tuple]:
-            sums = [_passage_sums(words, table) for words in docs]
-            rows = np.concatenate(sums)
-            owner = np.repeat(np.arange(len(docs)), [len(part) for part in sums])
-            place = np.concatenate([np.arange(len(part)) for part in sums])
+            halves, first = _halves(docs)
+            sums = _sums(halves, table)
+            rows = sums[first] + sums[first + 1]
+            passages = [max(1, -(-len(words) // HALF) - 1) for words in docs]
+            owner = np.repeat(np.arange(len(docs)), passages)
+            place = np.arange(len(first)) - np.repeat(np.cumsum(passages) - passages, passages)
             norm = np.linalg.norm(rows, axis=1)
             pairs: list[tuple[int, int]] = []
             near = (rows @ queries.T) / np.maximum(norm, 1e-9)[:, None]
             best: dict[tuple[int, int], tuple] = {}
-            ends = np.cumsum([len(words) for words in docs])
-            every = np.concatenate(docs)
-            first = (ends - [len(words) for words in docs])[owner] + place * HALF
-            window = np.minimum(first[:, None] + np.arange(PASSAGE), ends[owner][:, None])
-            every = np.append(every, OTHER)
+            window = np.hstack([halves[first], halves[first + 1]])
             by_item, at = np.nonzero(near.T >= cosine)
             for k in np.unique(by_item).tolist():
                 rs = at[slice(*np.searchsorted(by_item, [k, k + 1]))]
                 worth = np.zeros(len(idf), dtype=np.float32)
                 worth[items.words[k]] = idf[items.words[k]]
-                held = np.where(window[rs] < ends[owner[rs]][:, None], worth[every[window[rs]]], 0).sum(axis=1)
+                held = worth[window[rs]].sum(axis=1)
                 pairs.extend((r, k) for r in rs[held >= enough[k]].tolist())
             for r, k in pairs:
                 share, answered = check(docs[owner[r]], int(place[r]), int(k))

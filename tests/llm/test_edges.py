@@ -329,3 +329,30 @@ def test_a_task_gives_its_memory_back():
     before = own()
     (most,) = gives_back(run)(iter([1]))
     assert most > before + (100 << 20) and own() < before + (60 << 20)
+
+
+def test_words_of_latin_texts_get_the_terms_that_the_pattern_finds():
+    texts = [None, "", " \t", "a_b-c d\xa0e\x85f", "Größe, ÀÉÎ; x² ½ µ ªº", "naïve’s “quote” ſ İ Straße", "日本 a b", "a" * 70_000 + " b"]
+    words = sorted({word for text in texts for word in decontaminate.words_of(text)})
+    for width in (2, 4):
+        terms = {word: k for k, word in enumerate(words[::2], 1)}
+        code = decontaminate.coder(terms, width)
+        for text in texts:
+            found = np.frombuffer(code(text), dtype=f"<u{width}").tolist()
+            assert found == [terms.get(word, 0) for word in decontaminate.words_of(text)]
+    assert decontaminate.words_of(texts[5]) and max(map(ord, texts[4])) < 256
+
+
+def test_passage_sums_leave_other_words_out():
+    rng = np.random.default_rng(3)
+    docs = [(rng.integers(0, 9, n) * rng.integers(0, 2, n)).astype("<u2") for n in (1, 5, 32, 33, 64, 65, 500)] + [np.zeros(40, dtype="<u2")]
+    table = rng.integers(-9, 9, (9, 4)).astype(np.float32)
+    # What lies in the row of all other words must not matter.
+    table[decontaminate.OTHER] = np.nan
+    halves, first = decontaminate._halves(docs)
+    sums = decontaminate._sums(halves, table)
+    want = [
+        sum((table[word] for word in doc[start : start + decontaminate.PASSAGE] if word), np.zeros(4))
+        for doc in docs for start in range(0, max(1, len(doc) - decontaminate.HALF), decontaminate.HALF)
+    ]
+    assert np.array_equal(sums[first] + sums[first + 1], np.array(want))
