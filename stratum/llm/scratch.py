@@ -10,14 +10,17 @@ import ctypes
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.files import delete
-from stratum.session import shared_dir
+from stratum.session import session_conf, shared_dir
 
 ROW_ID = "__row_id"
+# Of rows that go to Python at once: 10,000 texts would be some 20 MB, which a task holds several times over, here and in the executor.
+BATCH_BYTES = "4m"
 
 
 class Stored:
@@ -26,7 +29,8 @@ class Stored:
     def __init__(self, df: DataFrame, label: str):
         self.spark: SparkSession = df.sparkSession
         self.path = shared_dir(self.spark, label)
-        df.write.parquet(self.path)
+        with session_conf(self.spark, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES):
+            df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -55,6 +59,18 @@ def gives_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iter
     return task
 
 
+def gives_back_groups(run: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """``run`` of one group, after each of which its Python process returns the room that it no longer uses."""
+
+    @wraps(run)
+    def task(group):
+        out = run(group)
+        give_back()
+        return out
+
+    return task
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     return Stored(df, label).df
 

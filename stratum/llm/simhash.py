@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Stored, gives_back, maybe_among, spread, stored, without_ids
+from .scratch import Stored, gives_back, gives_back_groups, maybe_among, spread, stored, without_ids
 
 SEED = 42
 BLOCK_ROWS = 1024
@@ -106,7 +106,8 @@ def _keys(variants: np.ndarray, bits: int) -> np.ndarray:
     mixed = variants * MIX
     mixed ^= mixed >> np.uint64(32)
     mixed *= MIX
-    return mixed >> np.uint64(64 - bits)
+    mixed >>= np.uint64(64 - bits)
+    return mixed
 
 
 def encode(keys: np.ndarray, width: int) -> bytes:
@@ -158,7 +159,8 @@ def _emit(plan: Plan):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block, prints in zip(batch["block"], batch["prints"]):
-                keys = np.sort(_keys(_variants(np.asarray(prints, dtype=np.int64).view(np.uint64), plan.ball), plan.bits))
+                keys = _keys(_variants(np.asarray(prints, dtype=np.int64).view(np.uint64), plan.ball), plan.bits)
+                keys.sort()
                 parts = [(bucket, block, encode(part, plan.width)) for bucket, part in plan.split(keys)]
                 yield pd.DataFrame(parts, columns=["bucket", "block", "keys"])
 
@@ -166,21 +168,26 @@ def _emit(plan: Plan):
 
 
 def _report(plan: Plan):
+    # Keys count from the bucket's start here, so that they take half the room where a bucket has at most 2 ** 32.
+    kind = np.uint32 if plan.bits - plan.bucket_bits <= 32 else np.uint64
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         start = plan.start(group["bucket"].iloc[0])
-        lists = [decode(data, plan.width) + start for data in group["keys"]]
-        together = np.sort(np.concatenate(lists))
+        lists = [decode(data, plan.width).astype(kind) for data in group["keys"]]
+        together = np.concatenate(lists)
+        together.sort()
         twice = np.unique(together[1:][together[1:] == together[:-1]])
+        del together
         found = []
         if len(twice):
             for block, keys in zip(group["block"], lists):
                 at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
                 own = np.unique(keys[twice[at] == keys])
                 if len(own):
-                    found.append((block, encode(own, 4)))
+                    found.append((block, encode(own + start, 4)))
         return pd.DataFrame(found, columns=["block", "reported"])
 
-    return run
+    return gives_back_groups(run)
 
 
 def _links(variants: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,14 +229,16 @@ def _again(plan: Plan, pairs: bool):
             for prints, reports in zip(batch["prints"], batch["reports"]):
                 own = np.asarray(prints, dtype=np.int64).view(np.uint64)
                 wanted = np.sort(np.concatenate([decode(data, 4) for data in reports]))
-                variants = _variants(own, plan.ball)
-                keys = _keys(variants, plan.bits)
+                keys = _keys(_variants(own, plan.ball), plan.bits)
                 maybe = np.zeros(1 << 24, dtype=bool)
                 maybe[wanted & np.uint64(0xFFFFFF)] = True
                 at = np.flatnonzero(maybe[keys & np.uint64(0xFFFFFF)])
-                near = np.minimum(np.searchsorted(wanted, keys[at]), len(wanted) - 1)
-                at = at[wanted[near] == keys[at]]
-                variant, source, key = variants[at], own[at // len(plan.ball)], keys[at]
+                key = keys[at]
+                del keys, maybe
+                near = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                at, key = at[wanted[near] == key], key[wanted[near] == key]
+                source = own[at // len(plan.ball)]
+                variant = source ^ plan.ball[at % len(plan.ball)]
                 low, high = _links(variant, source, plan.radius)
                 low, high = (low, high) if pairs else _forest(low, high)
                 rows = [(-1, low.tobytes(), high.tobytes())]
@@ -256,7 +265,7 @@ def _meet(plan: Plan, pairs: bool):
         low, high = (low, high) if pairs else _forest(low, high)
         return pd.DataFrame({"a": low.view(np.int64), "b": high.view(np.int64)})
 
-    return run
+    return gives_back_groups(run)
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -467,7 +476,7 @@ def _verify(similarity: float):
             found += [(least[start + i], least[start + j]) for i, j in similar_links(sets, similarity, side)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return run
+    return gives_back_groups(run)
 
 
 def verified_links(source: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, similarity: float) -> DataFrame:

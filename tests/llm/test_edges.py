@@ -9,9 +9,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
-from stratum.llm import decontaminate, exact_dedup, language_id, packing, sharding, simhash, toxicity, url_filter, warc
+from stratum.llm import decontaminate, exact_dedup, language_id, packing, scratch, sharding, simhash, toxicity, url_filter, warc
 from stratum.llm.scratch import gives_back
 from stratum.llm.words import Codes, default_tokenizer
 
@@ -356,3 +357,16 @@ def test_passage_sums_leave_other_words_out():
         for doc in docs for start in range(0, max(1, len(doc) - decontaminate.HALF), decontaminate.HALF)
     ]
     assert np.array_equal(sums[first] + sums[first + 1], np.array(want))
+
+
+def test_rows_go_to_python_in_small_batches_and_groups_give_room_back(spark, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    texts = spark.range(0, 8_000, 1, 1).selectExpr("repeat('x', 2000) as text")
+    rows = scratch.stored(texts.mapInArrow(sizes, "n long, bytes long"), "test-batches").collect()
+    assert sum(row["n"] for row in rows) == 8_000 and max(row["bytes"] for row in rows) < 6 << 20
+    given = []
+    monkeypatch.setattr(scratch, "give_back", lambda: given.append(1))
+    assert scratch.gives_back_groups(lambda group: group + 1)(3) == 4 and given == [1]
