@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import gives_back, stored
+from .scratch import gives_back, no_rows, small_batches, stored
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[.!?]+")
@@ -328,7 +328,9 @@ def singular_vectors(pairs: DataFrame, own: np.ndarray, idf: np.ndarray, rank: i
         parts = pairs.select("slice", "counts", "own").mapInPandas(_gram(idf, basis), "slice int, sums binary")
         # Summed range by range, so that the driver gets terms x width numbers in all.
         mixed = parts.groupBy("slice").applyInPandas(_add, "slice int, sums binary")
-        ranges = {row["slice"]: np.frombuffer(row["sums"], dtype=np.float64) for row in mixed.collect()}
+        # A file of slices is some 16 MB, which a task would hold several times over if it went to Python at once.
+        with small_batches(pairs.sparkSession):
+            ranges = {row["slice"]: np.frombuffer(row["sums"], dtype=np.float64) for row in mixed.collect()}
         product = np.concatenate([ranges[number] for number in sorted(ranges)]).reshape(terms, width) if ranges else np.zeros((terms, width))
         mine = own.T @ (own @ basis)
         weight = max(1.0, np.linalg.norm(product) / max(np.linalg.norm(mine), 1e-12))
@@ -475,7 +477,7 @@ def leaks(
         found = coded.mapInPandas(_searcher(shared, kind, cosine, shared_weight, verbatim, paraphrase), FOUND)
         result = found if result is None else result.unionByName(found)
     if result is None:
-        return spark.createDataFrame([], FOUND)
+        return no_rows(spark, FOUND)
     best = F.struct("share", "answered", "cosine", "word")
     return result.groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select("doc_id", "item_id", "best.share", "best.answered", "best.cosine", "best.word")
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import ROW_ID, Stored, maybe_among, numbered, spread, stored, text_or_empty, wrapped
+from .scratch import ROW_ID, Stored, maybe_among, no_rows, numbered, spread, stored, text_or_empty, wrapped
 
 BUCKET_KEYS = 20_000
 WAYS = 4
@@ -156,8 +156,8 @@ class CuckooIndex:
 
     def __init__(self, spark: SparkSession, buckets: int, keys: Stored | None = None, filters: Stored | None = None):
         self.spark, self.buckets, self._tables = spark, buckets, [table for table in (keys, filters) if table]
-        self.keys = spark.createDataFrame([], KEYS) if keys is None else keys.df
-        self.filters = spark.createDataFrame([], FILTERS) if filters is None else filters.df
+        self.keys = no_rows(spark, KEYS) if keys is None else keys.df
+        self.filters = no_rows(spark, FILTERS) if filters is None else filters.df
 
     def drop(self) -> None:
         for table in self._tables:

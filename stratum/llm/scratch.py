@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratum.files import delete
 from stratum.session import session_conf, shared_dir
@@ -23,13 +24,28 @@ ROW_ID = "__row_id"
 BATCH_BYTES = "4m"
 
 
+def small_batches(spark: SparkSession):
+    """Settings under which rows go to Python by ``BATCH_BYTES``, for what is not written but collected."""
+    return session_conf(spark, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table that is known to be so only when it is read, so what is made from it stays the plan of a full one.
+
+    An empty list given to ``createDataFrame`` goes through RDDs, for which every executor starts a second Python, with processes of its own, and keeps it.
+    """
+    fields = StructType.fromDDL(schema).fields
+    none = spark.range(0, 1, 1, 1).filter("id < 0")
+    return none.select(*[F.col("id").cast("string").cast(field.dataType).alias(field.name) for field in fields])
+
+
 class Stored:
     """A written table: ``df`` reads it, ``drop()`` deletes it when nothing reads it any more."""
 
     def __init__(self, df: DataFrame, label: str):
         self.spark: SparkSession = df.sparkSession
         self.path = shared_dir(self.spark, label)
-        with session_conf(self.spark, spark__sql__execution__arrow__maxBytesPerBatch=BATCH_BYTES):
+        with small_batches(self.spark):
             df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 

@@ -370,3 +370,34 @@ def test_rows_go_to_python_in_small_batches_and_groups_give_room_back(spark, mon
     given = []
     monkeypatch.setattr(scratch, "give_back", lambda: given.append(1))
     assert scratch.gives_back_groups(lambda group: group + 1)(3) == 4 and given == [1]
+
+
+def test_pair_counts_go_to_python_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE", 128)
+    monkeypatch.setattr(scratch, "BATCH_BYTES", "1k")
+    made = decontaminate._gram
+
+    def watched(idf, basis):
+        run = made(idf, basis)
+
+        def seen(batch):
+            assert len(batch) <= 2, f"{len(batch)} slices at once"
+            return batch
+
+        return lambda batches: run(map(seen, batches))
+
+    rng, size = np.random.default_rng(5), 61
+    rows = [(k, rng.integers(0, size, 100).astype("<u2").tobytes()) for k in range(40)]
+    pairs = scratch.stored(decontaminate.pair_counts(spark.createDataFrame(rows, "doc_id long, words binary"), "<u2", size).coalesce(1), "test")
+    own, idf = np.zeros((1, size), dtype=np.float32), np.ones(size)
+    whole = decontaminate.singular_vectors(pairs, own, idf, 4, 2)
+    monkeypatch.setattr(decontaminate, "_gram", watched)
+    assert pairs.count() > 20 and np.allclose(abs(decontaminate.singular_vectors(pairs, own, idf, 4, 2)), abs(whole), atol=1e-5)
+
+
+def test_empty_tables_start_no_python(spark):
+    index = exact_dedup.CuckooIndex(spark, 2)
+    for table, schema in ((index.keys, exact_dedup.KEYS), (index.filters, exact_dedup.FILTERS)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert table.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+        assert table.count() == 0 and "ExistingRDD" not in plan and "Python" not in plan
