@@ -20,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
@@ -135,6 +140,12 @@ def plain_part(spark: SparkSession, path: str) -> str:
     return plain if plain.startswith("/") and "//" not in plain and not plain.endswith("/") else path_part(spark, path)
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """Where tasks find a path on a disk of their own machine; None in a store that only Spark reaches."""
+    fs, target = _open(spark, path)
+    return fs.makeQualified(target).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
 def literal_path(path: str) -> str:
     """Escape glob characters so that the readers take a path as it is."""
     return _GLOB_CHARS.sub(r"\\\1", path)

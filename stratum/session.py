@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -39,6 +40,26 @@ def opening_paths(spark: SparkSession):
     return session_conf(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=str(tasks))
 
 
+# Spark counts a file as 4 MB at least, so tiny ones make a task of every few, and each task that writes a file of its own.
+OPEN_COST = 64 * 2**10
+FILES_PER_TASK = 500
+
+
+def small_files(spark: SparkSession):
+    """Settings under which a scan takes some hundreds of small files a task."""
+    return session_conf(spark, spark__sql__files__openCostInBytes=str(OPEN_COST))
+
+
+def larger_tasks(scan: DataFrame) -> DataFrame:
+    """The same rows in tasks of up to ``FILES_PER_TASK`` files where a scan, which is run under the caller's settings, has many small files."""
+    spark, n_files = scan.sparkSession, len(scan._jdf.inputFiles())
+    if n_files <= FILES_PER_TASK:
+        return scan
+    n_bytes = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per_task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return scan.coalesce(max(math.ceil(n_files / FILES_PER_TASK), math.ceil(n_bytes / per_task), 2 * spark.sparkContext.defaultParallelism))
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -17,7 +17,7 @@ from ..operators.columns import (
 )
 from ..operators.rows import concat_vertical
 from ..operators.schema import field_at, pick_fields
-from ..session import opening_paths, session_conf
+from ..session import larger_tasks, opening_paths, session_conf, small_files
 
 CORRUPT = "__corrupt"
 SOURCE_PATH = "__path"
@@ -91,7 +91,7 @@ def infer_documents(
     if texts is None and not (lines or streamed):
         texts = open_texts(spark, paths)
     reader = _reader(spark, lines, streamed).option("dropFieldIfAllNull", drop_null)
-    with session_conf(spark, spark__sql__caseSensitive="true"), opening_paths(spark):
+    with session_conf(spark, spark__sql__caseSensitive="true"), opening_paths(spark), small_files(spark):
         try:
             schema = _infer(reader, paths, texts)
         except AnalysisException as failure:
@@ -173,7 +173,7 @@ def read_documents(
         else:
             reject = F.length(content) < 0
         rows = rows.where(F.when(F.col(CORRUPT).isNotNull(), reject).otherwise(True))
-    return flat_table(rows.select(*names, *([path.alias(path_column)] if path_column else [])))
+    return flat_table(larger_tasks(rows.select(*names, *([path.alias(path_column)] if path_column else []))))
 
 
 def mixed_fields(
