@@ -22,8 +22,8 @@ from ..operators.freshness import FRESH, NEW, SOURCE_MISSING, STALE, freshness_p
 from ..operators.rows import concat_vertical
 from ..operators.schema import leaf_paths, name_clashes, with_mixed, without_fields, without_paths
 from ..operators.summary import batch_summary
-from ..session import session_conf, shared_dir
-from ..sinks.parquet import drop_partitions, finish_replacement, write_partitions, write_pending, write_table
+from ..session import larger_tasks, opening_paths, session_conf, shared_dir, small_files
+from ..sinks.parquet import drop_partitions, finish_replacement, write_new_partitions, write_partitions, write_pending, write_table
 from ..sources.delimited import CsvLayout, layout_of, layout_table, survey
 from ..sources.documents import (
     CORRUPT, LARGEST_CHECKED_FILE, SOURCE_PATH, check_documents, infer_documents, mixed_fields,
@@ -693,9 +693,10 @@ def read_csv_tables(spark: SparkSession, dataset: Dataset, columns: str) -> Data
     schema = T.StructType.fromDDL(columns)
     if not files.exists(spark, dataset.bronze):
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FILE_KEY, T.StringType())]))
-    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(dataset.bronze)
+    with opening_paths(spark):
+        rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(dataset.bronze)
     relative = F.substring(decoded_path(F.col("_metadata.file_path")), len(files.path_part(spark, dataset.bronze)) + 2, 2**31 - 1)
-    return rows.select("*", F.regexp_extract(relative, r"^(.*)\.parquet/[^/]*$", 1).alias(FILE_KEY))
+    return larger_tasks(rows.select("*", F.regexp_extract(relative, r"^(.*)\.parquet/[^/]*$", 1).alias(FILE_KEY)))
 
 
 def _ingest_csv(run: Run) -> None:
@@ -716,7 +717,7 @@ def _ingest_csv_batch(run: Run, number: int) -> None:
         append_manifest(stage(_csv_entries(run, batch.withColumn("status", F.lit(ERROR)).withColumn("n_rows", F.lit(0).cast("bigint"))), f"{scratch}/entries"), run.dataset)
         return
     # Tasks take many small files each.
-    with session_conf(spark, spark__sql__files__maxPartitionBytes=str(TASK_BYTES)):
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=str(TASK_BYTES)), small_files(spark):
         seen = survey(spark, paths, scratch)
     fits = seen.where("not too_long")
     layouts: dict[CsvLayout, list[tuple[str, int]]] = {}
@@ -734,7 +735,8 @@ def _ingest_csv_batch(run: Run, number: int) -> None:
         except ColumnCollisionError as clash:
             log.warning("%d CSV files rejected: %s", len(by_types[key][1]), clash)
             rejected += [(part,) for part, _ in by_types.pop(key)[1]]
-    with ThreadPoolExecutor(CSV_JOBS) as pool:
+    # A task makes folders of its own besides those of its files.
+    with session_conf(spark, spark__sql__files__maxPartitionBytes=str(TASK_BYTES)), small_files(spark), ThreadPoolExecutor(CSV_JOBS) as pool:
         work = [pool.submit(_write_csv_layout, run, f"{scratch}/table-{i}", layout, some, by_part) for i, (layout, some) in enumerate(by_types.values())]
         for done in work:
             done.result()  # what fails here is no file's own fault
@@ -761,17 +763,14 @@ def _write_csv_layout(run: Run, target: str, layout: CsvLayout, members: list[tu
         plain = normalize_column_names(table.select(*names))
         keyed = table.select(*[value.alias(name) for value, name in zip(names, plain.columns, strict=True)], run.key_of(F.col("path_part")).alias(CSV_FILE))
         # A file is read whole by one task, so no shuffle gathers its rows.
-        write_partitions(keyed, target, CSV_FILE)
-        for path in files.children(spark, target):
-            name = path.rsplit("/", 1)[-1]
-            if name.startswith(f"{CSV_FILE}="):
-                files.move(spark, path, csv_table_path(dataset, files.unescaped(spark, name.removeprefix(f"{CSV_FILE}="))))
+        write_new_partitions(keyed, target, CSV_FILE)
+        files.move_all(spark, [
+            (f"{target}/{name}", csv_table_path(dataset, files.unescaped(name.removeprefix(f"{CSV_FILE}="))))
+            for name in files.names(spark, target) if name.startswith(f"{CSV_FILE}=")
+        ])
     blank = [part for part, n_rows in members if not n_rows]
     if blank:
         schema = T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in zip(normalized_names(list(layout.names)), layout.types, strict=True)])
         write_table(spark.createDataFrame([], schema), f"{target}-blank")
         keys = spark.createDataFrame([(part,) for part in blank], "path_part string").select(run.key_of(F.col("path_part")).alias("key"))
-        for row in keys.toLocalIterator():
-            path = csv_table_path(dataset, row.key)
-            files.delete(spark, path)
-            files.copy(spark, f"{target}-blank", path)
+        files.copy_all(spark, f"{target}-blank", [csv_table_path(dataset, row.key) for row in keys.toLocalIterator()])

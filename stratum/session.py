@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -40,6 +40,13 @@ def opening_paths(spark: SparkSession):
     return session_conf(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=str(tasks))
 
 
+def open_many(reader: DataFrameReader, kind: str, paths: list[str]) -> DataFrame:
+    """What the reader's method ``kind`` opens on many paths, which go to the JVM at once instead of by a call each."""
+    jvm = reader._spark._jvm
+    texts = jvm.java.util.regex.Pattern.compile("\x00").split("\x00".join(paths))
+    return reader._df(getattr(reader._jreader, kind)(jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(texts)))
+
+
 # Spark counts a file as 4 MB at least, so tiny ones make a task of every few, and each task that writes a file of its own.
 OPEN_COST = 64 * 2**10
 FILES_PER_TASK = 500

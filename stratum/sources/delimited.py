@@ -15,7 +15,7 @@ from .. import files
 from ..functions.paths import decoded_path
 from ..operators.columns import quoted
 from ..operators.rows import concat_vertical
-from ..session import opening_paths, shared_dir
+from ..session import open_many, opening_paths, shared_dir
 from ..sinks.parquet import write_table
 
 CORRUPT = "__corrupt"
@@ -43,7 +43,9 @@ CSV_OPTIONS = {
     "maxCharsPerColumn": "-1",
 }
 
-# Files are parsed by classes of width, each twice as wide as the last, so that one wide file does not make every parse wide.
+# Where files have more widths than this they are parsed by classes of width, each twice as wide as the last, so that one wide file
+# does not make every parse wide.
+FEW_WIDTHS = 6
 NARROWEST = 16
 MANY_COLUMNS = 256
 
@@ -103,13 +105,14 @@ def split_cells(record: Column) -> Column:
 
 
 def _open(spark: SparkSession, paths: list[str], width: int, multiline: bool, header: bool = True) -> DataFrame:
-    """The first ``width`` cells of every row that is not blank, its text where it has another number of cells, its file and its place there."""
+    """The first ``width`` cells of every row that is not blank, its text where it has another number of cells, its file's URI and its place there."""
     schema = T.StructType([*_cells(width), T.StructField(CORRUPT, T.StringType())])
     with opening_paths(spark):
-        rows = _reader(spark, multiline, width).schema(schema).option("header", header).csv([files.literal_path(p) for p in paths])
+        reader = _reader(spark, multiline, width).schema(schema).option("header", header)
+        rows = open_many(reader, "csv", [files.literal_path(p) for p in paths])
     # A scan numbers its rows in the order of each block of a file.
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    rows = rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("path_part"), place.alias("place"))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("uri"), place.alias("place"))
     space = F.lit(" \t\r\n")
     # White space alone on a line is no row. The first cell keeps a data column in every scan:
     # Spark refuses to read the marker alone.
@@ -132,11 +135,12 @@ def _value(i: int) -> Column:
 def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path_part, header, cells): each file's first line that is not empty, and how many cells its fullest line may hold."""
     with opening_paths(spark):
-        lines = spark.read.option("recursiveFileLookup", True).text([files.literal_path(p) for p in paths])
+        lines = open_many(spark.read.option("recursiveFileLookup", True), "text", [files.literal_path(p) for p in paths])
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     cells = F.length("value") - F.length(F.replace("value", F.lit(","))) + 1
-    lines = lines.select("value", decoded_path(F.col("_metadata.file_path")).alias("path_part"), place.alias("place"), cells.alias("cells"))
-    return lines.where("value <> ''").groupBy("path_part").agg(F.min_by("value", "place").alias("header"), F.max("cells").alias("cells"))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("uri"), place.alias("place"), cells.alias("cells"))
+    found = lines.where("value <> ''").groupBy("uri").agg(F.min_by("value", "place").alias("header"), F.max("cells").alias("cells"))
+    return found.select(decoded_path(F.col("uri")).alias("path_part"), "header", "cells")
 
 
 def _kinds(spark: SparkSession, paths: list[str], width: int, multiline: bool) -> DataFrame:
@@ -145,14 +149,14 @@ def _kinds(spark: SparkSession, paths: list[str], width: int, multiline: bool) -
     counts = [F.count(F.lit(1)).alias("n_rows"), F.min_by("n_cells", "place").alias("first"), F.max("n_cells").alias("most")]
     if width <= MANY_COLUMNS:
         kinds = [F.bit_or(_cell_kind(_value(i))).alias(f"k{i}") for i in range(width)]
-        found = rows.groupBy("path_part").agg(*counts, *kinds).withColumn("kinds", F.array(*[f"k{i}" for i in range(width)]))
+        found = rows.groupBy("uri").agg(*counts, *kinds).withColumn("kinds", F.array(*[f"k{i}" for i in range(width)]))
     else:
         # One expression for all columns; a plan with thousands of aggregates takes longer than the data.
         cells = F.transform(F.array(*[f"c{i}" for i in range(width)]), lambda cell: _cell_kind(F.when(~cell.isin(*NA_TOKENS), cell)))
-        by_place = rows.select("path_part", F.posexplode(cells).alias("pos", "kind")).groupBy("path_part", "pos").agg(F.bit_or("kind").alias("kind"))
-        kinds = by_place.groupBy("path_part").agg(F.sort_array(F.collect_list(F.struct("pos", "kind"))).getField("kind").alias("kinds"))
-        found = rows.groupBy("path_part").agg(*counts).join(kinds, "path_part")
-    return found.select("path_part", "n_rows", "first", "most", F.lit(width).alias("width"), "kinds")
+        by_place = rows.select("uri", F.posexplode(cells).alias("pos", "kind")).groupBy("uri", "pos").agg(F.bit_or("kind").alias("kind"))
+        kinds = by_place.groupBy("uri").agg(F.sort_array(F.collect_list(F.struct("pos", "kind"))).getField("kind").alias("kinds"))
+        found = rows.groupBy("uri").agg(*counts).join(kinds, "uri")
+    return found.select(decoded_path(F.col("uri")).alias("path_part"), "n_rows", "first", "most", F.lit(width).alias("width"), "kinds")
 
 
 class _Paths(dict):
@@ -167,8 +171,16 @@ class _Paths(dict):
         return part
 
 
-def _width_class(cells: int) -> int:
-    return max(NARROWEST, 1 << (cells - 1).bit_length())
+def _by_width(paths: dict[int, list[str]]) -> dict[int, list[str]]:
+    """Files by the width they are parsed with: their own where few widths occur, as a row of another number of cells costs several times as much."""
+    if len(paths) <= FEW_WIDTHS:
+        classes = {width: max(2, width) for width in paths}
+    else:
+        classes = {width: max(NARROWEST, 1 << (width - 1).bit_length()) for width in paths}
+    by_class: dict[int, list[str]] = {}
+    for width, some in paths.items():
+        by_class.setdefault(classes[width], []).extend(some)
+    return by_class
 
 
 def survey(spark: SparkSession, paths: list[str], scratch: str, multiline: bool = True) -> DataFrame:
@@ -181,25 +193,26 @@ def survey(spark: SparkSession, paths: list[str], scratch: str, multiline: bool
     write_table(_headers(spark, paths), f"{scratch}/headers")
     headers = spark.read.parquet(f"{scratch}/headers")
     open_quote = F.length(F.regexp_replace("header", '[^"]', "")) % 2 == 1
-    classes: dict[int, list[str]] = {}
+    widths: dict[int, list[str]] = {}
     broken = []
     for part, cells, is_open in headers.select("path_part", "cells", open_quote).toLocalIterator():
-        classes.setdefault(_width_class(int(cells)), []).append(by_part[part])
+        widths.setdefault(int(cells), []).append(by_part[part])
         if is_open:
             broken.append(by_part[part])
     if broken and multiline:
         # A header over several lines: with one column, the marker of any wider row is its whole text.
-        first = _open(spark, broken, 1, True, header=False).groupBy("path_part").agg(F.min_by(F.coalesce(CORRUPT, "c0"), "place").alias("whole"))
+        first = _open(spark, broken, 1, True, header=False).groupBy("uri").agg(F.min_by(F.coalesce(CORRUPT, "c0"), "place").alias("whole"))
+        first = first.select(decoded_path(F.col("uri")).alias("path_part"), "whole")
         headers = headers.join(first, "path_part", "left").withColumn("header", F.coalesce("whole", "header")).drop("whole")
     rounds = []
-    while classes:
+    while widths:
         made = f"{scratch}/kinds-{len(rounds)}"
-        write_table(concat_vertical(*[_kinds(spark, some, width, multiline) for width, some in sorted(classes.items())]), made)
+        write_table(concat_vertical(*[_kinds(spark, some, width, multiline) for width, some in sorted(_by_width(widths).items())]), made)
         rounds.append(spark.read.parquet(made))
-        # A row over several lines may be wider than any of its lines: once more, in its own class.
-        classes = {}
+        # A row over several lines may be wider than any of its lines: once more, by its own width.
+        widths = {}
         for part, most in rounds[-1].where("most > width").select("path_part", "most").toLocalIterator():
-            classes.setdefault(_width_class(most), []).append(by_part[part])
+            widths.setdefault(most, []).append(by_part[part])
     kinds = concat_vertical(*[found.where("most <= width") for found in rounds]) if rounds else None
     if kinds is None:
         kinds = spark.createDataFrame([], "path_part string, n_rows bigint, first int, most int, width int, kinds array<int>")
@@ -274,7 +287,7 @@ def layout_table(spark: SparkSession, paths: list[str], layout: CsvLayout, multi
         _typed(_value(i + layout.unnamed), kind).alias(name)
         for i, (name, kind) in enumerate(zip(layout.names, layout.types, strict=True))
     ]
-    return rows.select(*columns, "path_part")
+    return rows.select(*columns, decoded_path(F.col("uri")).alias("path_part"))
 
 
 def scan_csv(spark: SparkSession, paths: list[str], multiline: bool = True) -> tuple[DataFrame, int]:
